@@ -1,0 +1,6 @@
+"""Reserved.
+
+The workload is batch only: new days arrive as files and are picked up through a
+high-water mark (``sediment.plans.pipeline.run_incremental``). There are no event-time
+windows and no state stores to rebuild, so nothing lives here.
+"""
