@@ -38,12 +38,17 @@ def resolve_accounts(rows: DataFrame, known: DataFrame) -> DataFrame:
 
     An equality join plus a comparison on the result, so no range join. No broadcast hint:
     the dimension grows with the data, and adaptive execution broadcasts it only when its
-    measured size allows, else splits the partitions of hot accounts.
+    measured size allows, else splits the partitions of hot accounts. It can split only where
+    both inputs come straight from a shuffle; ``known`` comes from a grouping by the same key,
+    whose shuffle the join would reuse. The second key changes no result but makes the join
+    shuffle the (comparatively small) dimension anew.
     """
+    extra = F.length("account_id").alias("_length")
     return (
-        rows.join(known, "account_id", "left")
+        rows.select("*", extra)
+        .join(known.select("*", extra), ["account_id", "_length"], "left")
         .withColumn(
             "_is_resolvable", F.coalesce(F.col("known_from") <= F.col("date"), F.lit(False))
         )
-        .drop("known_from")
+        .drop("known_from", "_length")
     )
