@@ -39,9 +39,11 @@ GOLD_MODELS = ["gold_daily_summary", "gold_weekly_account_summary"]
 class Load:
     """One run over a set of days."""
 
-    def __init__(self, spark: SparkSession, source_dir: str, root: str, kind: str) -> None:
+    def __init__(
+        self, spark: SparkSession, source_dir: str, root: str, kind: str, id_buckets: int = 8
+    ) -> None:
         self.spark, self.source_dir, self.kind = spark, source_dir, kind
-        self.lake = Lake(spark, root)
+        self.lake = Lake(spark, root, id_buckets)
         self.control = Control(self.lake)
         self.run_id = str(uuid.uuid4())
 
@@ -272,7 +274,7 @@ class Load:
             "silver_quarantine": silver.quarantine_transactions(bad, self.run_id),
         }
         for position, (name, rows) in enumerate(parts.items(), start=1):
-            if len(days) > 1:
+            if name == "silver_quarantine" and len(days) > 1:
                 # Files of even size per day: hot days are split, quiet days share a task.
                 rows = rows.hint("rebalance", F.col("date"))
             self.lake.replace_days(name, rows)
@@ -313,10 +315,13 @@ class Load:
 
 
 def run_historical(
-    spark: SparkSession, source_dir: str, root: str, start: date, end: date
+    spark: SparkSession, source_dir: str, root: str, start: date, end: date, id_buckets: int = 8
 ) -> str:
-    """Load every day of the closed range that is not loaded yet; returns the run id."""
-    load = Load(spark, source_dir, root, HISTORICAL)
+    """Load every day of the closed range that is not loaded yet; returns the run id.
+
+    ``id_buckets`` counts only for the first load into ``root``, see ``Lake``.
+    """
+    load = Load(spark, source_dir, root, HISTORICAL, id_buckets)
     load.load_codes()
     load.codes()
     days = days_between(start, end)

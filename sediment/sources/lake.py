@@ -4,10 +4,15 @@ Daily tables are partitioned by ``date`` and replaced a set of days at a time. W
 results (accounts, codes, marts) are written to a new directory per run; the run log says which
 run is current, so readers switch over when the log row is appended and never see a half-written
 table, and a table can be rebuilt from its own current version.
+
+Silver transactions are also bucketed by transaction id. Every increment has to look its ids up
+among all ids ever promoted; with buckets only the new ids are shuffled, and the stored ids are
+read bucket by bucket.
 """
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,19 +60,71 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(path)
 
 
+BUCKETED = "silver_transactions"
+BUCKET_KEY = "transaction_id"
+LAYOUT = T.StructType([T.StructField("id_buckets", T.IntegerType())])
+
+
 class Lake:
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    """Tables under ``root``.
+
+    ``id_buckets`` is fixed when silver is first written, and read back from then on. Choose it
+    so that a bucket of one day makes a file of a reasonable size: 8 suits small lakes, a few
+    thousand one of 100 TB.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, id_buckets: int = 8) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self._id_buckets, self._declared = id_buckets, False
 
     def days(self, name: str, dates: list[date]) -> DataFrame:
         """The given days of a daily table; other partitions are not opened."""
         path, schema = DAILY[name]
-        table = read_or_empty(self.spark, f"{self.root}/{path}", schema)
+        if name == BUCKETED and exists(self.spark, self._layout_path()):
+            table = self.spark.table(self._bucketed_table())
+        else:
+            table = read_or_empty(self.spark, f"{self.root}/{path}", schema)
         return table.where(F.col("date").isin(dates))
 
+    def _layout_path(self) -> str:
+        return f"{self.root}/pipeline/layout"
+
+    def id_buckets(self) -> int:
+        stored = read_or_empty(self.spark, self._layout_path(), LAYOUT).first()
+        return stored["id_buckets"] if stored else self._id_buckets
+
+    def _bucketed_table(self) -> str:
+        """Name of silver transactions in the session catalog, where Spark keeps bucketing."""
+        name = "lake_" + hashlib.sha1(self.root.encode()).hexdigest()[:16]
+        if not self._declared:
+            path, schema = DAILY[BUCKETED]
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (date) "
+                f"CLUSTERED BY ({BUCKET_KEY}) INTO {self.id_buckets()} BUCKETS "
+                f"LOCATION '{self.root}/{path}'"
+            )
+            if exists(self.spark, f"{self.root}/{path}"):
+                # The catalog may not know days written by other sessions.
+                self.spark.sql(f"MSCK REPAIR TABLE {name}")
+            self._declared = True
+        return name
+
+    def _replace_bucketed(self, rows: DataFrame) -> None:
+        if not exists(self.spark, self._layout_path()):
+            layout = self.spark.range(1).select(F.lit(self._id_buckets).alias("id_buckets"))
+            layout.write.mode("overwrite").parquet(self._layout_path())
+        # Same hash as the buckets: one file per bucket and day, of even size as ids are unique.
+        spread = rows.repartition(self.id_buckets(), BUCKET_KEY)
+        spread.write.insertInto(self._bucketed_table(), overwrite=True)
+
     def replace_days(self, name: str, rows: DataFrame) -> None:
         """Write whole days, replacing exactly the partitions present in ``rows``."""
         path, schema = DAILY[name]
+        if name == BUCKETED:
+            self._replace_bucketed(rows.select(*schema.names))
+            return
         (
             rows.select(*schema.names)
             .write.mode("overwrite")

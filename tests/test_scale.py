@@ -155,3 +155,34 @@ def test_stored_days_are_pruned(spark, tmp_path, lopsided):
     assert re.search(r"PartitionFilters: \[.*date.*2024-01-02", text)
     assert "ReadSchema: struct<transaction_id:string>" in text
     assert lake.days("bronze_transactions", day).count() == 6_000
+
+
+def test_stored_ids_are_not_shuffled(spark, tmp_path, lopsided, known):
+    """Looking new ids up among all stored ones moves the new ids only."""
+    from sediment.sources.lake import Lake
+
+    root = str(tmp_path)
+    checked = check_transactions(lopsided, frames.codes(spark))
+    tagged = tag_transactions(checked, known)
+    Lake(spark, root, id_buckets=6).replace_days(
+        "silver_transactions", silver.promote_transactions(tagged, "r")
+    )
+    lake = Lake(spark, root, id_buckets=99)  # the number of buckets is read back
+    days = [frames.day(d) for d in range(1, 5)]
+    stored = lake.days("silver_transactions", days).select("transaction_id")
+    assert stored.count() == 16_001
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = checked.where(F.col("date") == F.lit(frames.day(5)))
+        outcome = verdicts(new, known, stored, single_day=True)
+        text = plan(outcome)
+        reasons = {r["_verdict"]: r["count"] for r in outcome.groupBy("_verdict").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Bucketed: true" in text
+    scan = text.index("Bucketed: true")
+    join = text.rindex("SortMergeJoin [transaction_id", 0, scan)
+    stored_side = text[text.index("+- Sort [transaction_id", join) : scan]
+    assert "Exchange" not in stored_side
+    assert reasons == {None: 4_000, "DUPLICATE_TRANSACTION_ID": 1}
