@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import reduce, wraps
+from functools import cached_property, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,55 +55,55 @@ class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
-    @property
+    @cached_property
     def bronze(self) -> DataFrame:
         return given.bronze_transactions(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def codes(self) -> DataFrame:
         return given.reference_codes(self.spark)
 
-    @property
+    @cached_property
     def checked(self) -> DataFrame:
         return check_transactions(self.bronze, self.codes)
 
-    @property
+    @cached_property
     def bronze_accounts(self) -> DataFrame:
         return given.bronze_accounts(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def deltas(self) -> DataFrame:
         return check_accounts(self.bronze_accounts)
 
-    @property
+    @cached_property
     def promoted_deltas(self) -> DataFrame:
         return silver.promote_accounts(self.deltas, given.RUN_ID)
 
-    @property
+    @cached_property
     def accounts(self) -> DataFrame:
         return upsert_accounts(self.promoted_deltas)
 
-    @property
+    @cached_property
     def known(self) -> DataFrame:
         return known_accounts(accepted(self.deltas))
 
-    @property
+    @cached_property
     def tagged(self) -> DataFrame:
         return tag_transactions(self.checked, self.known)
 
-    @property
+    @cached_property
     def silver(self) -> DataFrame:
         return silver.promote_transactions(self.tagged, given.RUN_ID)
 
-    @property
+    @cached_property
     def quarantine(self) -> DataFrame:
         return silver.quarantine_transactions(self.tagged, given.RUN_ID)
 
-    @property
+    @cached_property
     def quarantine_accounts(self) -> DataFrame:
         return silver.quarantine_accounts(self.deltas, given.RUN_ID)
 
-    @property
+    @cached_property
     def tagged_in_two_steps(self) -> DataFrame:
         """The later days processed as new days on top of the earlier ones."""
         day, tx_day = F.col("date"), F.lit(SPLIT)
@@ -116,19 +116,19 @@ class Stages:
             self.checked.where(day >= tx_day), known, accepted(earlier).select("transaction_id")
         )
 
-    @property
+    @cached_property
     def tagged_before(self) -> DataFrame:
         return tag_transactions(self.checked.where(F.col("date") < F.lit(SPLIT)), self.known)
 
-    @property
+    @cached_property
     def daily(self) -> DataFrame:
         return gold.daily_summary(self.silver, given.RUN_ID)
 
-    @property
+    @cached_property
     def weekly(self) -> DataFrame:
         return gold.weekly_account_summary(self.silver, self.codes, self.accounts, given.RUN_ID)
 
-    @property
+    @cached_property
     def run_log(self) -> DataFrame:
         """A log with one run per day that has transactions; every tenth day's run failed."""
         return (

@@ -12,21 +12,17 @@ from sediment.functions.dates import file_date
 from sediment.functions.money import strict
 from sediment.functions.text import empty_to_null
 from sediment.schemas import ACCOUNT_SOURCE, CODE_SOURCE, TRANSACTION_SOURCE
+from sediment.sources.files import matching
 
 
 def daily_files(
     spark: SparkSession, source_dir: str, entity: str, start: date, end: date
 ) -> dict[date, str]:
-    """Path of each day's extract in the closed range. Lists names only, reads no content."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"{entity}_????-??-??.csv")
-        .load(source_dir)
-        .select("path", file_date(F.col("path")).alias("date"))
-        .where(F.col("date").between(F.lit(start), F.lit(end)))
-    )
-    # At most one row per calendar day.
-    return {row["date"]: row["path"] for row in listing.collect()}
+    """Path of each day's extract in the closed range; at most one per calendar day."""
+    day = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
+    paths = matching(spark, f"{source_dir}/{entity}_{day}.csv")
+    found = {date.fromisoformat(path[-len("yyyy-mm-dd.csv") : -len(".csv")]): path for path in paths}
+    return {d: path for d, path in found.items() if start <= d <= end}
 
 
 def read_typed(

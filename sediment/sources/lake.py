@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment import schemas
+from sediment.sources.files import exists
 
 DAILY = {
     "bronze_transactions": ("bronze/transactions", schemas.BRONZE_TRANSACTIONS),
@@ -47,12 +48,6 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` is there, on whatever file system it names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet under ``path`` with the given schema; no rows when nothing was written yet."""
     if not exists(spark, path):
@@ -115,9 +110,11 @@ class Lake:
         if not exists(self.spark, self._layout_path()):
             layout = self.spark.range(1).select(F.lit(self._id_buckets).alias("id_buckets"))
             layout.write.mode("overwrite").parquet(self._layout_path())
-        # Same hash as the buckets: one file per bucket and day, of even size as ids are unique.
-        spread = rows.repartition(self.id_buckets(), BUCKET_KEY)
-        spread.write.insertInto(self._bucketed_table(), overwrite=True)
+        # The hash that buckets are made by: a bucket of a day meets in one task and makes one
+        # file. Adaptive execution merges small pairs of day and bucket and splits large ones.
+        bucket = F.pmod(F.hash(BUCKET_KEY), F.lit(self.id_buckets()))
+        spread = rows.withColumn("_bucket", bucket).hint("rebalance", F.col("date"), F.col("_bucket"))
+        spread.drop("_bucket").write.insertInto(self._bucketed_table(), overwrite=True)
 
     def replace_days(self, name: str, rows: DataFrame) -> None:
         """Write whole days, replacing exactly the partitions present in ``rows``."""

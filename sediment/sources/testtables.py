@@ -8,14 +8,12 @@ Faults depend on the key alone, so the same rules can be written in any SQL dial
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sediment.schemas import (
     BRONZE_ACCOUNTS,
     BRONZE_CODES,
     BRONZE_TRANSACTIONS,
     CODE_SOURCE,
-    MONEY,
 )
 
 RUN_ID = "run-0001"
@@ -40,87 +38,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _audited(rows: DataFrame, entity: str, names: list[str]) -> DataFrame:
-    return (
-        rows.withColumn(
-            "_source_file", F.concat(F.lit(f"{entity}_"), F.col("date").cast("string"), F.lit(".csv"))
-        )
-        .withColumn("_ingested_at", F.to_timestamp_ntz(F.lit("2024-02-01 00:00:00")))
-        .withColumn("_pipeline_run_id", F.lit(RUN_ID))
-        .select(*names)
-    )
+    return rows.selectExpr(
+        "*",
+        f"concat('{entity}_', date, '.csv') AS _source_file",
+        "TIMESTAMP_NTZ '2024-02-01 00:00:00' AS _ingested_at",
+        f"'{RUN_ID}' AS _pipeline_run_id",
+    ).select(*names)
 
 
 def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    copies = F.array(
-        *[
-            F.struct(
-                F.lit(copy).cast("long").alias("copy"),
-                F.lit(every).alias("every"),
-                F.lit(file_shift).alias("file_shift"),
-                F.lit(date_shift).alias("date_shift"),
-            )
-            for copy, every, file_shift, date_shift in COPIES
-        ]
-    )
-    key, day, k = F.col("event_id"), F.col("ts").cast("date"), F.col("k")
-    rows = (
-        events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-        .select("*", F.inline(copies))
-        .where(key % F.col("every") == 0)
-    )
-    code = F.lit("ERR99")
-    for event_type, name in EVENT_CODES.items():
-        code = F.when(F.col("event_type") == event_type, name).otherwise(code)
-    shaped = rows.select(
-        F.when(key % 101 != 0, F.concat(F.lit("TXN-"), key.cast("string"))).alias("transaction_id"),
-        F.concat(F.lit("ACC-"), F.col("user_id").cast("string")).alias("account_id"),
-        F.date_add(
-            day, F.col("date_shift") - F.when(key % 113 == 0, 1).otherwise(0)
-        ).alias("transaction_date"),
-        F.when(key % 103 == 0, F.lit(0)).otherwise(F.col("value")).cast(MONEY).alias("amount"),
-        code.alias("transaction_code"),
-        F.when(
-            F.col("event_type") == "purchase", F.concat(F.lit("M-"), k.cast("string"))
-        ).alias("merchant_name"),
-        F.when(k == 50, " ")
-        .when(k == 51, "\u00a0")
-        .when(k % 10 == 9, "DRIVE_THRU")
-        .when(k % 2 == 0, "ONLINE")
-        .otherwise("IN_STORE")
-        .alias("channel"),
-        F.struct(F.col("copy").alias("block"), key.alias("line")).alias("_row_ordinal"),
-        F.date_add(day, F.col("file_shift")).alias("date"),
+    copies = ", ".join(f"struct({c}L, {every}, {file}, {day})" for c, every, file, day in COPIES)
+    codes = " ".join(f"WHEN '{name}' THEN '{code}'" for name, code in EVENT_CODES.items())
+    shaped = (
+        table(spark, sf_dir, "events")
+        .selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k", "CAST(ts AS DATE) AS day")
+        .selectExpr("*", f"inline(array({copies})) AS (copy, every, file_shift, date_shift)")
+        .where("event_id % every = 0")
+        .selectExpr(
+            "CASE WHEN event_id % 101 <> 0 THEN concat('TXN-', event_id) END AS transaction_id",
+            "concat('ACC-', user_id) AS account_id",
+            "date_add(day, date_shift - IF(event_id % 113 = 0, 1, 0)) AS transaction_date",
+            "CAST(IF(event_id % 103 = 0, 0, value) AS DECIMAL(18,4)) AS amount",
+            f"CASE event_type {codes} ELSE 'ERR99' END AS transaction_code",
+            "CASE WHEN event_type = 'purchase' THEN concat('M-', k) END AS merchant_name",
+            "CASE WHEN k = 50 THEN ' ' WHEN k = 51 THEN '\u00a0' WHEN k % 10 = 9 THEN 'DRIVE_THRU' "
+            "WHEN k % 2 = 0 THEN 'ONLINE' ELSE 'IN_STORE' END AS channel",
+            "named_struct('block', copy, 'line', event_id) AS _row_ordinal",
+            "date_add(day, file_shift) AS date",
+        )
     )
     return _audited(shaped, "transactions", BRONZE_TRANSACTIONS.fieldNames())
 
 
 def bronze_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, n, segment = F.col("c_custkey"), F.col("n"), F.col("c_mktsegment")
-    rows = table(spark, sf_dir, "customer").select(
-        "*", F.explode(F.array(*[F.lit(d) for d in DELTAS])).alias("n")
-    )
-    status = (
-        F.when(segment == "MACHINERY", "SUSPENDED")
-        .when(segment == "FURNITURE", "PENDING")
-        .when((segment == "HOUSEHOLD") & (n == 0), F.lit(None))
-        .when(segment == "HOUSEHOLD", "CLOSED")
-        .otherwise("ACTIVE")
-    )
-    shaped = rows.select(
-        F.when(
-            ~((key % 97 == 0) & (n == 1)), F.concat(F.lit("ACC-"), key.cast("string"))
-        ).alias("account_id"),
-        F.date_add(F.lit("2020-01-01").cast("date"), (key % 1000).cast("int")).alias("open_date"),
-        (F.lit(1000) + (key % 50) * 100).cast(MONEY).alias("credit_limit"),
-        (F.col("c_acctbal").cast(MONEY) + n * 10).cast(MONEY).alias("current_balance"),
-        F.lit("2024-01-01").cast("date").alias("billing_cycle_start"),
-        F.lit("2024-01-31").cast("date").alias("billing_cycle_end"),
-        status.alias("account_status"),
-        F.struct(F.lit(0).cast("long").alias("block"), key.alias("line")).alias("_row_ordinal"),
-        F.date_add(
-            F.lit("2024-01-01").cast("date"), ((key % 20) + n * 4).cast("int")
-        ).alias("date"),
+    shaped = (
+        table(spark, sf_dir, "customer")
+        .selectExpr("*", f"explode(array({', '.join(map(str, DELTAS))})) AS n")
+        .selectExpr(
+            "CASE WHEN NOT (c_custkey % 97 = 0 AND n = 1) "
+            "THEN concat('ACC-', c_custkey) END AS account_id",
+            "date_add(DATE '2020-01-01', CAST(c_custkey % 1000 AS INT)) AS open_date",
+            "CAST(1000 + (c_custkey % 50) * 100 AS DECIMAL(18,4)) AS credit_limit",
+            "CAST(CAST(c_acctbal AS DECIMAL(18,4)) + n * 10 AS DECIMAL(18,4)) AS current_balance",
+            "DATE '2024-01-01' AS billing_cycle_start",
+            "DATE '2024-01-31' AS billing_cycle_end",
+            "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'SUSPENDED' "
+            "WHEN c_mktsegment = 'FURNITURE' THEN 'PENDING' "
+            "WHEN c_mktsegment = 'HOUSEHOLD' AND n = 0 THEN NULL "
+            "WHEN c_mktsegment = 'HOUSEHOLD' THEN 'CLOSED' ELSE 'ACTIVE' END AS account_status",
+            "named_struct('block', 0L, 'line', c_custkey) AS _row_ordinal",
+            "date_add(DATE '2024-01-01', CAST(c_custkey % 20 + n * 4 AS INT)) AS date",
+        )
     )
     return _audited(shaped, "accounts", BRONZE_ACCOUNTS.fieldNames())
 
@@ -133,19 +101,20 @@ def reference_codes(spark: SparkSession) -> DataFrame:
 
 def bronze_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The codes that occur in the events, with their reference attributes."""
-    event_type = F.col("event_type")
-    code = F.lit(None).cast("string")
-    for name, value in EVENT_CODES.items():
-        code = F.when(event_type == name, value).otherwise(code)
-    seen = table(spark, sf_dir, "events").select(code.alias("transaction_code")).distinct()
+    codes = " ".join(f"WHEN '{name}' THEN '{code}'" for name, code in EVENT_CODES.items())
+    seen = (
+        table(spark, sf_dir, "events")
+        .selectExpr(f"CASE event_type {codes} END AS transaction_code")
+        .distinct()
+    )
     return (
-        seen.join(F.broadcast(reference_codes(spark)), "transaction_code")
-        .withColumn("_source_file", F.lit("transaction_codes.csv"))
-        .withColumn("_ingested_at", F.to_timestamp_ntz(F.lit("2024-02-01 00:00:00")))
-        .withColumn("_pipeline_run_id", F.lit(RUN_ID))
-        .withColumn(
-            "_row_ordinal",
-            F.struct(F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("line")),
+        seen.join(reference_codes(spark), "transaction_code")
+        .selectExpr(
+            "*",
+            "'transaction_codes.csv' AS _source_file",
+            "TIMESTAMP_NTZ '2024-02-01 00:00:00' AS _ingested_at",
+            f"'{RUN_ID}' AS _pipeline_run_id",
+            "named_struct('block', 0L, 'line', 0L) AS _row_ordinal",
         )
         .select(*BRONZE_CODES.fieldNames())
     )
