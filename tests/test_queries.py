@@ -53,6 +53,9 @@ def test_query_matches_sql(spark, connection, name):
     columns = [d[0] for d in result.description]
     assert sorted(got.columns) == sorted(columns)
     assert rows(got.columns, got.collect()) == rows(columns, result.fetchall())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ExistingRDD"):
+        assert operator not in plan
 
 
 def test_entry_runs(spark):
