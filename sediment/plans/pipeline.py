@@ -25,7 +25,8 @@ from sediment.operators.upsert import upsert_accounts
 from sediment.plans import gold, silver
 from sediment.sources import csvfiles
 from sediment.sources.control import Control, LogEntry, now, utc_seconds
-from sediment.sources.lake import Lake
+from sediment.sources.files import remove
+from sediment.sources.lake import SNAPSHOTS, Lake
 
 HISTORICAL, INCREMENTAL = "HISTORICAL", "INCREMENTAL"
 CODE_MODELS = ["bronze_transaction_codes", "silver_transaction_codes"]
@@ -215,7 +216,7 @@ class Load:
                     self.entry("silver_quarantine", "SUCCESS", started, day, (bad, bad, None))
                 )
             self.control.append(entries)
-        self.lake.clear_staging(path)
+        remove(self.spark, path)
 
     def _accounts(
         self, deltas: DataFrame, stored: DataFrame, days: list[date], started: datetime
@@ -226,6 +227,7 @@ class Load:
         )
         promoted = silver.promote_accounts(deltas, self.run_id)
         self.lake.write_snapshot("silver_accounts", upsert_accounts(promoted, stored), self.run_id)
+        self.lake.clear_days("silver_accounts_quarantine", days)
         self.lake.replace_days(
             "silver_accounts_quarantine", silver.quarantine_accounts(deltas, self.run_id)
         )
@@ -277,6 +279,7 @@ class Load:
             if name == "silver_quarantine" and len(days) > 1:
                 # Files of even size per day: hot days are split, quiet days share a task.
                 rows = rows.hint("rebalance", F.col("date"))
+            self.lake.clear_days(name, days)
             self.lake.replace_days(name, rows)
             stored = self.lake.row_counts(name, days)
             expected = {day: counts.get(day, (0, 0, 0))[position] for day in days}
@@ -314,6 +317,12 @@ class Load:
             )
 
 
+    def tidy(self, keep: int = 2) -> None:
+        """Drop versions of whole tables older than the ``keep`` latest ones."""
+        for name, runs in self.control.recent_runs(list(SNAPSHOTS), keep).items():
+            self.lake.expire_snapshots(name, runs)
+
+
 def run_historical(
     spark: SparkSession, source_dir: str, root: str, start: date, end: date, id_buckets: int = 8
 ) -> str:
@@ -335,6 +344,7 @@ def run_historical(
     mark = load.control.watermark()
     if mark is None or mark < end:
         load.control.advance(end, load.run_id)
+    load.tidy()
     return load.run_id
 
 
@@ -355,4 +365,5 @@ def run_incremental(spark: SparkSession, source_dir: str, root: str) -> str | No
         load.load_silver([day])
     load.load_gold()
     load.control.advance(day, load.run_id)
+    load.tidy()
     return load.run_id

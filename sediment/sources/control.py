@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.schemas import CONTROL, RUN_LOG, RUN_STATUSES
@@ -105,3 +105,17 @@ class Control:
         return (
             self.succeeded(model).agg(F.max_by("run_id", "completed_at").alias("run_id")).first()
         )["run_id"]
+
+    def recent_runs(self, models: list[str], keep: int) -> dict[str, list[str]]:
+        """Per model the ``keep`` latest runs that succeeded, at most ``keep`` rows each."""
+        newest = Window.partitionBy("model_name").orderBy(F.desc("completed_at"))
+        rows = (
+            self.log()
+            .where(F.col("model_name").isin(models) & (F.col("status") == "SUCCESS"))
+            .groupBy("model_name", "run_id")
+            .agg(F.max("completed_at").alias("completed_at"))
+            .withColumn("age", F.row_number().over(newest))
+            .where(F.col("age") <= keep)
+            .collect()
+        )
+        return {m: [r["run_id"] for r in rows if r["model_name"] == m] for m in models}

@@ -19,3 +19,9 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern; names only, no content is read."""
     target, system = _locate(spark, pattern)
     return [status.getPath().toString() for status in system.globStatus(target) or []]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or directory tree; nothing happens if it is not there."""
+    target, system = _locate(spark, path)
+    system.delete(target, True)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment import schemas
-from sediment.sources.files import exists
+from sediment.sources.files import exists, matching, remove
 
 DAILY = {
     "bronze_transactions": ("bronze/transactions", schemas.BRONZE_TRANSACTIONS),
@@ -148,18 +148,27 @@ class Lake:
             f"{self.root}/{path}/run_id={run_id}"
         )
 
-    def expire_snapshot(self, name: str, run_id: str) -> None:
-        """Free the space of a superseded version; the directory stays, without rows."""
-        path, schema = SNAPSHOTS[name]
-        self._clear(f"{self.root}/{path}/run_id={run_id}", schema)
-
-    def _clear(self, path: str, schema: T.StructType) -> None:
-        empty(self.spark, schema).write.mode("overwrite").parquet(path)
+    def expire_snapshots(self, name: str, keep: list[str]) -> None:
+        """Delete all versions of a table but those of the given runs."""
+        path, _ = SNAPSHOTS[name]
+        for version in matching(self.spark, f"{self.root}/{path}/run_id=*"):
+            if version.rsplit("=", 1)[-1] not in keep:
+                remove(self.spark, version)
+
+    def clear_days(self, name: str, dates: list[date]) -> None:
+        """Delete what an unfinished load left behind for days that were never committed."""
+        path, _ = DAILY[name]
+        for day in dates:
+            partition = f"{self.root}/{path}/date={day}"
+            if exists(self.spark, partition):
+                remove(self.spark, partition)
+                if name == BUCKETED:
+                    self.spark.sql(
+                        f"ALTER TABLE {self._bucketed_table()} "
+                        f"DROP IF EXISTS PARTITION (date = DATE '{day}')"
+                    )
 
     def staging(self, run_id: str) -> str:
         """Run-scoped folder for intermediate tables, on storage every executor can reach."""
         shared = self.spark.conf.get("spark.checkpoint.dir", None)
         return f"{shared or self.root + '/_staging'}/{run_id}"
-
-    def clear_staging(self, path: str) -> None:
-        self._clear(path, T.StructType([T.StructField("cleared", T.BooleanType())]))
