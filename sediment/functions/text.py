@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 BLANK = r"^\p{Zs}*$"
 
 
-def is_missing(name: str) -> Column:
-    """Null, empty or blank string."""
-    return F.col(name).isNull() | F.col(name).rlike(BLANK)
+def missing_sql(text: list[str], other: list[str]) -> str:
+    """SQL condition: a text column is null, empty or blank, or another column is null."""
+    blank = [f"{name} IS NULL OR {name} RLIKE r'{BLANK}'" for name in text]
+    return " OR ".join(blank + [f"{name} IS NULL" for name in other])
 
 
 def any_of(conditions: list[Column]) -> Column:

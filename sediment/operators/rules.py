@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sediment.functions.money import signed_amount
-from sediment.functions.text import any_of, is_missing
+from sediment.functions.text import missing_sql
 from sediment.operators.lookup import broadcast_if_small
 from sediment.schemas import ACCOUNT_STATUSES, CHANNELS
 
@@ -18,35 +17,34 @@ REASON = "_rejection_reason"
 
 @dataclass(frozen=True)
 class Rule:
+    """A rejection reason and the SQL condition under which a row earns it."""
+
     reason: str
-    broken: Callable[[], Column]
+    broken: str
 
 
-def _required(text: list[str], other: list[str]) -> Callable[[], Column]:
-    return lambda: any_of([is_missing(c) for c in text] + [F.col(c).isNull() for c in other])
+def _one_of(values: list[str]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
 TRANSACTION_RULES = [
     Rule(
         "NULL_REQUIRED_FIELD",
-        _required(
+        missing_sql(
             ["transaction_id", "account_id", "transaction_code", "channel"],
             ["transaction_date", "amount"],
         ),
     ),
-    Rule("INVALID_AMOUNT", lambda: F.col("amount") <= 0),
-    Rule("INVALID_TRANSACTION_CODE", lambda: ~F.col("_code_known")),
-    Rule("INVALID_CHANNEL", lambda: ~F.col("channel").isin(CHANNELS)),
-    Rule(
-        "INVALID_AMOUNT",
-        lambda: F.col("_signed_amount").isNull() | (F.col("_signed_amount") == 0),
-    ),
+    Rule("INVALID_AMOUNT", "amount <= 0"),
+    Rule("INVALID_TRANSACTION_CODE", "NOT _code_known"),
+    Rule("INVALID_CHANNEL", f"channel NOT IN ({_one_of(CHANNELS)})"),
+    Rule("INVALID_AMOUNT", "_signed_amount IS NULL OR _signed_amount = 0"),
 ]
 
 ACCOUNT_RULES = [
     Rule(
         "NULL_REQUIRED_FIELD",
-        _required(
+        missing_sql(
             ["account_id", "account_status"],
             [
                 "open_date",
@@ -57,13 +55,14 @@ ACCOUNT_RULES = [
             ],
         ),
     ),
-    Rule("INVALID_ACCOUNT_STATUS", lambda: ~F.col("account_status").isin(ACCOUNT_STATUSES)),
+    Rule("INVALID_ACCOUNT_STATUS", f"account_status NOT IN ({_one_of(ACCOUNT_STATUSES)})"),
 ]
 
 
 def first_broken(rules: list[Rule]) -> Column:
     """Reason of the first broken rule, null for a clean row."""
-    return F.coalesce(*[F.when(rule.broken(), F.lit(rule.reason)) for rule in rules])
+    branches = " ".join(f"WHEN {rule.broken} THEN '{rule.reason}'" for rule in rules)
+    return F.expr(f"CASE {branches} END")
 
 
 def accepted(tagged: DataFrame) -> DataFrame:
@@ -82,13 +81,14 @@ def with_code(transactions: DataFrame, codes: DataFrame) -> DataFrame:
     partitions of frequent codes.
     """
     lookup = broadcast_if_small(
-        codes.select("transaction_code", "debit_credit_indicator", F.lit(True).alias("_matched"))
+        codes.selectExpr("transaction_code", "debit_credit_indicator", "true AS _matched")
     )
-    return (
-        transactions.join(lookup, "transaction_code", "left")
-        .withColumn("_code_known", F.col("_matched").isNotNull())
-        .withColumn("_signed_amount", signed_amount(F.col("amount"), F.col("debit_credit_indicator")))
-        .drop("_matched")
+    signed = signed_amount(F.col("amount"), F.col("debit_credit_indicator"))
+    return transactions.join(lookup, "transaction_code", "left").select(
+        *[F.col(name) for name in transactions.columns],
+        "debit_credit_indicator",
+        F.isnotnull("_matched").alias("_code_known"),
+        signed.alias("_signed_amount"),
     )
 
 

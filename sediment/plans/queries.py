@@ -132,9 +132,12 @@ class Stages:
     def run_log(self) -> DataFrame:
         """A log with one run per day that has transactions; every tenth day's run failed."""
         return (
-            self.bronze.select("date")
-            .distinct()
+            self.bronze.groupBy("date")
+            .agg(F.max("_row_ordinal.line").alias("last_line"))
             .select(
+                (F.lit(1704067200) + F.col("last_line") * 100 + F.dayofmonth("date")).alias(
+                    "completed_second"
+                ),
                 F.concat(F.lit("run-"), F.col("date").cast("string")).alias("run_id"),
                 F.lit("silver_transactions").alias("model_name"),
                 F.when(F.dayofmonth("date") % 10 == 0, "FAILED").otherwise("SUCCESS").alias("status"),
@@ -501,6 +504,20 @@ def weekly_payments_reconciliation(spark, sf_dir):
     )
 
 
+@query
+def daily_grain(spark, sf_dir):
+    """Rows of the daily mart against the days it must cover."""
+    stages = Stages(spark, sf_dir)
+    sides = stages.daily.select("transaction_date", F.lit("gold").alias("side")).unionByName(
+        gold.resolvable(stages.silver).select("transaction_date", F.lit("silver").alias("side"))
+    )
+    days = sides.groupBy("transaction_date", "side").count()
+    return days.agg(
+        F.sum(F.when(F.col("side") == "gold", F.col("count"))).alias("gold_rows"),
+        count_where(F.col("side") == "silver").alias("silver_days"),
+    ).withColumn("equal", F.col("gold_rows") == F.col("silver_days"))
+
+
 @query
 def gold_exceeds_silver(spark, sf_dir):
     stages = Stages(spark, sf_dir)
@@ -581,3 +598,23 @@ def run_log_orphans(spark, sf_dir):
 @query
 def run_log_status_counts(spark, sf_dir):
     return count_by(Stages(spark, sf_dir).run_log, "row_count", "model_name", "status")
+
+
+@query
+def latest_run(spark, sf_dir):
+    """The run that succeeded last, which is the one whose tables are current."""
+    succeeded = Stages(spark, sf_dir).run_log.where(F.col("status") == "SUCCESS")
+    return succeeded.groupBy("model_name").agg(
+        F.max_by("run_id", "completed_second").alias("run_id"),
+        F.max("completed_second").alias("completed_second"),
+    )
+
+
+@query
+def unloaded_rows(spark, sf_dir):
+    """Raw rows per day that a load would still take in: those of days not done yet."""
+    stages = Stages(spark, sf_dir)
+    done = stages.run_log.where(F.col("status") == "SUCCESS").select(
+        F.col("process_date").alias("date")
+    )
+    return count_by(stages.bronze.join(done, "date", "left_anti"), "row_count", "date")
