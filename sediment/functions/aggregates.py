@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sediment.functions.money import as_money
+from sediment.functions.money import as_total
 
 
 def count_where(condition: Column) -> Column:
@@ -14,11 +14,11 @@ def count_where(condition: Column) -> Column:
 
 def sum_where(condition: Column, value: Column) -> Column:
     """Sum over matching rows; null when none match."""
-    return as_money(F.sum(F.when(condition, value)))
+    return as_total(F.sum(F.when(condition, value)))
 
 
 def sum_where_or_zero(condition: Column, value: Column) -> Column:
-    return F.coalesce(sum_where(condition, value), as_money(F.lit(0)))
+    return F.coalesce(sum_where(condition, value), as_total(F.lit(0)))
 
 
 def mean_where(condition: Column, value: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sediment.schemas import MONEY
+from sediment.schemas import TOTAL
 
 
 def signed_amount(amount: Column, indicator: Column) -> Column:
@@ -36,6 +36,6 @@ def strict(raw: Column, kind: T.DataType, label: str) -> Column:
     return F.when(raw.isNotNull() & bad, F.raise_error(message).cast(kind)).otherwise(parsed)
 
 
-def as_money(column: Column) -> Column:
-    """Bring a decimal sum back to the stored money type."""
-    return column.cast(MONEY)
+def as_total(column: Column) -> Column:
+    """The type of stored sums: wide enough that no number of rows can overflow it."""
+    return column.cast(TOTAL)

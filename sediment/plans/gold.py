@@ -12,7 +12,7 @@ from sediment.functions.aggregates import (
     sum_where_or_zero,
 )
 from sediment.functions.dates import week_end, week_start
-from sediment.functions.money import as_money
+from sediment.functions.money import as_total
 from sediment.operators.lookup import broadcast_if_small
 from sediment.schemas import DAILY_CODES, GOLD_DAILY, GOLD_WEEKLY
 
@@ -42,7 +42,7 @@ def daily_summary(silver: DataFrame, run_id: str, at: Column | None = None) -> D
         .groupBy("transaction_date")
         .agg(
             F.count(F.lit(1)).alias("total_transactions"),
-            as_money(F.sum(amount)).alias("total_signed_amount"),
+            as_total(F.sum(amount)).alias("total_signed_amount"),
             count_where(F.col("channel") == "ONLINE").alias("online_transactions"),
             count_where(F.col("channel") == "IN_STORE").alias("instore_transactions"),
             *per_code,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 4)
+TOTAL = T.DecimalType(38, 4)
 
 # The domains below must match the extracts exactly.
 CHANNELS = ["ONLINE", "IN_STORE"]
@@ -125,11 +126,11 @@ QUARANTINE_ACCOUNTS = _join(ACCOUNT_SOURCE, _QUARANTINE_AUDIT, _PARTITION)
 GOLD_DAILY = _struct(
     transaction_date=_DATE,
     total_transactions=_LONG,
-    total_signed_amount=MONEY,
+    total_signed_amount=TOTAL,
     online_transactions=_LONG,
     instore_transactions=_LONG,
     **{
-        f"{name}_{kind}": (_LONG if kind == "count" else MONEY)
+        f"{name}_{kind}": (_LONG if kind == "count" else TOTAL)
         for name in DAILY_CODES
         for kind in ("count", "amount")
     },
@@ -144,9 +145,9 @@ GOLD_WEEKLY = _struct(
     week_end_date=_DATE,
     total_purchases=_LONG,
     avg_purchase_amount=T.DoubleType(),
-    total_payments=MONEY,
-    total_fees=MONEY,
-    total_interest=MONEY,
+    total_payments=TOTAL,
+    total_fees=TOTAL,
+    total_interest=TOTAL,
     closing_balance=MONEY,
     _computed_at=_INSTANT,
     _pipeline_run_id=_STRING,
