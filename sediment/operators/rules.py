@@ -76,7 +76,7 @@ def rejected(tagged: DataFrame) -> DataFrame:
 def with_code(transactions: DataFrame, codes: DataFrame) -> DataFrame:
     """Attach the debit/credit indicator and the signed amount; ``_code_known`` says if matched.
 
-    ``codes`` must hold one row per code (see ``contracts.duplicate_codes``). A side that is too
+    ``codes`` must hold one row per code (see ``contracts.duplicate_keys``). A side that is too
     large to broadcast falls back to a shuffled join, where adaptive execution splits the
     partitions of frequent codes.
     """

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import frames
-from frames import tx
 from sediment.operators.dedup import tag_transactions, verdicts
 from sediment.operators.lookup import broadcast_if_small, known_accounts, resolve_accounts
 from sediment.operators.rules import accepted, check_accounts, check_transactions, rejected
@@ -31,7 +30,9 @@ def lopsided(spark):
     file_day = F.date_add(F.lit("2024-01-01").cast("date"), (line % 5).cast("int"))
     return spark.range(n).select(
         F.when(hot, "HOT").otherwise(F.concat(F.lit("T"), line.cast("string"))).alias("transaction_id"),
-        F.when(line % 3 == 1, "A-HOT").otherwise(F.concat(F.lit("A"), (line % 500).cast("string"))).alias("account_id"),
+        F.when(line % 3 == 1, "A-HOT")
+        .otherwise(F.concat(F.lit("A"), (line % 500).cast("string")))
+        .alias("account_id"),
         file_day.alias("transaction_date"),
         F.lit(10).cast("decimal(18,4)").alias("amount"),
         F.lit("PURCH01").alias("transaction_code"),
