@@ -24,6 +24,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +34,14 @@ from sediment.llm.base import map_batches
 
 #: Where a text can be cut without changing a token.
 CUT = re.compile(r"(?<=\S)(?= \S)")
+#: White space beside white space or at a border: only then are there spaces that CUT passes over.
+ODD = re.compile(r"\s\s|\A\s|\s\Z")
 CACHED_PARTS = 300_000
 #: Parts longer than this are not kept in the cache.
 CACHED_LENGTH = 64
 
 
+@cache
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte: itself where printable, else one from 256 on."""
     printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
@@ -94,19 +98,42 @@ class PartEncoder:
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
-        self.known: dict[str, bytes] = {}
+        #: Ids of a part as it stands, and of a word with one space before it.
+        self.heads: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        if len(self.known) > CACHED_PARTS:
-            self.known.clear()
-        parts = [CUT.split(text) if text else [] for text in texts]
-        unknown = list({part for one in parts for part in one if part not in self.known})
-        found = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-        self.known.update((part, np.array(e.ids, "<u4").tobytes()) for part, e in zip(unknown, found, strict=True))
-        joined = [b"".join(map(self.known.__getitem__, one)) for one in parts]
-        for part in unknown:
-            if len(part) > CACHED_LENGTH:
-                del self.known[part]
+        if len(self.tails) + len(self.heads) > CACHED_PARTS:
+            self.heads.clear()
+            self.tails.clear()
+        heads, tails = [], []
+        for text in texts:
+            if not text:
+                heads.append([])
+                tails.append([])
+            elif ODD.search(text):
+                heads.append(CUT.split(text))
+                tails.append([])
+            else:
+                first, *rest = text.split(" ")
+                heads.append([first])
+                tails.append(rest)
+        new_heads = list(set(chain.from_iterable(heads)).difference(self.heads))
+        new_tails = list(set(chain.from_iterable(tails)).difference(self.tails))
+        found = self.tokenizer.encode_batch_fast(
+            [*new_heads, *(" " + word for word in new_tails)], add_special_tokens=False
+        )
+        found = [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.heads.update(zip(new_heads, found, strict=False))
+        self.tails.update(zip(new_tails, found[len(new_heads) :], strict=True))
+        joined = [
+            b"".join([*map(self.heads.__getitem__, head), *map(self.tails.__getitem__, tail)])
+            for head, tail in zip(heads, tails, strict=True)
+        ]
+        for known, new in ((self.heads, new_heads), (self.tails, new_tails)):
+            for part in new:
+                if len(part) > CACHED_LENGTH:
+                    del known[part]
         return joined
 
 
@@ -152,13 +179,40 @@ def decode_pieces(ids: Iterable[int], table: list[bytes]) -> Iterator[str]:
     yield decoder.decode(b"", final=True)
 
 
+@cache
+def packed_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens' bytes in one array, where each token begins, and its length."""
+    table = byte_table(path)
+    lengths = np.array([len(t) for t in table], np.int64)
+    return np.frombuffer(b"".join(table), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
+def joined_bytes(ids: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all ids one after the other, and where those of each id end."""
+    data, begins, lengths = packed_table(path)
+    sizes = lengths[ids]
+    ends = np.cumsum(sizes)
+    places = np.repeat(begins[ids] - (ends - sizes), sizes)
+    places += np.arange(len(places))
+    return data[places], ends
+
+
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """The id column, ``ids`` and ``decoded``, the bytes of the ids. Null ids decode to no bytes."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known = byte_table(path)
-        decoded = [b"".join(map(known.__getitem__, ids)) if ids else b"" for ids in batch.column(1).to_pylist()]
-        return pa.record_batch([*batch.columns, pa.array(decoded, pa.binary())], [id_col, "ids", "decoded"])
+        lists = batch.column(1)
+        if lists.null_count:
+            lists = pa.array([x or [] for x in lists.to_pylist()], pa.list_(pa.int32()))
+        ids = lists.flatten().to_numpy()
+        data, ends = joined_bytes(ids, path)
+        starts = np.concatenate([[0], ends])
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        offsets = starts[bounds - bounds[0]].astype(np.int32)
+        decoded = pa.Array.from_buffers(
+            pa.binary(), len(lists), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
+        )
+        return pa.record_batch([batch.column(0), lists, decoded], [id_col, "ids", "decoded"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
     return map_batches(encoded.select(id_col, ids_col), run, f"`{id_col}` {kind}, ids array<int>, decoded binary")
