@@ -2,6 +2,23 @@
 
 from __future__ import annotations
 
+from sediment.llm.line_quality import BOILERPLATE
+
+WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+SYMBOLS = "'#*$%&|<>'"
+
+
+def _bare(text: str) -> str:
+    return f"length(translate({text}, {WHITE}, ''))"
+
+
+def _count(text: str, characters: str) -> str:
+    return f"(length({text}) - length(translate({text}, {characters}, '')))"
+
+
+_LINE_WORDS = "len(string_split(trim(line, ' '), ' '))"
+_BOILERPLATE = "|".join(BOILERPLATE)
+
 ORACLE = {
     "op2_exact_dedup": """
         WITH rows AS (
@@ -11,4 +28,38 @@ ORACLE = {
             count(*) OVER (PARTITION BY norm) AS group_size,
             doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
         FROM rows""",
+    "op7_line_quality": f"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        windows AS (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_slice(w, i, i + 4)) AS n
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+        repeated AS (
+            SELECT doc_id, count(DISTINCT p) AS n
+            FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM windows WHERE n > 1) GROUP BY doc_id),
+        lines AS (
+            SELECT doc_id, line, {_bare("line")} AS bare
+            FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
+        judged AS (
+            SELECT doc_id, line, bare, bare > 0 AND (
+                {_count("line", SYMBOLS)} * 100 > bare * 10
+                OR {_count("line", "'!?'")} > {_LINE_WORDS} * 0.5
+                OR {_count("line", "'|'")} >= 2
+                OR ({_LINE_WORDS} <= 12 AND regexp_matches(lower(line), '{_BOILERPLATE}'))) AS fails
+            FROM lines),
+        by_doc AS (
+            SELECT doc_id, count(*) FILTER (WHERE bare > 0) - count(DISTINCT line) FILTER (WHERE bare > 0) AS n_dup_lines,
+                count(*) FILTER (WHERE fails) AS n_failed_lines,
+                coalesce(sum(bare) FILTER (WHERE fails), 0)::BIGINT AS lost_chars
+            FROM judged GROUP BY doc_id),
+        counted AS (
+            SELECT d.doc_id, len(w)::BIGINT AS n_words, {_bare("t")}::BIGINT AS word_chars,
+                {_count("t", SYMBOLS)}::BIGINT AS n_symbols, n_dup_lines,
+                coalesce(repeated.n, 0) AS n_repeat_words, n_failed_lines, lost_chars
+            FROM d JOIN by_doc USING (doc_id) LEFT JOIN repeated USING (doc_id))
+        SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+            NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * lost_chars <= 50 * word_chars AS kept
+        FROM counted""",
 }
