@@ -28,13 +28,29 @@ ORACLE = {
             count(*) OVER (PARTITION BY norm) AS group_size,
             doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
         FROM rows""",
+    "op3_substring_dedup": """
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        windows AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY part ORDER BY doc_id, i) AS n
+            FROM (
+                SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS part
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d))),
+        removed AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM windows WHERE n > 1),
+        gone AS (SELECT doc_id, list(p) AS ps FROM removed GROUP BY doc_id),
+        placed AS (
+            SELECT doc_id, w, ps, list_zip(w, range(1, len(w) + 1)) AS z FROM d LEFT JOIN gone USING (doc_id))
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+            sha256(CASE WHEN ps IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(
+                list_transform(list_filter(z, lambda x: NOT list_contains(ps, x[2])), lambda x: x[1]), ' ') END) AS kept_sha256
+        FROM placed""",
     "op7_line_quality": f"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS t,
                 regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
             FROM documents),
         windows AS (
-            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_slice(w, i, i + 4)) AS n
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(list_slice(w, i, i + 4), ' ')) AS n
             FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
         repeated AS (
             SELECT doc_id, count(DISTINCT p) AS n
