@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import byte_bpe, exact_dedup, line_quality, packing, substring_dedup
+from sediment.llm import byte_bpe, exact_dedup, line_quality, near_dedup, packing, substring_dedup
 from sediment.llm.base import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
 @register
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_quality.line_quality(table(spark, sf_dir, "documents"))
