@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import byte_bpe, exact_dedup, line_quality, near_dedup, packing, substring_dedup
+from sediment.llm import byte_bpe, exact_dedup, line_quality, near_dedup, packing, pseudonyms, substring_dedup
 from sediment.llm.base import table
 
+#: Only for the registered queries; a real run passes a secret of its own.
+QUERY_KEY = b"registered queries"
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -35,6 +38,11 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
 
 
+@register
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.personal_values(table(spark, sf_dir, "documents"), QUERY_KEY)
+
+
 @register
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_quality.line_quality(table(spark, sf_dir, "documents"))
