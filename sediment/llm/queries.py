@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import byte_bpe, exact_dedup, line_quality, near_dedup, packing, pseudonyms, substring_dedup
+from sediment.llm import byte_bpe, compression_quality, exact_dedup, line_quality, near_dedup, packing, pseudonyms, substring_dedup
 from sediment.llm.base import table
 
 #: Only for the registered queries; a real run passes a secret of its own.
@@ -55,6 +55,11 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path, end_id=0, capacity=2048, with_ids=False)
 
 
+@register
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
