@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import byte_bpe, compression_quality, exact_dedup, line_quality, near_dedup, packing, pseudonyms, substring_dedup
+from sediment.llm import byte_bpe, compression_quality, exact_dedup, line_quality, near_dedup, packing, pseudonyms, substring_dedup, toxicity
 from sediment.llm.base import table
 
 #: Only for the registered queries; a real run passes a secret of its own.
@@ -33,6 +33,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.drop("features")
+
+
 @register
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
