@@ -24,7 +24,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,8 @@ from sediment.llm.base import map_batches
 CUT = re.compile(r"(?<=\S)(?= \S)")
 #: White space beside white space or at a border: only then are there spaces that CUT passes over.
 ODD = re.compile(r"\s\s|\A\s|\s\Z")
-CACHED_PARTS = 300_000
+#: At most so many parts are kept by a worker; beyond it the later half goes, as frequent parts come early.
+CACHED_PARTS = 600_000
 #: Parts longer than this are not kept in the cache.
 CACHED_LENGTH = 64
 
@@ -103,9 +104,10 @@ class PartEncoder:
         self.tails: dict[str, bytes] = {}
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        if len(self.tails) + len(self.heads) > CACHED_PARTS:
-            self.heads.clear()
-            self.tails.clear()
+        for known in (self.heads, self.tails):
+            if len(known) > CACHED_PARTS:
+                for part in list(islice(known, CACHED_PARTS // 2, None)):
+                    del known[part]
         heads, tails = [], []
         for text in texts:
             if not text:

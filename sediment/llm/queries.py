@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import byte_bpe, compression_quality, exact_dedup, line_quality, near_dedup, packing, pseudonyms, substring_dedup, toxicity
+from sediment.llm import byte_bpe, compression_quality, exact_dedup, language, line_quality, near_dedup, packing, pseudonyms, substring_dedup, toxicity
 from sediment.llm.base import table
 
 #: Only for the registered queries; a real run passes a secret of its own.
@@ -22,6 +22,21 @@ def register(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return function
 
 
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over documents: the source is the host, the language column the declaration; there is no suffix."""
+    docs = table(spark, sf_dir, "documents")
+    return language.languages_of(docs, F.col("lang"), F.col("source"), F.lit(None))
+
+
+@register
+def language_id_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over pages, with all three kinds of evidence."""
+    pages = table(spark, sf_dir, "pages")
+    pages = pages.select("page_id", language.page_text("html").alias("text"), language.host_of("url").alias("host"), language.markup_language("html").alias("declared"))
+    return language.languages_of(pages, F.col("declared"), F.col("host"), language.suffix_of(F.col("host")), "page_id")
+
+
 @register
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
