@@ -25,9 +25,14 @@ def ship(spark: SparkSession) -> None:
         context.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """What the operators need of a session: this package on the executors, and small Arrow batches."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -1,7 +1,7 @@
 """Language by Bayesian evidence: the text's likelihood, the declared markup language, and a prior of
 the host that is smoothed towards its address suffix, and that towards all hosts.
 
-1. Likelihoods. Per language a distribution over hashed byte trigrams, counted over all documents by
+1. Likelihoods. Per language a distribution over hashed byte trigrams without digits, counted over all documents by
    their declared language (grouped sums of partial counts). "No language" is the uniform one, so
    noise that is unlike every language is not forced into one.
 2. First opinion. Likelihood times a flat prior gives each document shares of the languages.
@@ -44,13 +44,14 @@ LETTER = re.compile(r"[^\W\d_]")
 
 
 def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all byte trigrams of the lower-cased texts, and the bounds of each text's."""
+    """Buckets of the byte trigrams without digits of the lower-cased texts, and the bounds of each text's."""
     data, offsets = raw(column)
     low = LOWER[data].astype(np.uint64)
     if len(low) < 3:
         return np.zeros(0, np.int64), np.zeros(len(column) + 1, np.int64)
     grams = low[:-2] | low[1:-1] << np.uint64(8) | low[2:] << np.uint64(16)
-    inside = np.ones(len(grams), bool)
+    digit = (low >= 48) & (low <= 57)
+    inside = ~(digit[:-2] | digit[1:-1] | digit[2:])
     for back in (1, 2):
         cuts = offsets[1:-1] - back
         inside[cuts[(cuts >= 0) & (cuts < len(grams))]] = False
@@ -124,7 +125,8 @@ def sum_of(values: Column) -> Column:
 
 
 def smoothed(counts: list[str], total: Column, above: list[Column]) -> list[Column]:
-    return [(F.coalesce(F.col(c), F.lit(0.0)) + SMOOTHING * a) / (F.coalesce(total, F.lit(0.0)) + SMOOTHING) for c, a in zip(counts, above, strict=True)]
+    """Shares of the counts, as if ``SMOOTHING`` documents more had those of the level above."""
+    return [(F.col(c) + SMOOTHING * a) / (total + SMOOTHING) for c, a in zip(counts, above, strict=True)]
 
 
 def languages_of(
@@ -156,8 +158,9 @@ def languages_of(
     size = 1 << BUCKET_BITS
     # Smoothed towards all languages together, and that towards the uniform distribution.
     all_ = (counts.sum(axis=0) + 1) / (counts.sum() + size)
-    model = np.log(np.vstack([(counts + 1000 * all_) / (counts.sum(axis=1, keepdims=True) + 1000), np.full((1, size), 1 / size)]))
-    described = log_likelihoods(rows, model.astype(np.float32))
+    shares_of = (counts + 1000 * all_) / (counts.sum(axis=1, keepdims=True) + 1000)
+    model = np.log(np.vstack([shares_of, np.full((1, size), 1 / size)])).astype(np.float32)
+    described = log_likelihoods(rows, model)
     outcomes = len(languages) + 1
     flat = [float(np.log((1 - NO_LANGUAGE) / max(len(languages), 1)))] * len(languages) + [float(np.log(NO_LANGUAGE))]
     first = softmax(F.zip_with("_likelihood", F.array(*map(F.lit, flat)), lambda a, b: a + b))
@@ -172,13 +175,13 @@ def languages_of(
     # Reliability of declarations: languages x languages, with the diagonal favoured.
     reliable = {r["_d"]: r for r in table.groupBy(known.alias("_d")).agg(*again).collect() if r["_d"] is not None}
     per_language = [sum(reliable[d][s] for d in reliable) for s in shares]
-    declaration = {
-        d: [
-            float(np.log((reliable[d][s] + 1 + 9 * (k < len(languages) and languages[k] == d)) / (per_language[k] + 9 + len(languages))))
-            for k, s in enumerate(shares)
-        ]
-        for d in reliable
-    }
+
+
+    def says_of(declared: str, k: int) -> float:
+        agrees = k < len(languages) and languages[k] == declared
+        return float(np.log((reliable[declared][shares[k]] + 1 + 9 * agrees) / (per_language[k] + 9 + len(languages))))
+
+    declaration = {d: [says_of(d, k) for k in range(outcomes)] for d in reliable}
     whole = table.agg(*again).first()
     everything = sum(x or 0 for x in whole) or 1.0
     overall = [F.lit(float(((whole[k] or 0) + 1) / (everything + outcomes))) for k in range(outcomes)]
