@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: blank means only Unicode space separators (so a no-break space is blank and a
-# tab is not), which is what trimming does in the engine the extracts were first checked with.
-BLANK = r"^\p{Zs}*$"
+# Fixed value: blank means only Unicode space separators, so a no-break space is blank and a tab
+# or a line end is not.
+BLANK = r"\A\p{Zs}*\z"
 
 
 def missing_sql(text: list[str], other: list[str]) -> str:

@@ -22,10 +22,11 @@ class ContractViolation(RuntimeError):
 
 
 def require_empty(violations: DataFrame, message: str) -> None:
-    """Raise with a few examples if there is any violation."""
-    examples = violations.limit(5).collect()
-    if examples:
-        raise ContractViolation(f"{message}: {[row.asDict() for row in examples]}")
+    """Raise with the number of violations and a few examples if there is any."""
+    number = violations.count()
+    if number:
+        examples = [row.asDict() for row in violations.limit(5).collect()]
+        raise ContractViolation(f"{message}: {number} violations, among them {examples}")
 
 
 # --- conservation and completeness -------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.operators.lookup import resolve_accounts
-from sediment.operators.rules import REASON, accepted
+from sediment.operators.rules import REASON, accepted, rejected
 
 ROW_KEY = ["date", "_row_ordinal"]
 
@@ -56,26 +56,19 @@ def verdicts(
     checked: DataFrame,
     known: DataFrame,
     stored_ids: DataFrame | None = None,
-    single_day: bool = False,
 ) -> DataFrame:
-    """Outcome of the earliest row per (date, id): reason (null if promoted) and account flag.
-
-    ``single_day`` skips the look across days, which cannot matter when there is only one.
-    """
+    """Outcome of the earliest row per (date, id): reason (null if promoted) and account flag."""
     firsts = first_in_batch(accepted(checked))
     if stored_ids is None:
         firsts = firsts.withColumn("_stored", F.lit(False))
     else:
         firsts = stored_flag(firsts, stored_ids)
-    if single_day:
-        earlier = F.lit(False)
-    else:
-        # At most one row per day and id reaches this window, so no id can overload a task.
-        promotable = F.when(F.col("on_date") & ~F.col("_stored"), F.col("date"))
-        firsts = firsts.withColumn(
-            "_first_day", F.min(promotable).over(Window.partitionBy("transaction_id"))
-        )
-        earlier = F.coalesce(F.col("_first_day") < F.col("date"), F.lit(False))
+    # At most one row per day and id reaches this window, so no id can overload a task.
+    promotable = F.when(F.col("on_date") & ~F.col("_stored"), F.col("date"))
+    firsts = firsts.withColumn(
+        "_first_day", F.min(promotable).over(Window.partitionBy("transaction_id"))
+    )
+    earlier = F.coalesce(F.col("_first_day") < F.col("date"), F.lit(False))
     reason = F.when(F.col("_stored") | earlier, F.lit("DUPLICATE_TRANSACTION_ID")).when(
         ~F.col("on_date"), F.lit("INVALID_TRANSACTION_DATE")
     )
@@ -88,13 +81,18 @@ def tag_transactions(
     checked: DataFrame,
     known: DataFrame,
     stored_ids: DataFrame | None = None,
-    single_day: bool = False,
 ) -> DataFrame:
-    """Give every checked row its final reason; null means promoted."""
-    outcome = verdicts(checked, known, stored_ids, single_day)
+    """Give every checked row its final reason; null means promoted.
+
+    Rows that broke a row-level rule keep that reason and take no part in the join.
+    """
+    outcome = verdicts(checked, known, stored_ids)
     repeat = F.when(F.col("_first").isNull(), F.lit("DUPLICATE_TRANSACTION_ID"))
-    return (
-        checked.join(outcome, ROW_KEY, "left")
-        .withColumn(REASON, F.coalesce(F.col(REASON), repeat, F.col("_verdict")))
+    judged = (
+        accepted(checked)
+        .join(outcome, ROW_KEY, "left")
+        .withColumn(REASON, F.coalesce(repeat, F.col("_verdict")))
         .drop("_first", "_verdict", "_code_known")
     )
+    failed = rejected(checked).withColumn("_is_resolvable", F.lit(None).cast("boolean"))
+    return judged.unionByName(failed.drop("_code_known"))

@@ -5,21 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A code table has a handful of rows. This many narrow rows stay far below any executor's memory.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting that it has at most ``max_rows`` rows.
-
-    The count stops at ``max_rows + 1`` rows, so it stays cheap however large ``df`` is.
-    Beyond the bound ``df`` is returned unmarked and the join shuffles.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def known_accounts(accepted_deltas: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """One row per account with the first day it is known, in ``known_from``.
 

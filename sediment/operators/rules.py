@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sediment.functions.money import signed_amount
 from sediment.functions.text import missing_sql
-from sediment.operators.lookup import broadcast_if_small
 from sediment.schemas import ACCOUNT_STATUSES, CHANNELS
 
 REASON = "_rejection_reason"
@@ -76,13 +75,11 @@ def rejected(tagged: DataFrame) -> DataFrame:
 def with_code(transactions: DataFrame, codes: DataFrame) -> DataFrame:
     """Attach the debit/credit indicator and the signed amount; ``_code_known`` says if matched.
 
-    ``codes`` must hold one row per code (see ``contracts.duplicate_keys``). A side that is too
-    large to broadcast falls back to a shuffled join, where adaptive execution splits the
-    partitions of frequent codes.
+    ``codes`` must hold one row per code (see ``contracts.duplicate_keys``). Spark broadcasts it
+    by its size; else the join shuffles, and adaptive execution splits the partitions of frequent
+    codes.
     """
-    lookup = broadcast_if_small(
-        codes.selectExpr("transaction_code", "debit_credit_indicator", "true AS _matched")
-    )
+    lookup = codes.selectExpr("transaction_code", "debit_credit_indicator", "true AS _matched")
     signed = signed_amount(F.col("amount"), F.col("debit_credit_indicator"))
     return transactions.join(lookup, "transaction_code", "left").select(
         *[F.col(name) for name in transactions.columns],

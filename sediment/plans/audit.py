@@ -111,21 +111,16 @@ def incomplete_files(spark: SparkSession, source_dir: str, root: str) -> DataFra
     """Source files whose number of rows is not that of the raw layer."""
     lake = Lake(spark, root)
     parts = []
-    for entity, reader in (
-        ("transactions", csvfiles.read_transactions),
-        ("accounts", csvfiles.read_accounts),
-    ):
+    for entity in ("transactions", "accounts"):
         name = f"bronze_{entity}"
         days = sorted(Control(lake).done(name, with_rows=True))
         files = csvfiles.daily_files(spark, source_dir, entity, days[0], days[-1])
         paths = [files[d] for d in days if d in files]
-        parts.append(
-            contracts.same_counts(
-                reader(spark, paths, "audit", "1970-01-01 00:00:00"),
-                lake.days(name, days),
-                "_source_file",
-            )
-        )
+        # Counted from the lines, so that a fault of the CSV reader shows.
+        stored = lake.days(name, days).groupBy("_source_file").agg(F.count("*").alias("right"))
+        counted = csvfiles.count_records(spark, paths).withColumnRenamed("records", "left")
+        both = counted.join(stored, "_source_file", "full").fillna(0, ["left", "right"])
+        parts.append(both.where(F.col("left") != F.col("right")))
     return parts[0].unionByName(parts[1])
 
 

@@ -13,7 +13,6 @@ from sediment.functions.aggregates import (
 )
 from sediment.functions.dates import week_end, week_start
 from sediment.functions.money import as_total
-from sediment.operators.lookup import broadcast_if_small
 from sediment.schemas import DAILY_CODES, GOLD_DAILY, GOLD_WEEKLY
 
 
@@ -29,7 +28,7 @@ def period_bounds(silver: DataFrame) -> DataFrame:
     )
 
 
-def daily_summary(silver: DataFrame, run_id: str, at: Column | None = None) -> DataFrame:
+def daily_rows(silver: DataFrame) -> DataFrame:
     """One row per day. A hot day is pre-aggregated by every map task before the shuffle."""
     amount = F.col("_signed_amount")
     per_code = []
@@ -37,7 +36,7 @@ def daily_summary(silver: DataFrame, run_id: str, at: Column | None = None) -> D
         matches = F.col("transaction_code") == code
         per_code.append(count_where(matches).alias(f"{name}_count"))
         per_code.append(sum_where_or_zero(matches, amount).alias(f"{name}_amount"))
-    days = (
+    return (
         resolvable(silver)
         .groupBy("transaction_date")
         .agg(
@@ -48,6 +47,10 @@ def daily_summary(silver: DataFrame, run_id: str, at: Column | None = None) -> D
             *per_code,
         )
     )
+
+
+def finish_daily(days: DataFrame, run_id: str, at: Column | None = None) -> DataFrame:
+    """The mart from its days: the period they span and the run they are published by."""
     # The bounds come from the grouped days (one row per calendar day), not from a second pass
     # over the transactions or a cross join.
     all_days = Window.partitionBy()
@@ -60,20 +63,17 @@ def daily_summary(silver: DataFrame, run_id: str, at: Column | None = None) -> D
     )
 
 
-def weekly_account_summary(
-    silver: DataFrame,
-    codes: DataFrame,
-    accounts: DataFrame,
-    run_id: str,
-    at: Column | None = None,
-) -> DataFrame:
-    """One row per account and ISO week, with the account's latest balance on every row."""
+def daily_summary(silver: DataFrame, run_id: str, at: Column | None = None) -> DataFrame:
+    return finish_daily(daily_rows(silver), run_id, at)
+
+
+def weekly_rows(silver: DataFrame, codes: DataFrame) -> DataFrame:
+    """One row per account and ISO week."""
     kind, amount = F.col("transaction_type"), F.col("_signed_amount")
-    types = broadcast_if_small(codes.select("transaction_code", "transaction_type"))
-    weeks = (
+    return (
         resolvable(silver)
         .select("account_id", "transaction_date", "transaction_code", "_signed_amount")
-        .join(types, "transaction_code")
+        .join(codes.select("transaction_code", "transaction_type"), "transaction_code")
         .groupBy("account_id", week_start(F.col("transaction_date")).alias("week_start_date"))
         .agg(
             count_where(kind == "PURCHASE").alias("total_purchases"),
@@ -84,6 +84,12 @@ def weekly_account_summary(
         )
         .withColumn("week_end_date", week_end(F.col("week_start_date")))
     )
+
+
+def finish_weekly(
+    weeks: DataFrame, accounts: DataFrame, run_id: str, at: Column | None = None
+) -> DataFrame:
+    """The mart from its weeks, with the account's latest balance on every row."""
     balances = accounts.select("account_id", F.col("current_balance").alias("closing_balance"))
     return (
         weeks.join(balances, "account_id")
@@ -91,3 +97,19 @@ def weekly_account_summary(
         .withColumn("_pipeline_run_id", F.lit(run_id))
         .select(*GOLD_WEEKLY.fieldNames())
     )
+
+
+def weekly_account_summary(
+    silver: DataFrame,
+    codes: DataFrame,
+    accounts: DataFrame,
+    run_id: str,
+    at: Column | None = None,
+) -> DataFrame:
+    return finish_weekly(weekly_rows(silver, codes), accounts, run_id, at)
+
+
+def replaced(before: DataFrame, fresh: DataFrame, key: str, changed: list) -> DataFrame:
+    """``before`` without the days or weeks in ``changed``, and ``fresh`` in their place."""
+    kept = before.where(~F.col(key).isin(changed)) if changed else before
+    return kept.select(*fresh.columns).unionByName(fresh)

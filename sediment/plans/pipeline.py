@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.functions.dates import days_between
@@ -41,7 +41,12 @@ class Load:
     """One run over a set of days."""
 
     def __init__(
-        self, spark: SparkSession, source_dir: str, root: str, kind: str, id_buckets: int = 8
+        self,
+        spark: SparkSession,
+        source_dir: str,
+        root: str,
+        kind: str,
+        id_buckets: int | None = None,
     ) -> None:
         self.spark, self.source_dir, self.kind = spark, source_dir, kind
         self.lake = Lake(spark, root, id_buckets)
@@ -77,7 +82,7 @@ class Load:
         try:
             yield started
         except Exception as error:
-            message = str(error)[:4000]
+            message = str(error)
             failed = [
                 self.entry(m, "FAILED", started, d, error=message) for d in days for m in models
             ]
@@ -88,11 +93,11 @@ class Load:
 
     def codes(self) -> DataFrame:
         """The current code table, checked to be usable for promotion."""
-        current = self.lake.snapshot(
-            "silver_transaction_codes", self.control.latest_run("silver_transaction_codes")
-        )
-        if current.isEmpty():
-            raise ContractViolation("transaction codes are empty: nothing can be promoted")
+        name = "silver_transaction_codes"
+        with self.step([name], [None], []):
+            current = self.lake.snapshot(name, self.control.latest_run(name))
+            if current.isEmpty():
+                raise ContractViolation("transaction codes are empty: nothing can be promoted")
         return current
 
     def load_codes(self) -> None:
@@ -186,12 +191,12 @@ class Load:
 
     def load_silver(self, days: list[date]) -> None:
         """Promote the days' rows and commit accounts and transactions together."""
-        committed = sorted(self.control.done("silver_transactions") - set(days))
         codes = self.codes()
-        stored_accounts = self.lake.snapshot(
-            "silver_accounts", self.control.latest_run("silver_accounts")
-        )
         with self.step(ACCOUNT_MODELS, days, TRANSACTION_MODELS) as started_accounts:
+            committed = self.committed_days(set(days))
+            stored_accounts = self.lake.snapshot(
+                "silver_accounts", self.control.latest_run("silver_accounts")
+            )
             deltas = check_accounts(self.lake.days("bronze_accounts", days))
             account_entries = self._accounts(deltas, stored_accounts, days, started_accounts)
         with self.step(TRANSACTION_MODELS, days, ACCOUNT_MODELS) as started:
@@ -200,12 +205,13 @@ class Load:
             stored = None
             if committed:
                 stored = self.lake.days("silver_transactions", committed).select("transaction_id")
-            tagged = tag_transactions(
-                check_transactions(bronze, codes), known, stored, single_day=len(days) == 1
-            )
-            staged, path = self._stage(tagged)
-            counts = self._check_split(bronze, staged)
-            self._publish(staged, days, counts)
+            tagged = tag_transactions(check_transactions(bronze, codes), known, stored)
+            try:
+                staged = self._stage(tagged)
+                counts = self._check_split(bronze, staged)
+                self._publish(staged, days, counts)
+            finally:
+                remove(self.spark, self.lake.staging(self.run_id))
             entries = list(account_entries)
             for day in days:
                 raw, good, bad = counts.get(day, (0, 0, 0))
@@ -216,7 +222,12 @@ class Load:
                     self.entry("silver_quarantine", "SUCCESS", started, day, (bad, bad, None))
                 )
             self.control.append(entries)
-        remove(self.spark, path)
+
+    def committed_days(self, without: set[date]) -> list[date]:
+        """Days whose transactions are promoted, after a check that all with rows can be read."""
+        name = "silver_transactions"
+        self.lake.require_days(name, self.control.done(name, with_rows=True) - without)
+        return sorted(self.control.done(name) - without)
 
     def _accounts(
         self, deltas: DataFrame, stored: DataFrame, days: list[date], started: datetime
@@ -248,13 +259,13 @@ class Load:
             )
         return entries
 
-    def _stage(self, tagged: DataFrame) -> tuple[DataFrame, str]:
+    def _stage(self, tagged: DataFrame) -> DataFrame:
         """Write the outcome of every row once; both tables are cut from this one copy."""
         path = f"{self.lake.staging(self.run_id)}/tagged"
         outcome = F.when(F.col(REASON).isNull(), "accepted").otherwise("rejected")
         rows = tagged.withColumn("_outcome", outcome)
         rows.write.mode("overwrite").partitionBy("_outcome").parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path), path
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def _check_split(
         self, bronze: DataFrame, staged: DataFrame
@@ -276,7 +287,7 @@ class Load:
             "silver_quarantine": silver.quarantine_transactions(bad, self.run_id),
         }
         for position, (name, rows) in enumerate(parts.items(), start=1):
-            if name == "silver_quarantine" and len(days) > 1:
+            if name == "silver_quarantine":
                 # Files of even size per day: hot days are split, quiet days share a task.
                 rows = rows.hint("rebalance", F.col("date"))
             self.lake.clear_days(name, days)
@@ -289,19 +300,12 @@ class Load:
     # --- marts
 
     def load_gold(self) -> None:
-        """Rebuild both marts from all committed days."""
+        """Publish both marts: days committed since the current version, and the weeks they fall
+        in, are computed; all others are taken from that version, whose rows cannot have changed.
+        """
+        codes = self.codes()
         with self.step(GOLD_MODELS, [None], []) as started:
-            days = sorted(self.control.done("silver_transactions"))
-            promoted = self.lake.days("silver_transactions", days)
-            accounts = self.lake.snapshot(
-                "silver_accounts", self.control.latest_run("silver_accounts")
-            )
-            at = F.lit(started)
-            daily = gold.daily_summary(promoted, self.run_id, at).orderBy("transaction_date")
-            weekly = gold.weekly_account_summary(
-                promoted, self.codes(), accounts, self.run_id, at
-            ).orderBy("account_id", "week_start_date")
-            results = {"gold_daily_summary": daily, "gold_weekly_account_summary": weekly}
+            results = self.marts(codes, F.lit(started))
             for name, rows in results.items():
                 self.lake.write_snapshot(name, rows, self.run_id)
             stored = {name: self.lake.snapshot(name, self.run_id) for name in results}
@@ -317,18 +321,48 @@ class Load:
             )
 
 
-    def tidy(self, keep: int = 2) -> None:
+    def marts(self, codes: DataFrame, at: Column) -> dict[str, DataFrame]:
+        """The new versions; transactions are read of changed days and of their weeks only."""
+        name = "silver_transactions"
+        days = self.committed_days(set())
+        before = {model: self.control.latest_run(model) for model in GOLD_MODELS}
+        since = self.control.latest_start(GOLD_MODELS[0])
+        whole = since is None or None in before.values()
+        changed = days if whole else sorted(self.control.done_since(name, since))
+        weeks = sorted({day - timedelta(days=day.weekday()) for day in changed})
+        in_weeks = [day for day in days if day - timedelta(days=day.weekday()) in set(weeks)]
+        old_daily, old_weekly = (self.lake.snapshot(m, before[m]) for m in GOLD_MODELS)
+        accounts = self.lake.snapshot("silver_accounts", self.control.latest_run("silver_accounts"))
+        daily = gold.daily_rows(self.lake.days(name, changed))
+        weekly = gold.weekly_rows(self.lake.days(name, in_weeks), codes)
+        if not whole:
+            daily = gold.replaced(old_daily, daily, "transaction_date", changed)
+            weekly = gold.replaced(old_weekly, weekly, "week_start_date", weeks)
+        return {
+            "gold_daily_summary": gold.finish_daily(daily, self.run_id, at),
+            "gold_weekly_account_summary": gold.finish_weekly(weekly, accounts, self.run_id, at),
+        }
+
+    def tidy(self, keep: int) -> None:
         """Drop versions of whole tables older than the ``keep`` latest ones."""
         for name, runs in self.control.recent_runs(list(SNAPSHOTS), keep).items():
             self.lake.expire_snapshots(name, runs)
+        self.lake.sweep_staging(self.control.runs())
 
 
 def run_historical(
-    spark: SparkSession, source_dir: str, root: str, start: date, end: date, id_buckets: int = 8
+    spark: SparkSession,
+    source_dir: str,
+    root: str,
+    start: date,
+    end: date,
+    id_buckets: int | None = None,
+    keep: int = 2,
 ) -> str:
     """Load every day of the closed range that is not loaded yet; returns the run id.
 
-    ``id_buckets`` counts only for the first load into ``root``, see ``Lake``.
+    ``id_buckets`` counts only for the first load into ``root``, see ``Lake``. Of whole tables the
+    ``keep`` latest versions stay.
     """
     load = Load(spark, source_dir, root, HISTORICAL, id_buckets)
     load.load_codes()
@@ -344,11 +378,13 @@ def run_historical(
     mark = load.control.watermark()
     if mark is None or mark < end:
         load.control.advance(end, load.run_id)
-    load.tidy()
+    load.tidy(keep)
     return load.run_id
 
 
-def run_incremental(spark: SparkSession, source_dir: str, root: str) -> str | None:
+def run_incremental(
+    spark: SparkSession, source_dir: str, root: str, keep: int = 2
+) -> str | None:
     """Load the day after the high-water mark; None, and nothing written, if it has no file."""
     load = Load(spark, source_dir, root, INCREMENTAL)
     mark = load.control.watermark()
@@ -365,5 +401,5 @@ def run_incremental(spark: SparkSession, source_dir: str, root: str) -> str | No
         load.load_silver([day])
     load.load_gold()
     load.control.advance(day, load.run_id)
-    load.tidy()
+    load.tidy(keep)
     return load.run_id

@@ -156,6 +156,7 @@ GOLD_WEEKLY = _struct(
 CONTROL = _struct(
     last_processed_date=_DATE, updated_at=_UTC_NAIVE, updated_by_run_id=_STRING
 )
+# The columns of the control table and of the run log.
 RUN_LOG = T.StructType(
     [
         T.StructField("run_id", _STRING, False),
@@ -169,7 +170,7 @@ RUN_LOG = T.StructType(
         T.StructField("records_written", _LONG, True),
         T.StructField("records_rejected", _LONG, True),
         T.StructField("error_message", _STRING, True),
-        # Not in the original log: lets "is this date done?" be asked of the log itself.
+        # Lets "is this date done?" be asked of the log itself.
         T.StructField("process_date", _DATE, True),
     ]
 )

@@ -43,9 +43,9 @@ class LogEntry:
     def __post_init__(self) -> None:
         if self.status not in RUN_STATUSES:
             raise ValueError(f"status '{self.status}' is not one of {RUN_STATUSES}")
-        for field in ("run_id", "model_name", "started_at", "completed_at"):
-            if getattr(self, field) is None:
-                raise ValueError(f"{field} must not be null")
+        for field in RUN_LOG:
+            if not field.nullable and getattr(self, field.name) is None:
+                raise ValueError(f"{field.name} must not be null")
 
 
 class Control:
@@ -100,6 +100,20 @@ class Control:
             rows = rows.where(F.col("records_written") > 0)
         return {r["process_date"] for r in rows.select("process_date").distinct().collect()}
 
+    def runs(self) -> set[str]:
+        """All runs that have logged anything."""
+        return {r["run_id"] for r in self.log().select("run_id").distinct().collect()}
+
+    def done_since(self, model: str, at: datetime) -> set[date]:
+        """Days a model has succeeded for at or after a time."""
+        rows = self.succeeded(model).where(F.col("completed_at") >= F.lit(at))
+        return {r["process_date"] for r in rows.select("process_date").distinct().collect()}
+
+    def latest_start(self, model: str) -> datetime | None:
+        """When the run whose version of a table is current started on it."""
+        row = self.succeeded(model).agg(F.max_by("started_at", "completed_at").alias("at")).first()
+        return row["at"]
+
     def latest_run(self, model: str) -> str | None:
         """The run whose version of a table is current."""
         return (

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import date
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +15,7 @@ from sediment.functions.dates import file_date
 from sediment.functions.money import strict
 from sediment.functions.text import empty_to_null
 from sediment.schemas import ACCOUNT_SOURCE, CODE_SOURCE, TRANSACTION_SOURCE
-from sediment.sources.files import matching
+from sediment.sources.files import first_line, matching, qualified
 
 
 def daily_files(
@@ -25,22 +28,69 @@ def daily_files(
     return {d: path for d, path in found.items() if start <= d <= end}
 
 
-def read_typed(
-    spark: SparkSession, paths: list[str], schema: T.StructType, multi_line: bool = False
-) -> DataFrame:
-    """Read CSV files with a header row, binding columns to types by name.
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader([first_line(spark, path)]), ()))
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The files' lines as they are, with the number of quotes in each."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_name").alias("_source_file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+        "value",
+    )
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return lines.withColumn("quotes", quotes)
+
+
+def with_open_quotes(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the files in which a quoted field may go on in the next line.
+
+    A line of complete records has an even number of quotes. One pass over the lines; at most one
+    name per file comes back.
+    """
+    odd = _lines(spark, paths).where("quotes % 2 = 1").select("path").distinct().collect()
+    found = {_plain(unquote(r["path"])) for r in odd}
+    return [path for path in paths if _plain(qualified(spark, path)) in found]
 
-    All columns are read as text first, since a schema given to the reader binds by position
-    and the extracts do not agree on an order. Every file must carry the same header; rows with
-    a wrong number of fields and values that do not fit their type exactly raise. Files are
-    split across tasks unless ``multi_line`` allows line breaks inside quoted fields.
+
+def _plain(path: str) -> str:
+    """A path without its scheme, which is written in more than one way."""
+    return path.split(":", 1)[-1].lstrip("/")
+
+
+def read_typed(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Read CSV files with a header row, binding columns to types by name, file by file.
+
+    All columns are read as text first, since a schema given to the reader binds by position and
+    the extracts do not agree on an order; columns that the schema does not name are left out.
+    Quotes are doubled inside quoted fields, a backslash is a plain character, and quoted fields
+    can hold line breaks. Files without such line breaks are split across tasks. Rows with a wrong
+    number of fields and values that do not fit their type exactly raise.
 
     Adds ``_row_ordinal`` (position in the file) and ``_source_file``.
     """
-    header = spark.read.option("header", True).csv(paths[0]).columns
-    absent = [name for name in schema.names if name not in header]
-    if absent:
-        raise ValueError(f"{paths[0]}: columns missing from header: {absent}")
+    whole = set(with_open_quotes(spark, paths))
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for path in paths:
+        header = header_of(spark, path)
+        absent = [name for name in schema.names if name not in header]
+        if absent:
+            raise ValueError(f"{path}: columns missing from header: {absent}")
+        groups.setdefault((header, path in whole), []).append(path)
+    parts = [_read_alike(spark, p, schema, *kind) for kind, p in groups.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_alike(
+    spark: SparkSession,
+    paths: list[str],
+    schema: T.StructType,
+    header: tuple[str, ...],
+    multi_line: bool,
+) -> DataFrame:
+    """Files with the same header."""
     text = T.StructType([T.StructField(name, T.StringType()) for name in header])
     raw = (
         spark.read.schema(text)
@@ -48,12 +98,13 @@ def read_typed(
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("columnPruning", False)
+        .option("escape", '"')
         .option("multiLine", multi_line)
         .csv(paths)
     )
     return raw.select(
         *[
-            strict(empty_to_null(F.col(f.name)), f.dataType, f.name).alias(f.name)
+            strict(empty_to_null(F.col(f"`{f.name}`")), f.dataType, f.name).alias(f.name)
             for f in schema.fields
         ],
         F.col("_metadata.file_name").alias("_source_file"),
@@ -64,6 +115,25 @@ def read_typed(
     )
 
 
+def count_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Records per file without the CSV reader: lines that end outside quotes, the header aside.
+
+    Files with quoted line breaks are gone through in order, one task each, as the reader does too;
+    of all others the lines are counted.
+    """
+    whole = with_open_quotes(spark, paths)
+    plain = [path for path in paths if path not in set(whole)]
+    parts = []
+    if plain:
+        parts.append(_lines(spark, plain))
+    if whole:
+        before = Window.partitionBy("_source_file").orderBy("place")
+        lines = _lines(spark, whole).withColumn("seen", F.sum("quotes").over(before))
+        parts.append(lines.where("seen % 2 = 0").drop("seen"))
+    ends = reduce(DataFrame.unionByName, parts).where("value <> ''")
+    return ends.groupBy("_source_file").agg((F.count("*") - 1).alias("records"))
+
+
 def _stamp(rows: DataFrame, run_id: str, ingested_at: str) -> DataFrame:
     source = [c for c in rows.columns if not c.startswith("_")]
     return rows.select(

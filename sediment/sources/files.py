@@ -1,4 +1,7 @@
-"""Questions to the file system, whichever one a path names."""
+"""Questions to the file system, whichever one a path names.
+
+They go through the driver's gateway, so the lake needs a classic session, not a remote one.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +13,23 @@ def _locate(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full address of a path, with its file system; a relative one starts at the working folder."""
+    target, system = _locate(spark, path)
+    return system.makeQualified(target).toString()
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, without its end; only the beginning of the file is read."""
+    target, system = _locate(spark, path)
+    jvm = spark._jvm.java.io
+    reader = jvm.BufferedReader(jvm.InputStreamReader(system.open(target), "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target, system = _locate(spark, path)
     return system.exists(target)

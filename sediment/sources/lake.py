@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment import schemas
-from sediment.sources.files import exists, matching, remove
+from sediment.sources.files import exists, matching, qualified, remove
 
 DAILY = {
     "bronze_transactions": ("bronze/transactions", schemas.BRONZE_TRANSACTIONS),
@@ -60,17 +60,28 @@ BUCKET_KEY = "transaction_id"
 LAYOUT = T.StructType([T.StructField("id_buckets", T.IntegerType())])
 
 
+def _quoted(text: str) -> str:
+    """``text`` inside single quotes of SQL."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+class LakeError(RuntimeError):
+    """What is stored is not what the log or the catalog says."""
+
+
 class Lake:
-    """Tables under ``root``.
+    """Tables under ``root``, which may be relative to the working folder.
 
     ``id_buckets`` is fixed when silver is first written, and read back from then on. Choose it
-    so that a bucket of one day makes a file of a reasonable size: 8 suits small lakes, a few
-    thousand one of 100 TB.
+    so that a bucket of one day makes a file of a reasonable size; a few thousand suit a lake of
+    100 TB. Unless given it is the session's number of shuffle partitions, so that the lookup of
+    new ids has as many tasks as any other shuffle.
     """
 
-    def __init__(self, spark: SparkSession, root: str, id_buckets: int = 8) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
-        self._id_buckets, self._declared = id_buckets, False
+    def __init__(self, spark: SparkSession, root: str, id_buckets: int | None = None) -> None:
+        self.spark, self.root = spark, qualified(spark, root).rstrip("/")
+        self._id_buckets = id_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._declared = False
 
     def days(self, name: str, dates: list[date]) -> DataFrame:
         """The given days of a daily table; other partitions are not opened."""
@@ -81,6 +92,18 @@ class Lake:
             table = read_or_empty(self.spark, f"{self.root}/{path}", schema)
         return table.where(F.col("date").isin(dates))
 
+    def require_days(self, name: str, dates: set[date]) -> None:
+        """Raise unless each of the days, known to have rows, can be seen."""
+        path, _ = DAILY[name]
+        found = matching(self.spark, f"{self.root}/{path}/date=*") if dates else []
+        seen = {version.rsplit("=", 1)[-1] for version in found}
+        if name == BUCKETED and dates:
+            listed = self.spark.sql(f"SHOW PARTITIONS {self._bucketed_table()}").collect()  # one per day
+            seen &= {row[0].rsplit("=", 1)[-1] for row in listed}
+        lost = sorted(str(day) for day in dates if str(day) not in seen)
+        if lost:
+            raise LakeError(f"{name}: committed days are not to be found: {', '.join(lost)}")
+
     def _layout_path(self) -> str:
         return f"{self.root}/pipeline/layout"
 
@@ -98,8 +121,12 @@ class Lake:
                 f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
                 f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (date) "
                 f"CLUSTERED BY ({BUCKET_KEY}) INTO {self.id_buckets()} BUCKETS "
-                f"LOCATION '{self.root}/{path}'"
+                f"LOCATION '{_quoted(f'{self.root}/{path}')}'"
             )
+            detail = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+            location = qualified(self.spark, detail.first()["data_type"]).rstrip("/")
+            if location != f"{self.root}/{path}":
+                raise LakeError(f"{name} is at {location} in the catalog, not at {self.root}/{path}")
             if exists(self.spark, f"{self.root}/{path}"):
                 # The catalog may not know days written by other sessions.
                 self.spark.sql(f"MSCK REPAIR TABLE {name}")
@@ -172,3 +199,9 @@ class Lake:
         """Run-scoped folder for intermediate tables, on storage every executor can reach."""
         shared = self.spark.conf.get("spark.checkpoint.dir", None)
         return f"{shared or self.root + '/_staging'}/{run_id}"
+
+    def sweep_staging(self, runs: set[str]) -> None:
+        """Remove the intermediate tables that runs which died have left."""
+        for folder in matching(self.spark, self.staging("*")):
+            if folder.rstrip("/").rsplit("/", 1)[-1] in runs:
+                remove(self.spark, folder)

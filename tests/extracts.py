@@ -1,7 +1,9 @@
-"""The baseline week of extracts, written out for a test."""
+"""A week of extracts, written out for a test."""
+
 
 from __future__ import annotations
 
+from decimal import Decimal
 from pathlib import Path
 
 TX_HEADER = "transaction_id,account_id,transaction_date,amount,transaction_code,merchant_name,channel"
@@ -9,7 +11,7 @@ ACCOUNT_HEADER = (
     "account_id,customer_name,account_status,credit_limit,current_balance,open_date,"
     "billing_cycle_start,billing_cycle_end"
 )
-# The order in the file is not the order of the stored columns.
+# The four codes. The order in the file is not the order of the stored columns.
 CODES = """transaction_code,description,debit_credit_indicator,transaction_type,affects_balance
 PURCH01,Purchase,DR,PURCHASE,true
 PAY01,Payment,CR,PAYMENT,true
@@ -17,75 +19,90 @@ FEE01,Annual Fee,DR,FEE,true
 INT01,Interest Charge,DR,INTEREST,true
 """
 
-# Per day: account, amount, code, merchant, channel. Ids are numbered in order.
+# Per day: account, amount, code, merchant as written, channel. Ids are numbered in order.
 WEEK = {
     "2024-01-01": [
-        "ACC-001,50.00,PURCH01,Amazon,ONLINE",
-        "ACC-002,120.00,PURCH01,Target,IN_STORE",
-        "ACC-001,200.00,PAY01,,ONLINE",
-        "ACC-ORPHAN,75.00,PURCH01,Walmart,IN_STORE",
-        "ACC-001,25.00,PURCH01,Best Buy,DRIVE_THRU",
+        ("K-10", "12.40", "PURCH01", '"Corner, Shop"', "ONLINE"),
+        ("K-11", "310.05", "PURCH01", "Tea House", "IN_STORE"),
+        ("K-99", "8.88", "PURCH01", '"The ""Quick"" Bite"', "ONLINE"),
+        ("K-10", "40.00", "PAY01", "", "KIOSK"),
     ],
     "2024-01-02": [
-        "ACC-001,85.00,PURCH01,Whole Foods,ONLINE",
-        "ACC-003,300.00,PAY01,,ONLINE",
-        "ACC-002,45.00,PURCH01,CVS,IN_STORE",
-        "ACC-ORPHAN,60.00,PURCH01,Shell,IN_STORE",
-        "ACC-001,15.00,FEE01,,DRIVE_THRU",
+        ("K-12", "77.70", "PAY01", "", "ONLINE"),
+        ("K-12", "5.5", "FEE01", "", "IN_STORE"),
+        ("K-11", "0", "PURCH01", "Tea House", "ONLINE"),
+        ("K-10", "19.99", "PURCH01", "Book \\ Nook", "IN_STORE"),
+        ("K-99", "3.10", "INT01", "", "ONLINE"),
+        ("K-10", "60.01", "PURCH01", "Florist", "ONLINE"),
     ],
     "2024-01-03": [
-        "ACC-002,500.00,PAY01,,ONLINE",
-        "ACC-003,95.00,PURCH01,Nordstrom,IN_STORE",
-        "ACC-001,30.00,INT01,,ONLINE",
-        "ACC-ORPHAN,110.00,PURCH01,Costco,IN_STORE",
-        "ACC-002,40.00,PURCH01,Walgreens,DRIVE_THRU",
+        ("K-11", "250", "PAY01", "", "ONLINE"),
+        ("K-12", "33.33", "PURCH01", "Bakery", "IN_STORE"),
+        ("K-10", "1.25", "INT01", "", "ONLINE"),
+        ("K-11", "9.75", "GIFT9", "Bakery", "ONLINE"),
     ],
     "2024-01-04": [
-        "ACC-001,175.00,PURCH01,Apple Store,ONLINE",
-        "ACC-002,65.00,PURCH01,Trader Joes,IN_STORE",
-        "ACC-003,400.00,PAY01,,ONLINE",
-        "ACC-ORPHAN,90.00,PURCH01,Home Depot,IN_STORE",
-        "ACC-003,20.00,FEE01,,DRIVE_THRU",
+        ("K-12", "14.95", "PURCH01", "Cinema", "ONLINE"),
+        ("K-12", "14.95", "PURCH01", "Cinema", "ONLINE"),
+        ("K-99", "120.00", "PAY01", "", "IN_STORE"),
     ],
     "2024-01-05": [
-        "ACC-003,55.00,PURCH01,Gap,ONLINE",
-        "ACC-001,800.00,PAY01,,ONLINE",
-        "ACC-002,35.00,PURCH01,Rite Aid,IN_STORE",
-        "ACC-ORPHAN,45.00,PURCH01,Exxon,IN_STORE",
-        "ACC-001,30.00,INT01,,DRIVE_THRU",
+        ("K-10", "500.5", "PAY01", "", "IN_STORE"),
+        ("K-11", "2.02", "FEE01", "", "ONLINE"),
+        ("", "4.00", "PURCH01", "Newsagent", "ONLINE"),
+        ("K-12", "81.19", "PURCH01", '"Hats\nand more"', "IN_STORE"),
     ],
     "2024-01-06": [
-        "ACC-001,220.00,PURCH01,Nike,ONLINE",
-        "ACC-003,150.00,PURCH01,Macys,IN_STORE",
-        "ACC-002,600.00,PAY01,,ONLINE",
-        "ACC-ORPHAN,80.00,PURCH01,BP,IN_STORE",
-        "ACC-002,25.00,INT01,,DRIVE_THRU",
+        ("K-11", "64.00", "PURCH01", "Garage", "IN_STORE"),
+        ("K-10", "7.07", "PURCH01", "Newsagent", "ONLINE"),
+        ("K-99", "15.15", "PURCH01", "Garage", "IN_STORE"),
+        ("K-12", "11.00", "INT01", "", "FAX"),
     ],
     "2024-01-07": [
-        "ACC-002,70.00,PURCH01,Starbucks,IN_STORE",
-        "ACC-001,1000.00,PAY01,,ONLINE",
-        "ACC-003,130.00,PURCH01,REI,IN_STORE",
-        "ACC-ORPHAN,55.00,PURCH01,Chevron,IN_STORE",
-        "ACC-003,15.00,FEE01,,DRIVE_THRU",
+        ("K-11", "18.80", "PURCH01", "Tea House", "ONLINE"),
+        ("K-12", "260.00", "PAY01", "", "ONLINE"),
+        ("K-10", "45.45", "PURCH01", "Florist", "IN_STORE"),
+        ("K-10", "45.45", "PURCH01", "Florist", "DOOR"),
     ],
 }
 BALANCES = {
-    "ACC-001": [1200, 1150, 1300, 1250, 1200, 1350, 1300],
-    "ACC-002": [850, 730, 630, 580, 530, 480, 430],
-    "ACC-003": [None, 2000, 1950, 1900, 1850, 1800, 1750],
+    "K-10": [410, 395, 501, 388, 142, 260, 331],
+    "K-11": [95, 105, 77, 210, 64, 128, 12],
+    "K-12": [None, 1010, 990, 1203, 940, 955, 870],
 }
+KINDS = {"PURCH01": "purchases", "PAY01": "payments", "FEE01": "fees", "INT01": "interest"}
+
+
+def reason(row: tuple) -> str | None:
+    """Why a row of the week is rejected, worked out one row at a time."""
+    account, amount, code, _, channel = row
+    if not account:
+        return "NULL_REQUIRED_FIELD"
+    if Decimal(amount) <= 0:
+        return "INVALID_AMOUNT"
+    if code not in KINDS:
+        return "INVALID_TRANSACTION_CODE"
+    return None if channel in ("ONLINE", "IN_STORE") else "INVALID_CHANNEL"
+
+
+def promoted(day: str) -> list[tuple[str, Decimal, str, str, bool]]:
+    """Account, signed amount, code, channel and account flag of a day's good rows."""
+    known = [a for a, b in BALANCES.items() if any(x is not None for x in b[: int(day[-2:])])]
+    return [
+        (account, Decimal(amount) * (-1 if code == "PAY01" else 1), code, channel, account in known)
+        for account, amount, code, _, channel in [r for r in WEEK[day] if reason(r) is None]
+    ]
 
 
 def transaction_lines(day: str) -> list[str]:
-    lines = []
-    for n, rest in enumerate(WEEK[day], start=1):
-        account, tail = rest.split(",", 1)
-        lines.append(f"TXN-{day[-2:]}-{n:03d},{account},{day},{tail}")
-    return lines
+    return [
+        f"P-{day[-2:]}-{n},{account},{day},{amount},{code},{merchant},{channel}"
+        for n, (account, amount, code, merchant, channel) in enumerate(WEEK[day], start=1)
+    ]
 
 
 def account_line(account: str, balance, status: str = "ACTIVE", name: str = "Someone") -> str:
-    return f"{account},{name},{status},5000.00,{balance}.00,2020-01-15,2024-01-01,2024-01-31"
+    return f"{account},{name},{status},2500.00,{balance}.00,2021-06-30,2024-01-01,2024-01-31"
 
 
 def account_lines(day: str) -> list[str]:

@@ -76,7 +76,7 @@ def one_pass(spark, rows, deltas, days, stored_ids=None, stored_accounts=None):
     checked = check_transactions(frames.transactions(spark, rows).where(picked), frames.codes(spark))
     tagged_deltas = check_accounts(frames.accounts(spark, deltas).where(picked))
     known = known_accounts(accepted(tagged_deltas), stored_accounts)
-    tagged = tag_transactions(checked, known, stored_ids, single_day=len(days) == 1)
+    tagged = tag_transactions(checked, known, stored_ids)
     got = {
         tuple(r["_row_ordinal"]): r["_rejection_reason"]
         if r["_rejection_reason"]

@@ -5,7 +5,6 @@ from datetime import date
 
 import pytest
 
-from sediment.functions.dates import calendar
 from sediment.operators.contracts import invalid_log_rows
 from sediment.sources.control import Control, LogEntry, now
 from sediment.sources.lake import Lake
@@ -58,8 +57,3 @@ def test_latest_run(spark, tmp_path):
     control.append([entry(model_name="silver_accounts", run_id="new")])
     control.append([entry(model_name="silver_accounts", run_id="bad", status="FAILED")])
     assert control.latest_run("silver_accounts") == "new"
-
-
-def test_calendar(spark):
-    rows = calendar(spark, date(2024, 2, 28), date(2024, 3, 1)).collect()
-    assert [r["date"].day for r in rows] == [28, 29, 1]

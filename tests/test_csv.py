@@ -86,14 +86,44 @@ def test_missing_column_raises(spark, tmp_path):
         load(spark, tmp_path, ["T1,A"], header="transaction_id,account_id")
 
 
-def test_differing_headers_raise(spark, tmp_path):
+def test_headers_differ_by_file(spark, tmp_path):
     extracts.write_transactions(tmp_path, DAY, [good(1)])
     other = tmp_path / "transactions_2024-01-02.csv"
-    other.write_text("account_id,transaction_id,transaction_date,amount,transaction_code,"
-                     "merchant_name,channel\nA,T1,2024-01-02,1.00,PURCH01,M,ONLINE\n")
+    other.write_text("account_id,transaction_id,note,transaction_date,amount,transaction_code,"
+                     "merchant_name,channel\nA,T2,x,2024-01-02,1.00,PURCH01,M,ONLINE\n")
     paths = [str(tmp_path / f"transactions_{DAY}.csv"), str(other)]
-    with pytest.raises(Exception):
-        csvfiles.read_transactions(spark, paths, "r1", "2024-02-01 00:00:00").collect()
+    rows = csvfiles.read_transactions(spark, paths, "r1", "2024-02-01 00:00:00").collect()
+    got = {(r["transaction_id"], r["account_id"], r["date"].day, r["channel"]) for r in rows}
+    assert got == {("T1", "A", 1, "ONLINE"), ("T2", "A", 2, "ONLINE")}
+    assert "note" not in rows[0].asDict()
+
+
+MERCHANTS = ['"Joe ""The"" Diner"', '"Joe ""The"", Diner"', "ends in \\", '"a\nb"', '"a, b"', '"x\n\n""y"""', "5 inch"]
+
+
+def test_quotes_and_line_breaks_as_another_reader_takes_them(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    rows = load(spark, tmp_path, [good(n, merchant=m) for n, m in enumerate(MERCHANTS)]).collect()
+    path = tmp_path / f"transactions_{DAY}.csv"
+    wanted = duckdb.sql(
+        f"SELECT transaction_id, merchant_name FROM read_csv('{path}', all_varchar = true, header = true)"
+    ).fetchall()
+    assert sorted((r["transaction_id"], r["merchant_name"]) for r in rows) == sorted(wanted)
+    counted = csvfiles.count_records(spark, [str(path)]).collect()
+    assert [tuple(r) for r in counted] == [(path.name, len(MERCHANTS))]
+
+
+def test_only_files_with_open_quotes_are_read_whole(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+    try:
+        plain = load(spark, tmp_path, [good(n, merchant='"a ""b"""') for n in range(3000)])
+        assert plain.rdd.getNumPartitions() > 8
+        broken = load(spark, tmp_path, [good(n, merchant='"a\nb"') for n in range(3000)])
+        assert broken.rdd.getNumPartitions() == 1 and broken.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_row_position_follows_the_file(spark, tmp_path):

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 import shutil
+from collections import Counter
 from datetime import date
 from pathlib import Path
 from types import SimpleNamespace
@@ -14,7 +16,7 @@ from sediment.plans import audit, pipeline
 from sediment.plans.pipeline import run_historical, run_incremental
 from sediment.sources import csvfiles
 from sediment.sources.control import Control
-from sediment.sources.lake import SNAPSHOTS, Lake
+from sediment.sources.lake import SNAPSHOTS, Lake, LakeError
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 7)
 CLOCKS = ["_promoted_at", "_rejected_at", "_pipeline_run_id", "_computed_at"]
@@ -49,60 +51,62 @@ def week(spark, tmp_path_factory):
     return source, root, run_id
 
 
-def test_baseline_counts(spark, week):
+def good(n=7):
+    return [row for day in list(extracts.WEEK)[:n] for row in extracts.promoted(day)]
+
+
+ALL_ROWS = sum(map(len, extracts.WEEK.values()))
+
+
+def test_week_counts(spark, week):
     lake = Lake(spark, week[1])
-    assert lake.days("bronze_transactions", days()).count() == 35
+    assert lake.days("bronze_transactions", days()).count() == ALL_ROWS
     assert lake.days("bronze_accounts", days()).count() == 20
     silver = lake.days("silver_transactions", days())
     flags = {r["_is_resolvable"]: r["count"] for r in silver.groupBy("_is_resolvable").count().collect()}
-    assert flags == {True: 21, False: 7}
+    assert flags == dict(Counter(row[-1] for row in good()))
     reasons = lake.days("silver_quarantine", days()).groupBy("_rejection_reason").count().collect()
-    assert [tuple(r) for r in reasons] == [("INVALID_CHANNEL", 7)]
+    wanted = Counter(extracts.reason(row) for rows in extracts.WEEK.values() for row in rows)
+    assert {tuple(r) for r in reasons} == {(k, n) for k, n in wanted.items() if k}
     assert current(lake, "silver_accounts").count() == 3
     assert current(lake, "silver_transaction_codes").count() == 4
-
-
-def test_baseline_daily(spark, week):
-    rows = current(Lake(spark, week[1]), "gold_daily_summary").orderBy("transaction_date").collect()
-    # total, signed, online, in store, purchases n / amount, payments n / amount, interest n / amount
-    expected = [
-        (3, -30, 2, 1, 2, 170, 1, -200, 0, 0),
-        (3, -170, 2, 1, 2, 130, 1, -300, 0, 0),
-        (3, -375, 2, 1, 1, 95, 1, -500, 1, 30),
-        (3, -160, 2, 1, 2, 240, 1, -400, 0, 0),
-        (3, -710, 2, 1, 2, 90, 1, -800, 0, 0),
-        (3, -230, 2, 1, 2, 370, 1, -600, 0, 0),
-        (3, -800, 1, 2, 2, 200, 1, -1000, 0, 0),
-    ]
-    names = [
-        "total_transactions", "total_signed_amount", "online_transactions", "instore_transactions",
-        "purchases_count", "purchases_amount", "payments_count", "payments_amount",
-        "interest_count", "interest_amount",
-    ]
-    assert [tuple(r[n] for n in names) for r in rows] == expected
-    unused = ["fees_count", "fees_amount", "refunds_count", "refunds_amount"]
-    assert {tuple(r[n] for n in unused) for r in rows} == {(0, 0, 0, 0)}
+    merchants = {r["merchant_name"] for r in lake.days("bronze_transactions", days()).collect()}
+    assert {"Corner, Shop", 'The "Quick" Bite', "Book \\ Nook", "Hats\nand more", None} <= merchants
+
+
+def test_week_daily(spark, week):
+    rows = current(Lake(spark, week[1]), "gold_daily_summary").collect()
+    assert len(rows) == 7
+    for row in rows:
+        known = [r for r in extracts.promoted(str(row["transaction_date"])) if r[-1]]
+        assert row["total_transactions"] == len(known)
+        assert row["total_signed_amount"] == sum(r[1] for r in known)
+        assert row["online_transactions"] == sum(r[3] == "ONLINE" for r in known)
+        assert row["instore_transactions"] == sum(r[3] == "IN_STORE" for r in known)
+        for code, kind in [*extracts.KINDS.items(), ("REF01", "refunds")]:
+            amounts = [r[1] for r in known if r[2] == code]
+            assert (row[f"{kind}_count"], row[f"{kind}_amount"]) == (len(amounts), sum(amounts))
     assert {(r["_source_period_start"], r["_source_period_end"]) for r in rows} == {(FIRST, LAST)}
 
 
-def test_baseline_weekly(spark, week):
+def test_week_by_account(spark, week):
     rows = current(Lake(spark, week[1]), "gold_weekly_account_summary").collect()
-    got = {
-        r["account_id"]: (
-            r["total_purchases"], r["avg_purchase_amount"], r["total_payments"],
-            r["total_fees"], r["total_interest"], r["closing_balance"],
-        )
-        for r in rows
-    }
-    assert got == {
-        "ACC-001": (4, 132.5, -2000, None, 30, 1300),
-        "ACC-002": (5, 67.0, -1100, None, None, 430),
-        "ACC-003": (4, 107.5, -700, None, None, 1750),
-    }
+    assert {r["account_id"] for r in rows} == set(extracts.BALANCES)
+    for row in rows:
+        by_code = {
+            code: [r[1] for r in good() if r[-1] and r[0] == row["account_id"] and r[2] == code]
+            for code in extracts.KINDS
+        }
+        assert row["total_purchases"] == len(by_code["PURCH01"])
+        mean = float(sum(by_code["PURCH01"])) / len(by_code["PURCH01"])
+        assert row["avg_purchase_amount"] == pytest.approx(mean)
+        for code, name in (("PAY01", "payments"), ("FEE01", "fees"), ("INT01", "interest")):
+            assert row[f"total_{name}"] == (sum(by_code[code]) if by_code[code] else None)
+        assert row["closing_balance"] == extracts.BALANCES[row["account_id"]][-1]
     assert {(r["week_start_date"], r["week_end_date"]) for r in rows} == {(FIRST, LAST)}
 
 
-def test_baseline_log(spark, week):
+def test_week_log(spark, week):
     control = Control(Lake(spark, week[1]))
     assert status_counts(control) == {"SUCCESS": 46}
     assert control.watermark() == LAST
@@ -117,9 +121,9 @@ def test_baseline_log(spark, week):
         )
         .collect()
     }
-    assert totals["silver_transactions"] == (35, 28, 7)
+    assert totals["silver_transactions"] == (ALL_ROWS, len(good()), ALL_ROWS - len(good()))
     assert totals["silver_accounts"] == (20, 20, 0)
-    assert totals["gold_daily_summary"] == (21, 7, None)
+    assert totals["gold_daily_summary"] == (sum(row[-1] for row in good()), 7, None)
     assert {r["run_id"] for r in control.log().select("run_id").distinct().collect()} == {week[2]}
 
 
@@ -162,7 +166,7 @@ def test_rerun_then_increments(spark, tmp_path):
     assert run_incremental(spark, source, root) is not None
     assert control.log().count() == logged + 8
     assert control.watermark() == LAST
-    assert lake.days("silver_transactions", days()).count() == 28
+    assert lake.days("silver_transactions", days()).count() == len(good())
 
     # Nothing left to do: nothing is written.
     before_files = files(root)
@@ -180,7 +184,7 @@ def test_rerun_then_increments(spark, tmp_path):
 def test_increment_copies_are_duplicates_or_misdated(spark, tmp_path):
     """A file that repeats another day's rows promotes none of them."""
     source, root = place(tmp_path)
-    bad = extracts.account_line("ACC-009", 1, status="PENDING")
+    bad = extracts.account_line("K-19", 1, status="PENDING")
     extracts.write_accounts(
         Path(source), "2024-01-01", [*extracts.account_lines("2024-01-01"), bad]
     )
@@ -281,7 +285,7 @@ def test_crash_before_commit_can_be_run_again(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     # A smaller range comes first and takes ids that the dead load had published for day 7, so
     # nothing of day 7 is promoted now and its left-over partition must not come back.
-    taken = [f"{id},ACC-001,2024-01-06,1.00,PURCH01,,ONLINE" for id in
+    taken = [f"{id},K-10,2024-01-06,1.00,PURCH01,,ONLINE" for id in
              [line.split(",")[0] for line in extracts.transaction_lines("2024-01-07")]]
     day_six = extracts.transaction_lines("2024-01-06")
     shutil.rmtree(Path(root) / "bronze" / "transactions" / "date=2024-01-06")
@@ -293,9 +297,10 @@ def test_crash_before_commit_can_be_run_again(spark, tmp_path, monkeypatch):
     run_historical(spark, source, root, FIRST, date(2024, 1, 6))
     run_historical(spark, source, root, FIRST, LAST)
     assert lake.days("silver_transactions", [LAST]).isEmpty()
-    assert lake.days("silver_quarantine", [LAST]).count() == 5
+    assert lake.days("silver_quarantine", [LAST]).count() == len(taken)
     silver = lake.days("silver_transactions", days())
-    assert silver.count() == 29 and silver.where("_is_resolvable").count() == 23
+    assert silver.count() == len(good(6)) + len(taken)
+    assert silver.where("_is_resolvable").count() == sum(r[-1] for r in good(6)) + len(taken)
     assert audit.flag_violations(spark, root).isEmpty()
     assert control.watermark() == LAST
 
@@ -319,3 +324,68 @@ def test_staging_uses_the_shared_folder(spark, tmp_path, monkeypatch):
         conf = SimpleNamespace(get=lambda key, default, value=setting: value or default)
         monkeypatch.setattr(lake, "spark", SimpleNamespace(conf=conf))
         assert lake.staging("r1") == f"{folder}/r1"
+
+
+def test_relative_root_in_two_sessions(spark, tmp_path, monkeypatch):
+    """A root that is relative to the working folder gives the tables an absolute one gives."""
+    source, root = place(tmp_path)
+    work = tmp_path / "work"
+    work.mkdir()
+    # The folder the session resolves relative paths against is the JVM's, so lead there from it.
+    relative = os.path.relpath(work / "lake", spark._jvm.java.lang.System.getProperty("user.dir"))
+    for one in (relative, root):
+        run_historical(spark, source, one, FIRST, date(2024, 1, 2))
+        name = Lake(spark, one)._bucketed_table()
+        spark.sql(f"DROP TABLE {name}")  # what another session's catalog knows
+        run_incremental(spark.newSession(), source, one)
+    assert (work / "lake" / "silver" / "transactions").exists()
+    for name in ("silver_transactions", "silver_quarantine"):
+        one, other = (Lake(spark, r).days(name, days(3)) for r in (relative, root))
+        assert one.count() == other.count() > 0
+        assert changed_rows(one, other, [*CLOCKS, "_bronze_ingested_at"]).isEmpty()
+    for name in ("gold_daily_summary", "gold_weekly_account_summary"):
+        one, other = (current(Lake(spark, r), name) for r in (relative, root))
+        assert one.count() == other.count() and changed_rows(one, other, CLOCKS).isEmpty()
+    assert audit.rerun_differences(spark, root).isEmpty()
+
+
+def test_lost_days_stop_a_load(spark, tmp_path):
+    source, root = place(tmp_path)
+    run_historical(spark, source, root, FIRST, date(2024, 1, 2))
+    shutil.rmtree(Path(root, "silver", "transactions", "date=2024-01-01"))
+    with pytest.raises(LakeError, match="2024-01-01"):
+        run_incremental(spark, source, root)
+
+
+def test_errors_are_logged_whole_and_staging_is_removed(spark, tmp_path, monkeypatch):
+    source, root = place(tmp_path)
+    text = "x" * 10_000
+
+    def die(self, *args):
+        raise OSError(text)
+
+    monkeypatch.setattr(pipeline.Load, "_check_split", die)
+    with pytest.raises(OSError):
+        run_historical(spark, source, root, FIRST, FIRST)
+    lake = Lake(spark, root)
+    control = Control(lake)
+    messages = {r["error_message"] for r in control.log().where("status = 'FAILED'").collect()}
+    assert messages == {text}
+    for run in control.runs():
+        assert not Path(lake.staging(run).removeprefix("file:")).exists()
+
+
+def test_increment_reads_only_changed_days_for_the_marts(spark, tmp_path, monkeypatch):
+    source, root = place(tmp_path)
+    run_historical(spark, source, root, FIRST, date(2024, 1, 5))
+    asked = []
+    read = Lake.days
+    monkeypatch.setattr(Lake, "days", lambda self, name, dates: asked.append((name, dates)) or read(self, name, dates))
+    load = pipeline.Load(spark, source, root, "INCREMENTAL")
+    load.marts(load.codes(), F.current_timestamp())
+    assert asked == [("silver_transactions", [])] * 2
+    monkeypatch.undo()
+    for _ in range(2):
+        run_incremental(spark, source, root)
+    assert audit.rerun_differences(spark, root).isEmpty()
+    assert current(Lake(spark, root), "gold_daily_summary").count() == 7

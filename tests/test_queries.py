@@ -10,10 +10,12 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
+from sediment.plans import queries as registered
+from sediment.plans.oracle import oracle
 
 duckdb = pytest.importorskip("duckdb")
 DATA = Path("/root/testdata/sf0.001")
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = dict(registered.REGISTRY), oracle()
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
 
@@ -44,6 +46,7 @@ def rows(columns, data):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= driver.queries().keys() and ORACLE.keys() <= driver.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

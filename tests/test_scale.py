@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 import frames
 from sediment.operators.dedup import tag_transactions, verdicts
-from sediment.operators.lookup import broadcast_if_small, known_accounts, resolve_accounts
+from sediment.operators.lookup import known_accounts, resolve_accounts
 from sediment.operators.rules import accepted, check_accounts, check_transactions, rejected
 from sediment.plans import gold, silver
 
@@ -78,10 +78,13 @@ def test_full_rows_are_joined_on_their_position(spark, lopsided, known):
     assert "_row_ordinal" in join and "date" in join and "transaction_id" not in join
 
 
-def test_single_day_needs_no_window(spark, lopsided, known):
+def test_rejected_rows_take_no_part_in_the_join(spark, lopsided, known):
     checked = check_transactions(lopsided, frames.codes(spark))
-    assert "Window" in plan(verdicts(checked, known))
-    assert "Window" not in plan(verdicts(checked, known, single_day=True))
+    tagged = tag_transactions(checked, known)
+    text = plan(tagged)
+    union = text.index("Union")
+    assert "Join" in text[union:] and text.count("SortMergeJoin [date") <= 1
+    assert tagged.count() == checked.count()
 
 
 def test_hot_account_is_split_when_the_dimension_is_large(spark, lopsided, known):
@@ -113,14 +116,6 @@ def test_hot_account_is_split_when_the_dimension_is_large(spark, lopsided, known
     assert "skew=true" in text
 
 
-def test_broadcast_is_guarded_by_a_count(spark):
-    small, large = spark.range(10), spark.range(1_000)
-    assert "broadcast" in broadcast_if_small(small, 100)._jdf.queryExecution().logical().toString()
-    kept = broadcast_if_small(large, 100)
-    assert "broadcast" not in kept._jdf.queryExecution().logical().toString()
-    assert kept.count() == 1_000
-
-
 def test_marts_pre_aggregate(spark, lopsided, known):
     tagged = tag_transactions(check_transactions(lopsided, frames.codes(spark)), known)
     promoted = silver.promote_transactions(tagged, "r")
@@ -169,7 +164,7 @@ def test_stored_ids_are_not_shuffled(spark, tmp_path, lopsided, known):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         new = checked.where(F.col("date") == F.lit(frames.day(5)))
-        outcome = verdicts(new, known, stored, single_day=True)
+        outcome = verdicts(new, known, stored)
         text = plan(outcome)
         reasons = {r["_verdict"]: r["count"] for r in outcome.groupBy("_verdict").count().collect()}
     finally:
