@@ -48,6 +48,31 @@ class LogEntry:
                 raise ValueError(f"{field.name} must not be null")
 
 
+def succeeded(log: DataFrame, model: str | None = None) -> DataFrame:
+    rows = log.where(F.col("status") == "SUCCESS")
+    return rows if model is None else rows.where(F.col("model_name") == model)
+
+
+def days_done(log: DataFrame, model: str) -> DataFrame:
+    """``process_date`` of the days a model has succeeded for, each once."""
+    return succeeded(log, model).select("process_date").distinct()
+
+
+def current_runs(log: DataFrame, order: str = "completed_at") -> DataFrame:
+    """Per model the run that succeeded last, which is the one whose version is current."""
+    return (
+        succeeded(log)
+        .groupBy("model_name")
+        .agg(F.max_by("run_id", order).alias("run_id"), F.max(order).alias(order))
+    )
+
+
+def latest_mark(rows: DataFrame) -> DataFrame:
+    """The control row with the latest processed date; no row before the first run."""
+    latest = rows.agg(F.max(F.struct(*rows.columns)).alias("latest"))
+    return latest.where(F.col("latest").isNotNull()).select("latest.*")
+
+
 class Control:
     def __init__(self, lake: Lake) -> None:
         self.lake, self.spark = lake, lake.spark
@@ -57,10 +82,7 @@ class Control:
     # --- high-water mark
 
     def current(self) -> DataFrame:
-        """The control row with the latest processed date; no row before the first run."""
-        rows = read_or_empty(self.spark, self._control, CONTROL)
-        latest = rows.agg(F.max(F.struct(*CONTROL.names)).alias("latest"))
-        return latest.where(F.col("latest").isNotNull()).select("latest.*")
+        return latest_mark(read_or_empty(self.spark, self._control, CONTROL))
 
     def watermark(self) -> date | None:
         row = self.current().first()
@@ -91,7 +113,7 @@ class Control:
             )
 
     def succeeded(self, model: str) -> DataFrame:
-        return self.log().where((F.col("model_name") == model) & (F.col("status") == "SUCCESS"))
+        return succeeded(self.log(), model)
 
     def done(self, model: str, with_rows: bool = False) -> set[date]:
         """Days a model has succeeded for; at most one entry per calendar day."""
@@ -116,9 +138,8 @@ class Control:
 
     def latest_run(self, model: str) -> str | None:
         """The run whose version of a table is current."""
-        return (
-            self.succeeded(model).agg(F.max_by("run_id", "completed_at").alias("run_id")).first()
-        )["run_id"]
+        row = current_runs(self.log()).where(F.col("model_name") == model).first()
+        return row["run_id"] if row else None
 
     def recent_runs(self, models: list[str], keep: int) -> dict[str, list[str]]:
         """Per model the ``keep`` latest runs that succeeded, at most ``keep`` rows each."""
