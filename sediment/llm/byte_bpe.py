@@ -34,9 +34,7 @@ from sediment.llm.base import map_batches
 
 #: Where a text can be cut without changing a token.
 CUT = re.compile(r"(?<=\S)(?= \S)")
-#: White space beside white space or at a border: only then are there spaces that CUT passes over.
-ODD = re.compile(r"\s\s|\A\s|\s\Z")
-#: At most so many parts are kept by a worker; beyond it the later half goes, as frequent parts come early.
+#: At most so many parts of either kind are kept by a worker; beyond it the later half goes, as frequent parts come early.
 CACHED_PARTS = 600_000
 #: Parts longer than this are not kept in the cache.
 CACHED_LENGTH = 64
@@ -94,11 +92,21 @@ def encoder_of_file(path: str):
     return tokenizer
 
 
+def clean(word: str) -> bool:
+    """Whether the spaces around a word are single spaces between visible characters."""
+    return bool(word) and not word[0].isspace() and not word[-1].isspace()
+
+
 class PartEncoder:
-    """Encodes texts part by part; ids are little-endian 32-bit numbers in a byte string."""
+    """Encodes texts part by part; ids are little-endian 32-bit numbers in a byte string.
 
-    def __init__(self, tokenizer) -> None:
+    Unknown words are encoded as one text, whose ids are then cut by their numbers of bytes.
+    """
+
+    def __init__(self, tokenizer, sizes: np.ndarray) -> None:
         self.tokenizer = tokenizer
+        #: Bytes of each id's token.
+        self.sizes = sizes
         #: Ids of a part as it stands, and of a word with one space before it.
         self.heads: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -108,26 +116,25 @@ class PartEncoder:
             if len(known) > CACHED_PARTS:
                 for part in list(islice(known, CACHED_PARTS // 2, None)):
                     del known[part]
+        split = [text.split(" ") if text else [] for text in texts]
+        new_tails = set(chain.from_iterable(split)).difference(self.tails)
+        odd = {word for word in new_tails if not clean(word)}
         heads, tails = [], []
-        for text in texts:
-            if not text:
-                heads.append([])
-                tails.append([])
-            elif ODD.search(text):
+        for words, text in zip(split, texts, strict=True):
+            if not words:
+                heads.append(())
+                tails.append(())
+            elif odd and not odd.isdisjoint(words):
                 heads.append(CUT.split(text))
-                tails.append([])
+                tails.append(())
             else:
-                first, *rest = text.split(" ")
-                heads.append([first])
-                tails.append(rest)
+                heads.append(words[:1])
+                tails.append(islice(words, 1, None))
         new_heads = list(set(chain.from_iterable(heads)).difference(self.heads))
-        new_tails = list(set(chain.from_iterable(tails)).difference(self.tails))
-        found = self.tokenizer.encode_batch_fast(
-            [*new_heads, *(" " + word for word in new_tails)], add_special_tokens=False
-        )
-        found = [np.array(e.ids, "<u4").tobytes() for e in found]
-        self.heads.update(zip(new_heads, found, strict=False))
-        self.tails.update(zip(new_tails, found[len(new_heads) :], strict=True))
+        found = self.tokenizer.encode_batch_fast(new_heads, add_special_tokens=False)
+        self.heads.update((part, np.array(e.ids, "<u4").tobytes()) for part, e in zip(new_heads, found, strict=True))
+        new_tails = list(new_tails - odd)
+        self.tails.update(zip(new_tails, self._together(new_tails), strict=True))
         joined = [
             b"".join([*map(self.heads.__getitem__, head), *map(self.tails.__getitem__, tail)])
             for head, tail in zip(heads, tails, strict=True)
@@ -138,12 +145,32 @@ class PartEncoder:
                     del known[part]
         return joined
 
+    def _together(self, words: list[str]) -> list[bytes]:
+        if not words:
+            return []
+        text = " " + " ".join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum([1 + len(word.encode()) for word in words])
+        after = np.cumsum(self.sizes[ids])
+        cuts = (4 * (np.searchsorted(after, ends) + 1)).tolist()
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+
+def token_sizes(tokenizer) -> np.ndarray:
+    """Bytes of each id's token: its characters, each of which stands for a byte."""
+    sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for name, i in tokenizer.get_vocab().items():
+        sizes[i] = len(name)
+    return sizes
+
 
 @cache
 def part_encoder(path: str, pattern: str | None) -> PartEncoder:
     """One per worker, so that its cache outlives a task."""
     gc.freeze()
-    return PartEncoder(encoder_of_ranks(path, pattern) if pattern else encoder_of_file(path))
+    tokenizer = encoder_of_ranks(path, pattern) if pattern else encoder_of_file(path)
+    return PartEncoder(tokenizer, token_sizes(tokenizer))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
