@@ -136,20 +136,16 @@ class Forest:
     """Spanning forest of the links seen, for numbers below ``size``."""
 
     def __init__(self, size: int) -> None:
-        self.parent = list(range(size))
+        self.label = np.arange(size)
         self.edges: list[tuple[int, int]] = []
 
-    def root(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = self.parent[self.parent[x]]
-            x = self.parent[x]
-        return x
-
-    def link(self, x: int, y: int) -> None:
-        a, b = self.root(x), self.root(y)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-            self.edges.append((x, y))
+    def link(self, x: int, others: np.ndarray) -> None:
+        """Link ``x`` to each of ``others``; at most ``size - 1`` calls in all change anything."""
+        apart = others[self.label[others] != self.label[x]]
+        while len(apart):
+            self.edges.append((x, int(apart[0])))
+            self.label[self.label == self.label[apart[0]]] = self.label[x]
+            apart = apart[self.label[apart] != self.label[x]]
 
 
 def alike(brief: np.ndarray, least: float, forest: Forest, left: np.ndarray, right: np.ndarray) -> None:
@@ -157,10 +153,9 @@ def alike(brief: np.ndarray, least: float, forest: Forest, left: np.ndarray, rig
     step = max(1, (1 << 22) // max(1, len(right) * brief.shape[1]))
     for begin in range(0, len(left), step):
         rows = left[begin : begin + step]
-        agreed = (brief[rows][:, None, :] == brief[right][None, :, :]).mean(axis=2)
-        for i, j in np.argwhere(agreed >= least):
-            if rows[i] != right[j]:
-                forest.link(int(rows[i]), int(right[j]))
+        agreed = (brief[rows][:, None, :] == brief[right][None, :, :]).mean(axis=2) >= least
+        for i, linked in zip(rows, agreed, strict=True):
+            forest.link(int(i), right[linked])
 
 
 def candidate_edges(cells: DataFrame, least: float) -> DataFrame:
@@ -241,8 +236,7 @@ def verified(cells: DataFrame, threshold: float) -> DataFrame:
                     if not own:
                         documents[some[linked]] += copies[i]
                         texts[some[linked]] += 1
-                    for j in some[linked]:
-                        forest.link(i, int(j))
+                    forest.link(i, some[linked])
             linked = np.flatnonzero(texts)
             rows = [(ids[i], None, int(documents[i]), int(texts[i])) for i in linked]
             rows += [(ids[x], ids[y], 0, 0) for x, y in forest.edges]

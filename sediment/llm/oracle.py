@@ -50,8 +50,10 @@ ORACLE = {
                 regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
             FROM documents),
         windows AS (
-            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(list_slice(w, i, i + 4), ' ')) AS n
-            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, part) AS n
+            FROM (
+                SELECT doc_id, i, array_to_string(list_slice(w, i, i + 4), ' ') AS part
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d))),
         repeated AS (
             SELECT doc_id, count(DISTINCT p) AS n
             FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM windows WHERE n > 1) GROUP BY doc_id),

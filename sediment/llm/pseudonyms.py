@@ -1,5 +1,7 @@
 """Format-preserving pseudonyms: validated personal values are permuted, under a key, within their format.
 
+Emails, phone, card, account and social security numbers, addresses of machines, dates, and given
+passwords, tokens and keys are recognised; where a format has check digits or ranges they must hold.
 A value is turned into a number below the size of its format (the digits of a phone number, the day
 of a date, the letters and digits of a mailbox). A Feistel network over that number's bits, repeated
 until the result is a valid value again, permutes the valid values of a format. So equal values have
@@ -168,7 +170,19 @@ def bank(text: str, key: bytes, back: bool) -> str | None:
 
 
 def secret(text: str, key: bytes, back: bool) -> str | None:
-    return spelled(text, key, "secret", back, HEX if text.lower() == text else UPPER_HEX)
+    if text[:4] in ("AKIA", "ASIA"):
+        return text[:4] + spelled(text[4:], key, "access", back, (CLASSES[0] + CLASSES[2],))
+    if re.fullmatch("[0-9a-f]+", text):
+        return spelled(text, key, "secret", back, HEX)
+    if re.fullmatch("[0-9A-F]+", text):
+        return spelled(text, key, "secret", back, UPPER_HEX, lambda t: not t.isdigit())
+    return spelled(text, key, "secret", back, valid=lambda t: not re.fullmatch("[0-9a-f]+|[0-9A-F]+", t))
+
+
+def assigned(text: str, key: bytes, back: bool) -> str | None:
+    """What is given as a password, token or key; words without a digit are none."""
+    value = re.search(r"[A-Za-z0-9]+\Z", text)[0]
+    return text[: -len(value)] + secret(value, key, back) if any(c.isdigit() for c in value) else None
 
 
 @dataclass(frozen=True)
@@ -182,7 +196,14 @@ EDGE, END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 KINDS = {
     "email": Kind(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}", email),
     "bank": Kind(EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}" + END, bank),
-    "secret": Kind(EDGE + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})" + END, secret),
+    "assigned": Kind(
+        r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
+        r"[A-Za-z0-9]{8,128}" + END,
+        assigned,
+    ),
+    "secret": Kind(
+        EDGE + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:AKIA|ASIA)[A-Z0-9]{16})" + END, secret
+    ),
     "address": Kind(r"(?<![0-9A-Za-z.])\d{1,3}(?:\.\d{1,3}){3}(?![0-9A-Za-z]|\.\d)", address),
     "day": Kind(
         EDGE + r"(?:\d{4}([-/.])\d\d\1\d\d|\d\d([/.-])\d\d\2\d{4})" + END,
@@ -197,8 +218,10 @@ KINDS = {
     ),
 }
 FIND = [(name, re.compile(kind.pattern), kind.replace) for name, kind in KINDS.items()]
-#: A value has an @ or three digits close together.
-HINT = re.compile(r"@|\d[ .()/-]{0,3}\d[ .()/-]{0,3}\d|[0-9a-fA-F]{32}")
+#: A value has an @, three digits close together, 32 hexadecimal digits, or one of the words before it.
+HINT = re.compile(
+    r"@|\d[ .()/-]{0,3}\d[ .()/-]{0,3}\d|[0-9a-fA-F]{32}|AKIA|ASIA|(?i:password|passwd|pwd|secret|token|key)[ \t]*[=:]"
+)
 
 
 def replaced(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, list[str]]]:
