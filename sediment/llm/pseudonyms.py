@@ -218,16 +218,22 @@ KINDS = {
     ),
 }
 FIND = [(name, re.compile(kind.pattern), kind.replace) for name, kind in KINDS.items()]
-#: A value has an @, three digits close together, 32 hexadecimal digits, or one of the words before it.
-HINT = re.compile(
-    r"@|\d[ .()/-]{0,3}\d[ .()/-]{0,3}\d|[0-9a-fA-F]{32}|AKIA|ASIA|(?i:password|passwd|pwd|secret|token|key)[ \t]*[=:]"
-)
+#: A value has an @, three digits close together, 32 hexadecimal digits, or something that names it.
+HINT = re.compile(r"@|\d[ .()/-]{0,3}\d[ .()/-]{0,3}\d|[0-9a-fA-F]{32}")
+NAMED = re.compile(r"(?i:password|passwd|pwd|secret|token|key)[ \t]*[=:]")
+
+
+def hinted(text: str) -> bool:
+    """Whether the text can have a value at all."""
+    if HINT.search(text) or "AKIA" in text or "ASIA" in text:
+        return True
+    return ("=" in text or ":" in text) and bool(NAMED.search(text))
 
 
 def replaced(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, list[str]]]:
     """The text with its values permuted, and the values found by kind."""
     found: dict[str, list[str]] = {}
-    if not HINT.search(text):
+    if not hinted(text):
         return text, found
     taken: list[tuple[int, int, str]] = []
     covered = bytearray(len(text))
