@@ -61,6 +61,19 @@ def missing_rows(subset: DataFrame, whole: DataFrame, columns: list[str]) -> Dat
     return row_surplus(subset, whole, columns).where(F.col("surplus") > 0)
 
 
+def untraceable(rejects: DataFrame, raw: DataFrame, columns: list[str]) -> DataFrame:
+    """Rejects without a raw row at their day and position that has the same values.
+
+    Positions are unique and spread evenly, so one narrow join does and nothing is grouped.
+    """
+    there = raw.select(
+        "date", "_row_ordinal", F.struct(*columns).alias("_raw"), F.lit(True).alias("_there")
+    )
+    joined = rejects.join(there, ["date", "_row_ordinal"], "left")
+    same = F.struct(*columns).eqNullSafe(F.col("_raw"))
+    return joined.where(F.col("_there").isNull() | ~same).drop("_raw", "_there")
+
+
 # --- uniqueness, domains, references -----------------------------------------------------
 
 

@@ -56,10 +56,10 @@ def violations(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "signs": contracts.wrong_signs(silver),
         "rows_on_their_day": contracts.misplaced_rows(silver),
         "raw_rows_on_their_day": contracts.misfiled_rows(raw),
-        "rejects_traceable": contracts.missing_rows(
+        "rejects_traceable": contracts.untraceable(
             rejects, raw, [*TRANSACTION_SOURCE.names, "_source_file"]
         ),
-        "account_rejects_traceable": contracts.missing_rows(
+        "account_rejects_traceable": contracts.untraceable(
             account_rejects, raw_accounts, [*ACCOUNT_SOURCE.names, "_source_file"]
         ),
         "daily_mart_matches": contracts.daily_differences(daily, silver),

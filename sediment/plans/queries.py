@@ -478,8 +478,8 @@ def quarantine_untraceable(spark, sf_dir):
     columns = [*TRANSACTION_SOURCE.names, "_source_file"]
     name = F.col("merchant_name")
     faulty = stages.quarantine.withColumn("merchant_name", F.when(_planted(), "stray").otherwise(name))
-    return contracts.missing_rows(faulty, stages.bronze, columns).agg(
-        F.sum("surplus").alias("violations")
+    return contracts.untraceable(faulty, stages.bronze, columns).agg(
+        F.count(F.lit(1)).alias("violations")
     )
 
 

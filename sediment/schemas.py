@@ -120,8 +120,10 @@ SILVER_TRANSACTIONS = _struct(
     _is_resolvable=_BOOL,
     date=_DATE,
 )
-QUARANTINE_TRANSACTIONS = _join(TRANSACTION_SOURCE, _QUARANTINE_AUDIT, _PARTITION)
-QUARANTINE_ACCOUNTS = _join(ACCOUNT_SOURCE, _QUARANTINE_AUDIT, _PARTITION)
+# A reject keeps its position in the file, so that it can be traced to its raw row.
+_POSITION = _struct(_row_ordinal=ROW_ORDINAL)
+QUARANTINE_TRANSACTIONS = _join(TRANSACTION_SOURCE, _QUARANTINE_AUDIT, _POSITION, _PARTITION)
+QUARANTINE_ACCOUNTS = _join(ACCOUNT_SOURCE, _QUARANTINE_AUDIT, _POSITION, _PARTITION)
 
 GOLD_DAILY = _struct(
     transaction_date=_DATE,

@@ -42,6 +42,18 @@ def test_row_surplus_counts_both_ways(spark):
     assert contracts.missing_rows(left, left, ["k", "v"]).isEmpty()
 
 
+def test_untraceable(spark):
+    at = "date string, _row_ordinal struct<block: bigint, line: bigint>, v string"
+    raw = spark.createDataFrame([("d1", (0, 1), None), ("d1", (0, 2), "b"), ("d2", (0, 1), "c")], at)
+    rejects = spark.createDataFrame(
+        [("d1", (0, 1), None), ("d1", (0, 2), "x"), ("d2", (0, 9), "c"), ("d2", (0, 1), "c")], at
+    )
+    found = contracts.untraceable(rejects, raw, ["v"])
+    assert sorted(tuple(r)[2] for r in found.collect()) == ["c", "x"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+
+
 def test_conservation(spark):
     days = spark.createDataFrame([(day(1),), (day(1),), (day(2),)], "date date")
     one = spark.createDataFrame([(day(1),)], "date date")
