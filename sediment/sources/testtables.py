@@ -61,8 +61,8 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "CAST(IF(event_id % 103 = 0, 0, value) AS DECIMAL(18,4)) AS amount",
             f"CASE event_type {codes} ELSE 'ERR99' END AS transaction_code",
             "CASE WHEN event_type = 'purchase' THEN concat('M-', k) END AS merchant_name",
-            "CASE WHEN k = 50 THEN ' ' WHEN k = 51 THEN '\u00a0' WHEN k % 10 = 9 THEN 'DRIVE_THRU' "
-            "WHEN k % 2 = 0 THEN 'ONLINE' ELSE 'IN_STORE' END AS channel",
+            "CASE WHEN k = 50 THEN ' ' WHEN k = 51 THEN '\u00a0' WHEN k = 52 THEN '\n' "
+            "WHEN k % 10 = 9 THEN 'DRIVE_THRU' WHEN k % 2 = 0 THEN 'ONLINE' ELSE 'IN_STORE' END AS channel",
             "named_struct('block', copy, 'line', event_id) AS _row_ordinal",
             "date_add(day, file_shift) AS date",
         )
