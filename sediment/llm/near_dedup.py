@@ -37,7 +37,8 @@ SHINGLE = 5
 TREES = 16
 DEPTH = 4
 CELL = 2048
-#: Shingles held at once while the pairs of a cell are counted.
+#: Shingles in a part of a cluster, and those indexed at once while a cell's pairs are counted.
+PART_VALUES = 8 << 20
 TILE_VALUES = 4 << 20
 SEEDS = mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
 
@@ -120,16 +121,17 @@ def describe(docs: DataFrame, depth: int) -> DataFrame:
 def in_cells(rows: DataFrame, group: str, member: str, sizes: DataFrame) -> DataFrame:
     """``rows`` of groups of at least two, each in every cell its part takes part in.
 
-    ``sizes`` has the group and its ``_size``. Adds ``_cell``, ``_part`` and whether the cell pairs a
-    part with itself (``_own``). A group of p parts has p (p + 1) / 2 cells; a part is in p of them.
+    ``sizes`` has the group, its ``_size`` and its number of shingles to be held (``_values``). Adds
+    ``_cell``, ``_part`` and whether the cell pairs a part with itself (``_own``). A group of p parts
+    has p (p + 1) / 2 cells; a part is in p of them.
     """
-    parts = F.ceil(F.col("_size") / CELL).cast("int")
+    parts = F.greatest(F.ceil(F.col("_size") / CELL), F.ceil(F.col("_values") / PART_VALUES)).cast("int")
     part = F.pmod(F.xxhash64(member), parts).cast("int")
     dealt = rows.join(sizes.filter("_size > 1"), group).withColumn("_parts", parts).withColumn("_part", part)
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     pair = F.struct(F.least("_part", "_other"), F.greatest("_part", "_other"))
     dealt = dealt.withColumn("_cell", F.xxhash64(group, pair)).withColumn("_own", F.col("_part") == F.col("_other"))
-    return dealt.drop("_size", "_parts", "_other")
+    return dealt.drop("_size", "_values", "_parts", "_other")
 
 
 class Forest:
@@ -273,14 +275,14 @@ def near_duplicates(
     )
     # Narrow rows first: only documents that share a node carry their signatures on.
     nodes = classes.select(F.col("_set_id").alias("_id"), F.explode("_nodes").alias("_node"))
-    sizes = nodes.groupBy("_node").agg(F.count("*").alias("_size"))
+    sizes = nodes.groupBy("_node").agg(F.count("*").alias("_size"), F.lit(0).alias("_values"))
     shared = in_cells(nodes, "_node", "_id", sizes)
     shared = shared.join(classes.select(F.col("_set_id").alias("_id"), "_brief"), "_id")
     error = (threshold * (1 - threshold) / (TREES * DEPTH)) ** 0.5
     edges = staged(candidate_edges(shared, threshold - 6 * error))
     clusters = staged(components(edges).withColumnRenamed("node", "_id"))
-    cluster_sizes = clusters.groupBy("label").agg(F.count("*").alias("_size"))
-    members = clusters.join(classes.select(F.col("_set_id").alias("_id"), "_copies"), "_id")
+    members = clusters.join(classes.select(F.col("_set_id").alias("_id"), "_copies", "_n"), "_id")
+    cluster_sizes = members.groupBy("label").agg(F.count("*").alias("_size"), F.sum("_n").alias("_values"))
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

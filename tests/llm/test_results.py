@@ -81,6 +81,7 @@ def shingles(text):
 def test_near(spark, monkeypatch, cell):
     """Also with groups that are split into many cells."""
     monkeypatch.setattr(near_dedup, "CELL", cell)
+    monkeypatch.setattr(near_dedup, "PART_VALUES", cell << 7)
     rng = random.Random(3)
     base = [f"b{i}" for i in range(100)]
     rows = corpus()
@@ -100,6 +101,11 @@ def test_near(spark, monkeypatch, cell):
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == {i: (label[i], len(links[i])) for i in sets}
 
 
+def test_prefixes_are_shortened_to_the_recall():
+    assert [near_dedup.matched_depth(0.8, r) for r in (0.9, 0.9999, 0.99999, 0.9999999)] == [4, 3, 2, 2]
+    assert near_dedup.matched_depth(0.1, 0.9999) == 1
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 300), rng.randrange(100, 300)) for _ in range(90)]
