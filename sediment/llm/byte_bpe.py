@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from sediment.llm.base import map_batches
+from sediment.llm.words import slices
 
 #: Where a text can be cut without changing a token.
 CUT = re.compile(r"(?<=\S)(?= \S)")
 #: At most so many parts of either kind are kept by a worker; beyond it the later half goes, as frequent parts come early.
-CACHED_PARTS = 600_000
+CACHED_PARTS = 250_000
 #: Parts longer than this are not kept in the cache.
 CACHED_LENGTH = 64
 
@@ -111,6 +112,10 @@ class PartEncoder:
         self.heads: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
 
+    def encode_column(self, column: pa.Array) -> list[bytes]:
+        """The ids of each text, worked out a few texts at a time."""
+        return [ids for _, part in slices(column) for ids in self.encode(part.to_pylist())]
+
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         for known in (self.heads, self.tails):
             if len(known) > CACHED_PARTS:
@@ -177,7 +182,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """The id column and ``ids``, the token ids of the whole text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoded = part_encoder(path, pattern).encode(batch.column(1).to_pylist())
+        encoded = part_encoder(path, pattern).encode_column(batch.column(1))
         offsets = np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32)
         ids = pa.array(np.frombuffer(b"".join(encoded), "<i4"))
         return pa.record_batch([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), ids)], [id_col, "ids"])

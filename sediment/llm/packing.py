@@ -206,7 +206,7 @@ def tokenized(
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []
             blobs = []
-            for doc, encoded in zip(ids, encoder.encode(batch.column(1).to_pylist()), strict=True):
+            for doc, encoded in zip(ids, encoder.encode_column(batch.column(1)), strict=True):
                 encoded += end
                 for number, (start, length) in enumerate(pieces_of(len(encoded) // 4, capacity)):
                     part = encoded[4 * start : 4 * (start + length)]

@@ -19,7 +19,7 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BASE = 0x9E3779B97F4A7C15
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -113,8 +113,8 @@ def words(column: pa.Array, lower: bool = False) -> Words:
     if not len(data):
         return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
     starts, stops = word_spans(data, offsets)
-    size = 1 << max(int(len(data)).bit_length(), 16)
-    ups, downs = _powers(size) if size <= 2 * CHUNK_BYTES else _powers.__wrapped__(size)
+    # One table serves all chunks; only a longer single text gets one of its own, which is not kept.
+    ups, downs = _powers(CHUNK_BYTES + 1) if len(data) <= CHUNK_BYTES else _powers.__wrapped__(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((LOWER[data] if lower else data).astype(np.uint64) * ups[: len(data)] + ups[: len(data)], out=total[1:])
     hashes = mix((total[stops] - total[starts]) * downs[starts])
