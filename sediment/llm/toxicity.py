@@ -8,9 +8,11 @@ length: over the whole text and over the most toxic stretch of a few lengths, so
 passage shows in a long text. A logistic curve, fitted to labelled rows that the models have not
 seen, turns them into a score.
 
-Words are A-Z lower-cased, without ASCII marks, and of a vocabulary that is bounded by
-``VOCABULARY_BITS``; all others are one unknown word. The counts come from all rows that may be learnt from, up to ``FIT_ROWS`` labelled rows, by
-grouped aggregation; what reaches the driver is bounded by the number of word and pair cells.
+Words are A-Z lower-cased, without ASCII marks. The counts come from all rows that may be learnt from,
+up to ``FIT_ROWS`` labelled rows, and are tables keyed by the whole word and by the whole pair (64-bit
+hashes of words): every word and pair has an entry of its own, also one seen once. They never reach
+the driver or a task as a whole. The entries are dealt into slices of the key; blocks of documents ask
+each slice for their distinct words and pairs, and the answers meet the block's texts again.
 
 Null and empty texts have no evidence: their score is the curve at zero. Repeated rows score alike;
 an empty table gives an empty result; without rows to learn from every score is 0.5. Labels,
@@ -24,26 +26,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.base import identifier, restored
+from sediment.llm.base import identifier, partitions, restored, staged
 from sediment.llm.training import labelled, logistic, remainder
-from sediment.llm.words import Words, mix, raw, slices, words
+from sediment.llm.words import BASE, Words, mix, raw, slices, words
 
 FIT_ROWS = 1_000_000
-#: The vocabulary: in each of 2**VOCABULARY_BITS cells of the hash the most frequent word.
-VOCABULARY_BITS = 18
-UNKNOWN, BEGIN = np.uint64(1 << VOCABULARY_BITS), np.uint64((1 << VOCABULARY_BITS) + 1)
-#: Bits of a word's number, and of the cells of pairs of words.
-WORD_BITS = VOCABULARY_BITS + 1
-PAIR_BITS = 20
+#: In the place of the word before: at the start of a text, and for a word alone.
+BEGIN, ALONE = np.uint64(BASE >> 1), np.uint64(0)
 DISCOUNT = 0.75
 #: Each pair counts as seen so often more, by the classes' shares in its context.
 SHARED_PAIRS = 2.0
 STRETCHES = (1, 4, 16, 64)
-#: Words or pairs counted together in a task before they are sent.
+#: Pairs counted, or entries dealt, together in a task before they are sent.
 HELD = 1 << 20
+#: Entries of the models in a slice (about; there are ``LEAST_SLICES`` at least), and bytes of text in a block.
+SLICE, LEAST_SLICES = 1 << 20, 64
+BLOCK_BYTES = 16 << 20
 MARKS = np.zeros(256, bool)
 MARKS[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 
@@ -58,198 +60,237 @@ def plain_words(column: pa.Array) -> Words:
     return words(text, lower=True)
 
 
-def cell_of(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - VOCABULARY_BITS)
+def words_before(text: Words) -> np.ndarray:
+    """For each word the word before it; ``BEGIN`` at the start of a text."""
+    before = np.empty_like(text.hashes)
+    before[1:] = text.hashes[:-1]
+    before[text.bounds[:-1][text.counts > 0]] = BEGIN
+    return before
 
 
-def numbered(text: Words, vocabulary: np.ndarray) -> Words:
-    """The words by their number: their cell if the vocabulary has them there, else ``UNKNOWN``."""
-    cell = cell_of(text.hashes)
-    return Words(np.where(vocabulary[cell] == text.hashes, cell, UNKNOWN), text.bounds)
+def keys_of(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The key of the entry of a pair; of a word alone with ``ALONE`` before it."""
+    return mix(before * np.uint64(BASE) + word)
 
 
-def vocabulary_of(rows: DataFrame) -> np.ndarray:
-    """By cell the hash of its most frequent word in ``_text``; 0 where there is none."""
+def counted_pairs(rows: DataFrame) -> DataFrame:
+    """(``before``, ``word``, ``n0``, ``n1``): how often each pair occurs in ordinary and in toxic rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
 
         def send() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.record_batch([pa.array(values.view(np.int64)), pa.array(counts)], ["word", "n"])
+            before, word, label = map(np.concatenate, zip(*held, strict=True))
+            _, first, which = np.unique(keys_of(before, word), return_index=True, return_inverse=True)
+            toxic = np.bincount(which, weights=label).astype(np.int64)
+            columns = [before[first].view(np.int64), word[first].view(np.int64), np.bincount(which) - toxic, toxic]
+            return pa.record_batch(list(map(pa.array, columns)), ["before", "word", "n0", "n1"])
 
         for batch in batches:
-            for _, part in slices(batch.column("_text")):
-                held.append(plain_words(part).hashes)
-                if sum(map(len, held)) >= HELD:
+            labels = batch.column("_label").to_numpy()
+            for begin, part in slices(batch.column("_text")):
+                text = plain_words(part)
+                held.append((words_before(text), text.hashes, labels[begin : begin + len(part)][text.texts()]))
+                size += len(text.hashes)
+                if size >= HELD:
                     yield send()
-                    held = []
-        if held:
+                    held, size = [], 0
+        if size:
             yield send()
 
-    counts = rows.select("_text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    best = counts.groupBy(F.shiftrightunsigned("word", 64 - VOCABULARY_BITS).alias("cell"))
-    table = best.agg(F.max(F.struct("n", "word")).alias("best")).select("cell", "best.word").toArrow()  # one per cell
-    vocabulary = np.zeros(1 << VOCABULARY_BITS, np.uint64)
-    vocabulary[table["cell"].to_numpy()] = table["word"].to_numpy().view(np.uint64)
-    return vocabulary
+    sent = rows.select("_label", "_text").mapInArrow(run, "before long, word long, n0 long, n1 long")
+    return sent.groupBy("before", "word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def pairs(text: Words) -> np.ndarray:
-    """For each word the word before it (``BEGIN`` at the start of a text) and itself, as one number."""
-    before = np.empty_like(text.hashes)
-    before[1:] = text.hashes[:-1]
-    before[text.bounds[:-1][text.counts > 0]] = BEGIN
-    return before << np.uint64(WORD_BITS) | text.hashes
+@dataclass
+class Models:
+    """The evidence of words and pairs: log P(word | before, toxic) - log P(word | before, ordinary)."""
+
+    entries: DataFrame  # (before, word, evidence); a word's own has ALONE before it and holds for pairs without entry
+    size: int
+    unseen: float  # that of a word without entry
+
+
+def fit_models(rows: DataFrame) -> Models:
+    """The two models of labelled rows (``_label``, ``_text``).
+
+    One job counts the pairs. From them come per word what it follows and per context what it
+    precedes, and from these the evidence. What a context leaves to the words is the same for both
+    classes, so that it cancels out where a pair has no entry: the word's own evidence is left.
+    """
+    pair = staged(counted_pairs(rows))
+    both = F.col("n0") + F.col("n1")
+    own = [F.col(n) * (1 - DISCOUNT / both) for n in ("n0", "n1")]
+    follows = [F.sum((F.col(n) > 0).cast("long")).alias(a) for n, a in (("n0", "a0"), ("n1", "a1"))]
+    word = staged(pair.groupBy("word").agg(*follows, F.count("*").alias("a")))
+    contexts = pair.groupBy("before").agg(
+        F.sum(own[0]).alias("u0"), F.sum(own[1]).alias("u1"), F.count("*").alias("types"), F.sum(both).alias("times")
+    )
+    contexts = staged(contexts)
+    sums = [F.sum(c).alias(c) for c in ("a0", "a1", "a")]
+    used = [F.sum((F.col(a) > 0).cast("long")).alias(p) for a, p in (("a0", "p0"), ("a1", "p1"))]
+    total = word.agg(*sums, *used, F.count("*").alias("words")).first()
+    total = {k: v or 0 for k, v in total.asDict().items()}
+    # Shared counts: what a word follows in either class; one word stands for all without entry.
+    shared = (F.col("a") + 0.5) / (total["a"] + 0.5 * (total["words"] + 1))
+    left = [(DISCOUNT * total[f"p{c}"] + 1) / (total[f"a{c}"] + 1) for c in (0, 1)]
+    alone = [F.greatest(F.col(f"a{c}") - DISCOUNT, F.lit(0.0)) / (total[f"a{c}"] + 1) + left[c] * shared for c in (0, 1)]
+    rest = DISCOUNT * F.col("types") / F.col("times")
+    share = [SHARED_PAIRS * (F.col(u) + 0.5) / (F.col("u0") + F.col("u1") + 1) for u in ("u0", "u1")]
+    seen = [(1 - rest) * (own[c] + share[c]) / (F.col(f"u{c}") + share[c] * F.col("types")) for c in (0, 1)]
+
+    def evidence(ordinary: Column, toxic: Column) -> Column:
+        return (F.log(toxic) - F.log(ordinary)).cast("float").alias("evidence")
+
+    words_alone = word.select(F.lit(int(ALONE)).cast("long").alias("before"), "word", evidence(*alone))
+    joined = pair.join(contexts, "before").join(word, "word")
+    pairs = joined.select("before", "word", evidence(*(seen[c] + rest * alone[c] for c in (0, 1))))
+    unseen = float(np.log(left[1]) - np.log(left[0]))
+    return Models(words_alone.unionByName(pairs), total["words"] + total["a"], unseen)
+
+
+def dealt(keys: np.ndarray, number: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of the keys of each slice."""
+    slice_ = (keys % np.uint64(number)).astype(np.int64)
+    order = np.argsort(slice_, kind="stable")
+    cuts = np.searchsorted(slice_[order], np.arange(number + 1))
+    for k in np.flatnonzero(np.diff(cuts)):
+        yield int(k), order[cuts[k] : cuts[k + 1]]
+
+
+PACKED = "_slice int, _block long, _keys binary, _evidence binary"
 
 
-def pair_cell(pair: np.ndarray) -> np.ndarray:
-    return mix(pair) >> np.uint64(64 - PAIR_BITS)
+def packed(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], PACKED.split()[::2])
 
 
-def counted_pairs(rows: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """(``pair``, ``n0``, ``n1``): how often each pair occurs in ordinary and in toxic rows."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+def sliced_entries(models: Models, number: int) -> DataFrame:
+    """The entries of the models, many in a row: rows of ``PACKED`` without block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def send() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            pair, label = values >> np.uint64(1), values & np.uint64(1)
-            return pa.record_batch(
-                [
-                    pa.array(pair.astype(np.int64)),
-                    pa.array(np.where(label == 0, counts, 0)),
-                    pa.array(np.where(label == 1, counts, 0)),
-                ],
-                ["pair", "n0", "n1"],
-            )
+            keys, values = map(np.concatenate, zip(*held, strict=True))
+            return packed([(k, None, keys[at].tobytes(), values[at].tobytes()) for k, at in dealt(keys, number)])
 
         for batch in batches:
-            labels = batch.column("_label").to_numpy().astype(np.uint64)
-            for begin, part in slices(batch.column("_text")):
-                text = numbered(plain_words(part), shared.value)
-                held.append(pairs(text) << np.uint64(1) | labels[begin : begin + len(part)][text.texts()])
-                size += len(held[-1])
-                if size >= HELD:
-                    yield send()
-                    held, size = [], 0
+            before, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
+            held.append((keys_of(before, word), batch.column("evidence").to_numpy()))
+            size += len(word)
+            if size >= HELD:
+                yield send()
+                held, size = [], 0
         if size:
             yield send()
 
-    sent = rows.select("_label", "_text").mapInArrow(run, "pair long, n0 long, n1 long")
-    return sent.groupBy("pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return models.entries.mapInArrow(run, PACKED)
 
 
-@dataclass
-class Models:
-    """Tables over words and over cells of pairs."""
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_block``: texts of ``BLOCK_BYTES`` together, and one that passes it."""
 
-    vocabulary: np.ndarray
-    word: np.ndarray  # by class: probability of a word by what it follows
-    rest: np.ndarray  # share of a context's probability left to the words, the same for both
-    pair: np.ndarray  # the pair known in each pair cell
-    seen: np.ndarray  # by class: its probability beyond that
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, done = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            _, offsets = raw(batch.column("_text"))
+            yield batch.append_column("_block", pa.array(first + (done + offsets[:-1]) // BLOCK_BYTES, pa.int64()))
+            done += int(offsets[-1])
 
-    def evidence(self, text: Words) -> np.ndarray:
-        """For each word log P(word | before, toxic) - log P(word | before, ordinary)."""
-        pair = pairs(text)
-        before, cell = pair >> np.uint64(WORD_BITS), pair_cell(pair)
-        known = self.pair[cell] == pair
-        toxic, ordinary = (
-            np.where(known, self.seen[c][cell], 0) + self.rest[before] * self.word[c][text.hashes] for c in (1, 0)
-        )
-        return np.log(toxic) - np.log(ordinary)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, schema + ", _block long")
 
 
-def fit_models(rows: DataFrame) -> Models:
-    """The two models of labelled rows (``_label``, ``_text``).
+def asked(blocks: DataFrame, number: int) -> DataFrame:
+    """The distinct words and pairs of each block by slice: rows of ``PACKED`` without evidence."""
 
-    One job counts the pairs and, from them, per word what it follows, per context what it precedes,
-    and per pair cell the discounted counts of the pairs seen twice or more.
-    """
-    mask = (1 << WORD_BITS) - 1
-    vocabulary = vocabulary_of(rows)
-    pair = counted_pairs(rows, vocabulary)
-    both = F.col("n0") + F.col("n1")
-    kept = [F.when(both >= 2, F.col(n) * (1 - DISCOUNT / both)).otherwise(0.0) for n in ("n0", "n1")]
-    entry = [
-        # kind, place, and two numbers for each class
-        F.struct(
-            F.lit(0).alias("kind"),
-            F.col("pair").bitwiseAND(F.lit(mask)).alias("place"),
-            *((F.col(n) > 0).cast("double").alias(a) for n, a in (("n0", "a0"), ("n1", "a1"))),
-            F.lit(1.0).alias("b0"),
-            F.lit(0.0).alias("b1"),
-            F.lit(0.0).alias("b2"),
-        ),
-        F.struct(
-            F.lit(1).alias("kind"),
-            F.shiftright("pair", WORD_BITS).alias("place"),
-            *(F.col(n).cast("double").alias(a) for n, a in (("n0", "a0"), ("n1", "a1"))),
-            *(k.alias(b) for k, b in zip(kept, ("b0", "b1"), strict=True)),
-            (both >= 2).cast("double").alias("b2"),
-        ),
-    ]
-    stats = pair.select(F.explode(F.array(*entry)).alias("e")).select("e.*")
-    stats = stats.groupBy("kind", "place").agg(*(F.sum(c).alias(c) for c in ("a0", "a1", "b0", "b1", "b2")))
-    table = stats.toArrow()  # at most two rows per word cell
-    size = 1 << WORD_BITS
-    numbers = np.zeros((2, 5, size))
-    kind, place = table["kind"].to_numpy(), table["place"].to_numpy()
-    for k, name in enumerate(("a0", "a1", "b0", "b1", "b2")):
-        numbers[kind, k, place] = table[name].to_numpy()
-    follows, context = numbers
-    # Shared counts: what a word follows in either class.
-    shared = (follows[2] + 0.5) / (follows[2].sum() + 0.5 * size)
-    word = np.zeros((2, size))
-    for c in (0, 1):
-        total = follows[c].sum()
-        left = (DISCOUNT * (follows[c] > 0).sum() + 1) / (total + 1)
-        word[c] = np.maximum(follows[c] - DISCOUNT, 0) / (total + 1) + left * shared
-        word[c] /= word[c].sum()
-    times, used, types = context[0] + context[1], context[2:4], context[4]
-    rest = np.where(times > 0, 1 - used.sum(axis=0) / np.maximum(times, 1), 1.0)
-    contexts = rows.sparkSession.sparkContext.broadcast([x.astype(np.float32) for x in (used, rest, types)])
-
-    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        used, rest, types = contexts.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, []
+
+        def send() -> pa.RecordBatch:
+            keys = np.unique(np.concatenate(held))
+            return packed([(k, block, keys[at].tobytes(), None) for k, at in dealt(keys, number)])
+
+        for batch in batches:
+            of = batch.column("_block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                if begin == end:
+                    continue
+                if of[begin] != block:
+                    if held:
+                        yield send()
+                    block, held = int(of[begin]), []
+                for _, part in slices(batch.column("_text").slice(begin, end - begin)):
+                    text = plain_words(part)
+                    word = np.unique(text.hashes)
+                    held.append(np.unique(keys_of(words_before(text), text.hashes)))
+                    held.append(keys_of(np.full_like(word, ALONE), word))
+        if held:
+            yield send()
+
+    return blocks.select("_block", "_text").mapInArrow(run, PACKED)
+
+
+def in_order(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and the evidence of each."""
+    keys = np.frombuffer(b"".join(k for k, _ in parts), np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.frombuffer(b"".join(e for _, e in parts), np.float32)[order]
+
+
+def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of the wanted keys is, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def answered(entries: DataFrame, questions: DataFrame) -> DataFrame:
+    """A shuffled join by slice: of the keys asked for those with an entry, and their evidence."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slice_, parts, table = None, [], None
         for batch in batches:
-            pair = batch.column("pair").to_numpy().astype(np.uint64)
-            before = pair >> np.uint64(WORD_BITS)
-            counts = np.array([batch.column(n).to_numpy() for n in ("n0", "n1")], float)
-            own = counts * (1 - DISCOUNT / counts.sum(axis=0))
-            shared = SHARED_PAIRS * (used[:, before] + 0.5) / (used[:, before].sum(axis=0) + 1)
-            columns = [pair_cell(pair).astype(np.int64), counts.sum(axis=0), pair.astype(np.int64)]
-            all_ = used[:, before] + shared * types[before]
-            columns += [(1 - rest[before]) * (own[c] + shared[c]) / all_[c] for c in (0, 1)]
-            yield pa.record_batch([pa.array(c) for c in columns], ["cell", "n", "pair", "p0", "p1"])
-
-    # Pairs seen twice or more, as probabilities; where two share a cell, the more frequent one.
-    often = pair.filter("n0 + n1 >= 2").mapInArrow(shares, "cell long, n double, pair long, p0 double, p1 double")
-    often = often.groupBy("cell").agg(F.max(F.struct("n", "pair", "p0", "p1")).alias("p"))
-    table = often.select("cell", "p.*").toArrow()  # one row per cell
-    known, seen = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros((2, 1 << PAIR_BITS))
-    cell = table["cell"].to_numpy()
-    known[cell] = table["pair"].to_numpy()
-    for c in (0, 1):
-        seen[c, cell] = table[f"p{c}"].to_numpy()
-    return Models(vocabulary, word.astype(np.float32), rest.astype(np.float32), known.view(np.uint64), seen.astype(np.float32))
-
-
-def features(models: Models, column: pa.Array) -> np.ndarray:
+            for k, block, keys, values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != slice_:
+                    slice_, parts, table = k, [], None
+                if block is None:  # these come first
+                    parts.append((keys, values))
+                    continue
+                if table is None:
+                    table, parts = in_order(parts), []
+                wanted = np.frombuffer(keys, np.uint64)
+                at, there = found(table[0], wanted)
+                if there.any():
+                    yield packed([(k, block, wanted[there].tobytes(), table[1][at[there]].tobytes())])
+
+    rows = entries.unionByName(questions).repartition("_slice")
+    return rows.sortWithinPartitions("_slice", F.col("_block").asc_nulls_first()).mapInArrow(run, PACKED)
+
+
+def features(keys: np.ndarray, values: np.ndarray, unseen: float, column: pa.Array) -> np.ndarray:
     """Per text: mean evidence per word, and the largest mean over stretches of each length.
 
     A text shorter than a stretch counts as if filled with words without evidence.
     """
-    text = numbered(plain_words(column), models.vocabulary)
+    text = plain_words(column)
     out = np.zeros((len(column), 1 + len(STRETCHES)))
     some = np.flatnonzero(text.counts > 0)
     if not len(some):
         return out
-    evidence = models.evidence(text).astype(np.float64)
+    evidence = np.full(len(text.hashes), unseen)
+    at, there = found(keys, keys_of(words_before(text), text.hashes))
+    evidence[there] = values[at[there]]
+    others = np.flatnonzero(~there)
+    at, there = found(keys, keys_of(np.full(len(others), ALONE), text.hashes[others]))
+    evidence[others[there]] = values[at[there]]
     total = np.concatenate([[0.0], np.cumsum(evidence)])
     begin, end = text.bounds[:-1], text.bounds[1:]
     out[some, 0] = (total[end] - total[begin])[some] / text.counts[some]
@@ -261,20 +302,36 @@ def features(models: Models, column: pa.Array) -> np.ndarray:
 
 
 def with_features(rows: DataFrame, models: Models) -> DataFrame:
-    """``rows`` with ``_text`` replaced by ``features``."""
-    shared = rows.sparkSession.sparkContext.broadcast(models)
+    """``features`` of the rows (``_id``, ``_text``) by ``_id``."""
+    number = max(LEAST_SLICES, partitions(rows.sparkSession), -(-models.size // SLICE))
+    blocks = staged(in_blocks(rows.select("_id", "_text")))
+    answers = answered(sliced_entries(models, number), asked(blocks, number))
+    unseen = models.unseen
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, table = None, [], None
         for batch in batches:
-            found = [features(shared.value, part) for _, part in slices(batch.column("_text"))]
-            values = np.vstack(found) if found else np.zeros((0, 1 + len(STRETCHES)))
-            yield batch.drop_columns(["_text"]).append_column(
-                "features", pa.array(list(values), pa.list_(pa.float64()))
-            )
-
-    kept = rows.drop("_text")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema)
-    return rows.select(*kept.columns, "_text").mapInArrow(run, schema + ", features array<double>")
+            of, answer = batch.column("_block").to_numpy(), batch.column("_keys").is_valid().to_numpy(False)
+            cuts = [0, *(np.flatnonzero((of[1:] != of[:-1]) | (answer[1:] != answer[:-1])) + 1).tolist(), len(of)]
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                if begin == end:
+                    continue
+                if of[begin] != block:
+                    block, parts, table = of[begin], [], None
+                rows = batch.slice(begin, end - begin)
+                if answer[begin]:  # these come first
+                    parts += zip(rows.column("_keys").to_pylist(), rows.column("_evidence").to_pylist(), strict=True)
+                    continue
+                if table is None:
+                    table, parts = in_order(parts), []
+                values = np.vstack([features(*table, unseen, part) for _, part in slices(rows.column("_text"))])
+                yield pa.record_batch(
+                    [rows.column("_id"), pa.array(list(values), pa.list_(pa.float64()))], ["_id", "features"]
+                )
+
+    both = blocks.unionByName(answers.drop("_slice"), allowMissingColumns=True).repartition("_block")
+    both = both.sortWithinPartitions("_block", F.col("_keys").isNull())
+    return both.mapInArrow(run, "_id long, features array<double>")
 
 
 def toxicity_scores(
@@ -290,15 +347,15 @@ def toxicity_scores(
     """One row per document: id, ``held_out``, ``score``, ``predicted`` and ``features``."""
     rows = docs.select(identifier(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     sample = labelled(labels, label_col, modulus, held_out, FIT_ROWS, id_col)
-    known = rows.join(F.broadcast(sample), "_id")
-    models = fit_models(known.filter("_fold > 0"))
-    curve = with_features(known.filter("_fold = 0").select("_label", "_text"), models).toArrow()  # a fifth of FIT_ROWS
+    models = fit_models(rows.join(F.broadcast(sample.filter("_fold > 0")), "_id"))
+    described = staged(with_features(rows, models))
+    curve = described.join(F.broadcast(sample.filter("_fold = 0")), "_id").toArrow()  # a fifth of FIT_ROWS
     fitted = np.array(curve["features"].to_pylist()).reshape(-1, 1 + len(STRETCHES))
     weights = [float(w) for w in logistic(fitted, curve["_label"].to_numpy().astype(float))]
     sum_ = F.lit(weights[-1])
     for k, w in enumerate(weights[:-1]):
         sum_ = sum_ + F.get("features", F.lit(k)) * w
-    scored = with_features(rows, models).select(
+    scored = described.select(
         restored("_id").alias(id_col), (F.lit(1.0) / (F.lit(1.0) + F.exp(-sum_))).alias("score"), "features"
     )
     return scored.select(
