@@ -9,8 +9,8 @@ the host that is smoothed towards its address suffix, and that towards all hosts
    how reliably a declaration names a language, and the prior of each host.
 4. Posterior. The three are multiplied; the best language is kept if it is probable enough.
 
-The languages are those that declarations name for at least ``LEAST_SHARE`` of the documents, so
-there are at most 1 / ``LEAST_SHARE``; models sent to the tasks are bounded by that.
+Every declared language has a model and is an outcome, however rare it is. There are about 200
+language codes, and a model takes 256 KB in a task; declarations are lower-cased and taken as they are.
 
 Null and empty texts, and texts without letters, have no language and are rejected. A null or
 unlisted declaration, host or suffix is no evidence (a null host has its suffix's prior). Repeated
@@ -32,7 +32,6 @@ from sediment.llm.base import staged
 from sediment.llm.words import LOWER, mix, raw, slices
 
 BUCKET_BITS = 16
-LEAST_SHARE = 0.001
 #: Trigrams overlap: so many count as one independent observation, and at most so many of these count.
 OVERLAP = 3.0
 MOST_OBSERVATIONS = 200.0
@@ -65,17 +64,21 @@ def counted_trigrams(rows: DataFrame, languages: list[str]) -> np.ndarray:
     place = {name: i for i, name in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(languages), 1 << BUCKET_BITS), np.int64)
+        counts: dict[int, np.ndarray] = {}
         for batch in batches:
             declared = np.array([place[d] for d in batch.column("_declared").to_pylist()], np.int64)
             for begin, part in slices(batch.column("_text")):
                 buckets, bounds = trigrams(part)
-                owner = np.repeat(declared[begin : begin + len(part)], np.diff(bounds))
-                counts += np.bincount(owner << BUCKET_BITS | buckets, minlength=counts.size).reshape(counts.shape)
-        which, bucket = counts.nonzero()
-        yield pa.record_batch(
-            [pa.array(which), pa.array(bucket), pa.array(counts[which, bucket])], ["language", "bucket", "n"]
-        )
+                present, owner = np.unique(declared[begin : begin + len(part)], return_inverse=True)
+                owner = np.repeat(owner, np.diff(bounds))
+                size = len(present) << BUCKET_BITS
+                some = np.bincount(owner << BUCKET_BITS | buckets, minlength=size).reshape(len(present), -1)
+                for language, n in zip(present.tolist(), some, strict=True):
+                    counts[language] = counts[language] + n if language in counts else n.copy()
+        for language, n in counts.items():
+            bucket = n.nonzero()[0]
+            columns = [np.full_like(bucket, language), bucket, n[bucket]]
+            yield pa.record_batch(list(map(pa.array, columns)), ["language", "bucket", "n"])
 
     sent = rows.filter(F.col("_declared").isin(languages)).select("_declared", "_text")
     sent = sent.mapInArrow(run, "language long, bucket long, n long")
@@ -151,9 +154,8 @@ def languages_of(
         host.cast("string").alias("_host"),
         suffix.cast("string").alias("_suffix"),
     )
-    named = rows.filter("_declared is not null and _declared <> ''").groupBy("_declared").count()
-    total = named.agg(F.sum("count")).first()[0] or 0
-    languages = sorted(r[0] for r in named.filter(F.col("count") >= total * LEAST_SHARE).collect())  # 1 / LEAST_SHARE
+    named = rows.filter("_declared is not null and _declared <> ''").select("_declared").distinct()
+    languages = sorted(r[0] for r in named.collect())  # language codes
     counts = counted_trigrams(rows, languages)
     size = 1 << BUCKET_BITS
     # Smoothed towards all languages together, and that towards the uniform distribution.
@@ -181,7 +183,8 @@ def languages_of(
         agrees = k < len(languages) and languages[k] == declared
         return float(np.log((reliable[declared][shares[k]] + 1 + 9 * agrees) / (per_language[k] + 9 + len(languages))))
 
-    declaration = {d: [says_of(d, k) for k in range(outcomes)] for d in reliable}
+    declaration = [(d, [says_of(d, k) for k in range(outcomes)]) for d in reliable]
+    declaration = docs.sparkSession.createDataFrame(declaration, "_declared string, _says array<double>")
     whole = table.agg(*again).first()
     everything = sum(x or 0 for x in whole) or 1.0
     overall = [F.lit(float(((whole[k] or 0) + 1) / (everything + outcomes))) for k in range(outcomes)]
@@ -194,14 +197,11 @@ def languages_of(
     hosts = hosts.select("_host", "_suffix", F.array(*smoothed(shares, total_of, above)).alias("_host_prior"))
     same = (F.col("d._host") == F.col("h._host")) & F.col("d._suffix").eqNullSafe(F.col("h._suffix"))
     joined = described.alias("d").join(hosts.alias("h"), same, "left").select("d.*", "_host_prior")
-    joined = joined.join(suffixes, "_suffix", "left")
+    joined = joined.join(suffixes, "_suffix", "left").join(F.broadcast(declaration), "_declared", "left")
     prior = F.coalesce("_host_prior", "_suffix_prior", F.array(*overall))
     nothing = F.array(*[F.lit(0.0)] * outcomes)
-    says = F.lit(None).cast("array<double>")
-    for d, logs in declaration.items():
-        says = F.when(F.col("_declared") == d, F.array(*map(F.lit, logs))).otherwise(says)
     evidence = F.zip_with(
-        F.zip_with("_likelihood", prior, lambda a, p: a + F.log(p)), F.coalesce(says, nothing), lambda a, b: a + b
+        F.zip_with("_likelihood", prior, lambda a, p: a + F.log(p)), F.coalesce("_says", nothing), lambda a, b: a + b
     )
     result = joined.select("_id", "_first", softmax(evidence).alias("_posterior"))
     names = F.array(*[F.lit(x) for x in languages], F.lit(None).cast("string"))
