@@ -90,21 +90,33 @@ def spelled(text: str, key: bytes, kind: str, back: bool, classes=CLASSES, valid
     return from_number(value, text, classes)
 
 
-def luhn(digits: str) -> bool:
+def digit_sum(digits: str, odd: int = 0) -> int:
+    """The sum of the Luhn test; with ``odd`` as if one digit more followed."""
     total = 0
     for i, c in enumerate(reversed(digits)):
-        d = int(c) * (1 + i % 2)
+        d = int(c) * (1 + (i + odd) % 2)
         total += d - 9 * (d > 9)
-    return total % 10 == 0
+    return total % 10
+
+
+def luhn(digits: str) -> bool:
+    return digit_sum(digits) == 0
+
+
+def checked(body: str) -> str:
+    return next(c for c in "0123456789" if luhn(body + c))
 
 
 def card(text: str, key: bytes, back: bool) -> str | None:
     digits = re.sub(r"\D", "", text)
     if not 13 <= len(digits) <= 19 or digits[0] == "0" or not luhn(digits):
         return None
-    body = spelled(digits[:-1], key, "card", back, valid=lambda d: d[0] != "0")
-    check = next(c for c in "0123456789" if luhn(body + c))
-    return from_number(int(body + check), text, CLASSES[:1])
+    # The other sum stays as well: whether the card holds together with digits after it does not change.
+    other = digit_sum(digits, 1)
+    body = spelled(
+        digits[:-1], key, "card", back, valid=lambda d: d[0] != "0" and digit_sum(d + checked(d), 1) == other
+    )
+    return from_number(int(body + checked(body)), text, CLASSES[:1])
 
 
 def email(text: str, key: bytes, back: bool) -> str | None:
@@ -154,6 +166,19 @@ def social(text: str, key: bytes, back: bool) -> str | None:
     return spelled(text, key, "social", back, valid=valid) if valid(re.sub(r"\D", "", text)) else None
 
 
+#: Letters and digits of an account number by country.
+BANK_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
 def bank_check(country: str, account: str) -> str:
     number = "".join(str(int(c, 36)) for c in account + country + "00")
     return f"{98 - int(number) % 97:02}"
@@ -189,13 +214,15 @@ def assigned(text: str, key: bytes, back: bool) -> str | None:
 class Kind:
     pattern: str
     replace: Callable[[str, bytes, bool], str | None]
+    #: Where a run of groups goes on at a separator, a value can be some of the groups only.
+    groups: str = ""
 
 
 EDGE, END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 #: In the order in which they are tried at a place.
 KINDS = {
     "email": Kind(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}", email),
-    "bank": Kind(EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}" + END, bank),
+    "bank": Kind(EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}" + END, bank, " "),
     "assigned": Kind(
         r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
         r"[A-Za-z0-9]{8,128}" + END,
@@ -210,14 +237,20 @@ KINDS = {
         day,
     ),
     "social": Kind(EDGE + r"\d{3}-\d{2}-\d{4}" + END, social),
-    "card": Kind(EDGE + r"\d(?:[ -]?\d){12,18}" + END, card),
+    "card": Kind(EDGE + r"\d(?:[ -]?\d){12,18}" + END, card, " -"),
     "phone": Kind(
         r"(?<![0-9A-Za-z+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
         r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})" + END,
         phone,
     ),
 }
-FIND = [(name, re.compile(kind.pattern), kind.replace) for name, kind in KINDS.items()]
+#: Cards as they are usually written, before those in other groups: digits before such a card are not its first.
+USUAL_CARD = Kind(EDGE + r"(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?)" + END, card, " -")
+FIND = [
+    (name, re.compile(kind.pattern), kind)
+    for name, given in KINDS.items()
+    for kind in ([USUAL_CARD, given] if name == "card" else [given])
+]
 #: A value has an @, three digits close together, 32 hexadecimal digits, or something that names it.
 HINT = re.compile(r"@|\d[ .()/-]{0,3}\d[ .()/-]{0,3}\d|[0-9a-fA-F]{32}")
 NAMED = re.compile(r"(?i:password|passwd|pwd|secret|token|key)[ \t]*[=:]")
@@ -230,6 +263,32 @@ def hinted(text: str) -> bool:
     return ("=" in text or ":" in text) and bool(NAMED.search(text))
 
 
+def values(
+    text: str, pattern: re.Pattern, kind: Kind, covered: bytearray, key: bytes, back: bool
+) -> Iterator[tuple[int, int, str]]:
+    """Start, end and pseudonym of the values of a kind, outside what is ``covered``.
+
+    Of a run of groups the longest prefix is taken that holds and ends before a separator; of an account
+    number rather that of its country's length. If none holds, the search goes on at the run's next group.
+    """
+    at = 0
+    while m := pattern.search(text, at):
+        begin, end = m.span()
+        at = end
+        ends = [end, *(i for i in range(end - 1, begin, -1) if text[i] in kind.groups)]
+        length = BANK_LENGTHS.get(m[0][:2])
+        for end in sorted(ends, key=lambda i: len(text[begin:i].replace(" ", "")) != length) if length else ends:
+            if end < m.end() and not pattern.fullmatch(text, begin, end) or 1 in covered[begin:end]:
+                continue
+            new = kind.replace(text[begin:end], key, back)
+            if new is not None:
+                yield begin, end, new
+                at = end
+                break
+        else:
+            at = ends[-1] if len(ends) > 1 else at
+
+
 def replaced(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, list[str]]]:
     """The text with its values permuted, and the values found by kind."""
     found: dict[str, list[str]] = {}
@@ -237,15 +296,11 @@ def replaced(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str,
         return text, found
     taken: list[tuple[int, int, str]] = []
     covered = bytearray(len(text))
-    for name, pattern, replace in FIND:
-        for m in pattern.finditer(text):
-            if 1 in covered[m.start() : m.end()]:
-                continue
-            new = replace(m[0], key, back)
-            if new is not None:
-                taken.append((m.start(), m.end(), new))
-                covered[m.start() : m.end()] = b"\x01" * (m.end() - m.start())
-                found.setdefault(name, []).append(m[0])
+    for name, pattern, kind in FIND:
+        for begin, end, new in values(text, pattern, kind, covered, key, back):
+            taken.append((begin, end, new))
+            covered[begin:end] = b"\x01" * (end - begin)
+            found.setdefault(name, []).append(text[begin:end])
     taken.sort()
     out, at = [], 0
     for a, b, new in taken:
