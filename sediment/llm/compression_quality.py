@@ -4,8 +4,9 @@ through a logistic curve, is the score. The curve also has the compressed size i
 that only repeats itself compresses well with either dictionary.
 
 The dictionaries come from a bounded sample: of at most ``FIT_ROWS`` labelled rows, four fifths give
-the dictionaries (whole texts, up to ``DICTIONARY_TEXT`` bytes a label) and one fifth the curve. Whole
-texts are scored, in blocks, so that a dictionary helps alike everywhere in a long text.
+the dictionaries and one fifth the curve. Of a label with more than ``DICTIONARY_TEXT`` bytes the
+dictionary is trained on blocks chosen by a hash from all its texts, so that a text gives its share
+only. Whole texts are scored, in blocks, so that a dictionary helps alike everywhere in a long text.
 
 Null and empty texts compress to nothing: their score is the curve at no difference. Repeated rows
 score alike; an empty table gives an empty result; without rows to learn from every score is 0.5.
@@ -14,6 +15,7 @@ Labels, language, source and id are no inputs of a score. Other columns are not
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -21,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sediment.llm.base import identifier, restored
@@ -38,9 +40,34 @@ def blocks(text: bytes) -> list[bytes]:
     return [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
 
 
-def dictionary(texts: list[bytes]) -> bytes:
+def chosen_blocks(fit: DataFrame) -> dict[int, list[bytes]]:
+    """By label the blocks to train on: all, or as many as ``DICTIONARY_TEXT`` has room for, by a hash.
+
+    The share is known from the bytes of each label, so that blocks are chosen where the texts are.
+    """
+    sizes = fit.groupBy("_label").agg(F.sum(F.octet_length("_text")).alias("n")).collect()  # two labels
+    shares = {r["_label"]: min(1.0, DICTIONARY_TEXT / max(r["n"], 1)) for r in sizes}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for label, id_, text in zip(*(batch.column(c).to_pylist() for c in ("_label", "_id", "_text")), strict=True):
+                rows = [
+                    (label, id_, place, block)
+                    for place, block in enumerate(blocks(text.encode()))
+                    if shares[label] == 1 or zlib.crc32(block, zlib.crc32(f"{id_}/{place}".encode())) < shares[label] * (1 << 32)
+                ]
+                if rows:
+                    types = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                    yield pa.record_batch(columns, ["label", "id", "place", "block"])
+
+    found = fit.select("_label", "_id", "_text").mapInArrow(run, "label int, id long, place long, block binary")
+    rows = sorted(map(tuple, found.collect()), key=lambda r: (zlib.crc32(f"{r[1]}".encode()), *r))  # about DICTIONARY_TEXT
+    return {label: [bytes(r[3]) for r in rows if r[0] == label] for label in (0, 1)}
+
+
+def dictionary(parts: list[bytes]) -> bytes:
     """A trained dictionary; too little text for training is one as it stands."""
-    parts = [b for t in texts for b in blocks(t)]
     size = min(DICTIONARY_BYTES, sum(map(len, parts)) // 8)
     try:
         return zstandard.train_dictionary(size, parts).as_bytes()
@@ -98,11 +125,8 @@ def quality_scores(
     rows = docs.select(identifier(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     sample = labelled(labels, label_col, modulus, held_out, FIT_ROWS, id_col)
     known = rows.join(F.broadcast(sample), "_id")
-    before = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_text")
-    fit = known.filter("_fold > 0").withColumn("_bytes", F.sum(F.octet_length("_text")).over(before))
-    fit = fit.filter(F.col("_bytes") <= DICTIONARY_TEXT).select("_label", "_text").collect()  # bounded by bytes
-    texts = {label: [r._text.encode() for r in fit if r._label == label and r._text] for label in (0, 1)}
-    good, bad = dictionary(texts[1]), dictionary(texts[0])
+    parts = chosen_blocks(known.filter("_fold > 0"))
+    good, bad = dictionary(parts[1]), dictionary(parts[0])
     curve = measured(known.filter("_fold = 0").select("_label", "_text"), good, bad).collect()  # at most FIT_ROWS
     features = np.array([[r.size_difference, r.size_with_good] for r in curve]).reshape(-1, 2)
     weights = [float(w) for w in logistic(features, np.array([r._label for r in curve], float))]
