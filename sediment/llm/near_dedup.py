@@ -83,6 +83,11 @@ def signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def briefs(signature: np.ndarray) -> np.ndarray:
+    """One byte per signature value; mixed first, since a minimum over many shingles has a small top byte."""
+    return (mix(signature) >> np.uint64(56)).astype(np.uint8)
+
+
 def tree_nodes(signature: np.ndarray, depth: int) -> np.ndarray:
     """The node of each document in each tree: a hash of the tree and the prefix."""
     node = np.tile(mix(np.arange(TREES, dtype=np.uint64) + np.uint64(99)), (len(signature), 1))
@@ -102,7 +107,7 @@ def describe(docs: DataFrame, depth: int) -> DataFrame:
                 digests = [(s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums]
                 signature = signatures(values, bounds)
                 nodes = tree_nodes(signature, depth).view(np.int64)
-                brief = (signature >> np.uint64(56)).astype(np.uint8)
+                brief = briefs(signature)
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(begin, len(part)),
