@@ -19,6 +19,33 @@ def _count(text: str, characters: str) -> str:
 _LINE_WORDS = "len(string_split(trim(line, ' '), ' '))"
 _BOILERPLATE = "|".join(BOILERPLATE)
 
+
+def _centroid_rounds(rounds: int) -> str:
+    """Assignment to the nearest centroid, then exact floors of the means, so many times; then assignment."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+        a{i} AS (
+            SELECT row_id, vec_id, v, c, distance FROM (
+                SELECT row_id, vec_id, v, c, distance, row_number() OVER (PARTITION BY row_id ORDER BY distance, c) AS n
+                FROM (
+                    SELECT row_id, vec_id, kept.v, c{i}.c, list_sum(list_transform(list_zip(kept.v, c{i}.v),
+                        lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+                    FROM kept, c{i}))
+            WHERE n = 1)""")
+        if i < rounds:
+            steps.append(f"""
+        m{i} AS (
+            SELECT c, list(m ORDER BY d) AS v FROM (
+                SELECT c, d, ((s - ((s % n) + n) % n) // n)::BIGINT AS m FROM (
+                    SELECT c, d, sum(x)::BIGINT AS s, count(*) AS n FROM (
+                        SELECT c, unnest(v) AS x, unnest(range(1, 65)) AS d FROM a{i})
+                    GROUP BY c, d))
+            GROUP BY c),
+        c{i + 1} AS (SELECT c{i}.c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return ",".join(steps)
+
+
 ORACLE = {
     "op2_exact_dedup": """
         WITH rows AS (
@@ -80,4 +107,15 @@ ORACLE = {
         SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
             NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * lost_chars <= 50 * word_chars AS kept
         FROM counted""",
+    "op13_centroid_clusters": f"""
+        WITH kept AS (
+            SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        c0 AS (
+            SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+            FROM (SELECT v, coalesce(sha256('1:' || vec_id), 'null') AS h FROM kept ORDER BY h, v LIMIT 16)),{_centroid_rounds(3)}
+        SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+            (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+        FROM a3 JOIN c3 USING (c)""",
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import byte_bpe, compression_quality, exact_dedup, language, line_quality, near_dedup, packing, pseudonyms, substring_dedup, toxicity
+from sediment.llm import byte_bpe, centroids, compression_quality, exact_dedup, language, line_quality, near_dedup, packing, pseudonyms, substring_dedup, toxicity
 from sediment.llm.base import table
 
 #: Only for the registered queries; a real run passes a secret of its own.
@@ -91,3 +91,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64)
