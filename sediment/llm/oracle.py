@@ -118,4 +118,41 @@ ORACLE = {
         SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
             (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
         FROM a3 JOIN c3 USING (c)""",
+    "op11_prefix_trie": """
+        WITH crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+        turns AS (
+            SELECT conv_id, sha256(length(role) || ':' || role || text) AS step, length(text) AS chars,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS p
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+            WHERE conv_id IS NOT NULL),
+        convs AS (
+            SELECT conv_id, list(step ORDER BY p) AS steps, list(chars ORDER BY p) AS chars FROM turns GROUP BY conv_id),
+        lengths AS (
+            SELECT conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(
+                string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
+            FROM convs, crc_table),
+        paths AS (
+            SELECT c.conv_id, coalesce(list_slice(o.steps, 1, h), []) || list_slice(c.steps, h + 1, len(c.steps)) AS steps,
+                coalesce(list_slice(o.chars, 1, h), []) || list_slice(c.chars, h + 1, len(c.chars)) AS chars
+            FROM convs c JOIN lengths USING (conv_id) LEFT JOIN convs o ON o.conv_id = c.conv_id - c.conv_id % 100),
+        prefixes AS (
+            SELECT conv_id, d, array_to_string(list_slice(steps, 1, d), '') AS key,
+                array_to_string(list_slice(steps, 1, d - 1), '') AS up, len(steps) = d AS ends,
+                CASE WHEN d = 0 THEN 0 ELSE chars[d] END AS chars
+            FROM (SELECT *, unnest(range(0, len(steps) + 1)) AS d FROM paths)),
+        nodes AS (
+            SELECT key, d, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n, min(chars) AS chars,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+            FROM prefixes GROUP BY key, d),
+        children AS (SELECT up AS key, d - 1 AS d, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY ALL),
+        counted AS (SELECT nodes.*, coalesce(kids, 0) AS kids FROM nodes LEFT JOIN children USING (key, d)),
+        below AS (
+            SELECT u.key, u.d, count(*) FILTER (WHERE v.kids = 0) AS n_leaves, sum((v.n - 1) * v.chars)::BIGINT AS saved
+            FROM counted u JOIN counted v ON starts_with(v.key, u.key) GROUP BY u.key, u.d)
+        SELECT c.conv_id, c.d::BIGINT AS depth, parent.conv_id AS parent_conv_id, c.n AS n_convs, c.kids AS n_children,
+            n_leaves, saved AS saved_tokens, c.ends_sha256
+        FROM counted c JOIN below USING (key, d) LEFT JOIN counted parent ON c.d > 0 AND parent.key = c.up AND parent.d = c.d - 1""",
 }

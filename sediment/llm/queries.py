@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import byte_bpe, centroids, compression_quality, exact_dedup, language, line_quality, near_dedup, packing, pseudonyms, substring_dedup, toxicity
+from sediment.llm import byte_bpe, centroids, compression_quality, exact_dedup, language, line_quality, near_dedup, packing, prefix_trie, pseudonyms, substring_dedup, toxicity
 from sediment.llm.base import table
 
 #: Only for the registered queries; a real run passes a secret of its own.
@@ -96,3 +96,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64)
+
+
+def rebuilt_conversations(conversations: DataFrame) -> DataFrame:
+    """Each conversation opens with up to five turns of the one whose id is the hundred at or below its own."""
+    lender = F.col("conv") - F.col("conv") % 100
+    length = (F.crc32(F.col("conv").cast("string").cast("binary")) % 6).cast("int")
+    return prefix_trie.with_openings(prefix_trie.numbered(conversations), lender, length, most=5)
+
+
+@register
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(rebuilt_conversations(table(spark, sf_dir, "conversations")))
