@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import byte_bpe, centroids, compression_quality, exact_dedup, language, line_quality, near_dedup, packing, prefix_trie, pseudonyms, substring_dedup, toxicity
+from sediment.llm import byte_bpe, centroids, compression_quality, exact_dedup, language, line_quality, main_text, near_dedup, packing, prefix_trie, pseudonyms, substring_dedup, toxicity
 from sediment.llm.base import table
 
 #: Only for the registered queries; a real run passes a secret of its own.
@@ -108,3 +108,8 @@ def rebuilt_conversations(conversations: DataFrame) -> DataFrame:
 @register
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(rebuilt_conversations(table(spark, sf_dir, "conversations")))
+
+
+@register
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(table(spark, sf_dir, "pages"))
