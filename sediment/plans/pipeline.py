@@ -2,7 +2,8 @@
 
 All days of a load are processed together, one Spark plan per table, not day by day. Results
 are checked before they are published and become visible when their SUCCESS rows are logged, so
-a load that dies anywhere can simply be run again.
+a load that dies anywhere can simply be run again. Two loads of one lake cannot both publish: a
+load claims its place in the log before it changes anything, and stops when another has done so since.
 """
 
 from __future__ import annotations
@@ -52,6 +53,27 @@ class Load:
         self.lake = Lake(spark, root, id_buckets)
         self.control = Control(self.lake)
         self.run_id = str(uuid.uuid4())
+        #: What the load decides is decided on the log as it was here.
+        self.since = self.control.entries.latest()
+        self.claimed: int | None = None
+
+    # --- one load at a time
+
+    def claim(self) -> None:
+        """Announce the load; stops if another one has begun since this one looked at the log.
+
+        Call it before the first change. A load that died leaves a claim, which the next one voids.
+        """
+        self.claimed = self.control.entries.claim(self.run_id, self.since)
+
+    def hold(self) -> None:
+        """Stop, before a table is changed, if another load has begun after this one."""
+        if self.claimed is not None:
+            self.control.entries.require(self.claimed)
+
+    def commit(self, entries: list[LogEntry]) -> None:
+        """Log SUCCESS rows, unless another load has begun: that is decided in the same step."""
+        self.control.append(entries, self.claimed)
 
     # --- logging
 
@@ -115,6 +137,7 @@ class Load:
                 rows = csvfiles.read_codes(
                     self.spark, self.source_dir, self.run_id, utc_seconds(started)
                 )
+                self.hold()
                 self.lake.write_snapshot(name, rows, raw_run)
             bronze = self.lake.snapshot(name, raw_run)
             loaded = bronze.count()
@@ -122,21 +145,18 @@ class Load:
                 raise ContractViolation("transaction_codes.csv holds no rows")
             # A version is found under its own run's SUCCESS row.
             if raw_run == self.run_id:
-                self.control.append(
-                    [self.entry(name, "SUCCESS", started, counts=(loaded, loaded, None))]
-                )
+                self.commit([self.entry(name, "SUCCESS", started, counts=(loaded, loaded, None))])
         name = "silver_transaction_codes"
         with self.step([name], [None], ACCOUNT_MODELS + TRANSACTION_MODELS) as started:
             require_empty(
                 contracts.duplicate_keys(bronze, "transaction_code"), "codes are not unique"
             )
+            self.hold()
             self.lake.write_snapshot(name, silver.promote_codes(bronze, self.run_id), self.run_id)
             written = self.lake.snapshot(name, self.run_id).count()
             if written == 0:
                 raise ContractViolation("silver transaction codes are empty after promotion")
-            self.control.append(
-                [self.entry(name, "SUCCESS", started, counts=(loaded, written, None))]
-            )
+            self.commit([self.entry(name, "SUCCESS", started, counts=(loaded, written, None))])
 
     # --- raw layer
 
@@ -166,7 +186,7 @@ class Load:
                     rows = reader(self.spark, paths, self.run_id, utc_seconds(started))
                     self._land(name, rows, fresh)
                 counts = self.lake.row_counts(name, days)
-                self.control.append(
+                self.commit(
                     [
                         self.entry(name, "SUCCESS", started, d, (counts[d], counts[d], None))
                         for d in days
@@ -178,6 +198,7 @@ class Load:
 
     def _land(self, name: str, rows: DataFrame, days: list[date]) -> None:
         """Write and read back: every file must yield rows and none may get lost."""
+        self.hold()
         read = Observation(f"{name} {self.run_id}")
         self.lake.replace_days(name, rows.observe(read, F.count(F.lit(1)).alias("rows")))
         counts = self.lake.row_counts(name, days)
@@ -221,7 +242,7 @@ class Load:
                 entries.append(
                     self.entry("silver_quarantine", "SUCCESS", started, day, (bad, bad, None))
                 )
-            self.control.append(entries)
+            self.commit(entries)
 
     def committed_days(self, without: set[date]) -> list[date]:
         """Days whose transactions are promoted, after a check that all with rows can be read."""
@@ -237,6 +258,7 @@ class Load:
             "an account occurs twice in one delta",
         )
         promoted = silver.promote_accounts(deltas, self.run_id)
+        self.hold()
         self.lake.write_snapshot("silver_accounts", upsert_accounts(promoted, stored), self.run_id)
         self.lake.clear_days("silver_accounts_quarantine", days)
         self.lake.replace_days(
@@ -290,6 +312,7 @@ class Load:
             if name == "silver_quarantine":
                 # Files of even size per day: hot days are split, quiet days share a task.
                 rows = rows.hint("rebalance", F.col("date"))
+            self.hold()
             self.lake.clear_days(name, days)
             self.lake.replace_days(name, rows)
             stored = self.lake.row_counts(name, days)
@@ -306,6 +329,7 @@ class Load:
         codes = self.codes()
         with self.step(GOLD_MODELS, [None], []) as started:
             results = self.marts(codes, F.lit(started))
+            self.hold()
             for name, rows in results.items():
                 self.lake.write_snapshot(name, rows, self.run_id)
             stored = {name: self.lake.snapshot(name, self.run_id) for name in results}
@@ -313,14 +337,13 @@ class Load:
                 F.coalesce(F.sum("total_transactions"), F.lit(0)).alias("rows")
             )
             processed = used.first()["rows"]
-            self.control.append(
+            self.commit(
                 [
                     self.entry(n, "SUCCESS", started, counts=(processed, df.count(), None))
                     for n, df in stored.items()
                 ]
             )
 
-
     def marts(self, codes: DataFrame, at: Column) -> dict[str, DataFrame]:
         """The new versions; transactions are read of changed days and of their weeks only."""
         name = "silver_transactions"
@@ -345,6 +368,7 @@ class Load:
 
     def tidy(self, keep: int) -> None:
         """Drop versions of whole tables older than the ``keep`` latest ones."""
+        self.hold()
         for name, runs in self.control.recent_runs(list(SNAPSHOTS), keep).items():
             self.lake.expire_snapshots(name, runs)
         self.lake.sweep_staging(self.control.runs())
@@ -365,6 +389,7 @@ def run_historical(
     ``keep`` latest versions stay.
     """
     load = Load(spark, source_dir, root, HISTORICAL, id_buckets)
+    load.claim()
     load.load_codes()
     load.codes()
     days = days_between(start, end)
@@ -377,6 +402,7 @@ def run_historical(
     load.load_gold()
     mark = load.control.watermark()
     if mark is None or mark < end:
+        load.hold()
         load.control.advance(end, load.run_id)
     load.tidy(keep)
     return load.run_id
@@ -393,6 +419,7 @@ def run_incremental(
     day = mark + timedelta(days=1)
     if day not in load.files("transactions", day, day):
         return None
+    load.claim()
     load.codes()
     if day in load.control.done("silver_transactions"):
         load.control.append(load.skipped(DAY_MODELS, [day]))
@@ -400,6 +427,7 @@ def run_incremental(
         load.load_bronze([day])
         load.load_silver([day])
     load.load_gold()
+    load.hold()
     load.control.advance(day, load.run_id)
     load.tidy(keep)
     return load.run_id

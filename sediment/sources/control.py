@@ -1,7 +1,8 @@
 """High-water mark and run log.
 
 Both are append-only: the current mark is the latest row, so no crash can lose it, and rows in
-the log are never rewritten. A SUCCESS row is the commit point of what it describes.
+the log are never rewritten. A SUCCESS row is the commit point of what it describes. Both are
+kept as numbered commits (``sources.commits``), among which a load also announces itself.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.schemas import CONTROL, RUN_LOG, RUN_STATUSES
-from sediment.sources.lake import Lake, read_or_empty
+from sediment.sources.commits import CommitLog
+from sediment.sources.lake import Lake
 
 
 def now() -> datetime:
@@ -76,13 +78,14 @@ def latest_mark(rows: DataFrame) -> DataFrame:
 class Control:
     def __init__(self, lake: Lake) -> None:
         self.lake, self.spark = lake, lake.spark
-        self._control = f"{lake.root}/pipeline/control"
-        self._log = f"{lake.root}/pipeline/run_log"
+        folder = f"{lake.root}/pipeline"
+        self.marks = CommitLog(lake.spark, f"{folder}/marks", CONTROL, before=f"{folder}/control")
+        self.entries = CommitLog(lake.spark, f"{folder}/log", RUN_LOG, before=f"{folder}/run_log")
 
     # --- high-water mark
 
     def current(self) -> DataFrame:
-        return latest_mark(read_or_empty(self.spark, self._control, CONTROL))
+        return latest_mark(self.marks.read())
 
     def watermark(self) -> date | None:
         row = self.current().first()
@@ -92,25 +95,20 @@ class Control:
         mark = self.watermark()
         if mark is not None and day <= mark:
             raise ValueError(f"watermark must move forward: {day} is not after {mark}")
-        row = self.spark.range(1).select(
-            F.lit(day).alias("last_processed_date"),
-            F.lit(utc_seconds(now())).cast("timestamp_ntz").alias("updated_at"),
-            F.lit(run_id).alias("updated_by_run_id"),
-        )
-        row.write.mode("append").parquet(self._control)
+        self.marks.append([(day, utc_seconds(now()), run_id)])
 
     # --- run log
 
     def log(self) -> DataFrame:
-        return read_or_empty(self.spark, self._log, RUN_LOG)
+        return self.entries.read()
+
+    def append(self, entries: list[LogEntry], claimed: int | None = None) -> None:
+        """Append log rows in one commit, so they appear together or not at all.
 
-    def append(self, entries: list[LogEntry]) -> None:
-        """Append log rows in one file, so they appear together or not at all."""
+        With the number of a load's claim, only if no other load has begun since.
+        """
         if entries:
-            rows = [tuple(asdict(entry).values()) for entry in entries]
-            self.spark.createDataFrame(rows, RUN_LOG).coalesce(1).write.mode("append").parquet(
-                self._log
-            )
+            self.entries.append([tuple(asdict(entry).values()) for entry in entries], claimed)
 
     def succeeded(self, model: str) -> DataFrame:
         return succeeded(self.log(), model)

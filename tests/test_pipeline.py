@@ -15,6 +15,7 @@ from sediment.operators.contracts import ContractViolation, changed_rows
 from sediment.plans import audit, pipeline
 from sediment.plans.pipeline import run_historical, run_incremental
 from sediment.sources import csvfiles
+from sediment.sources.commits import ConcurrentLoad
 from sediment.sources.control import Control
 from sediment.sources.lake import SNAPSHOTS, Lake, LakeError
 
@@ -389,3 +390,54 @@ def test_increment_reads_only_changed_days_for_the_marts(spark, tmp_path, monkey
         run_incremental(spark, source, root)
     assert audit.rerun_differences(spark, root).isEmpty()
     assert current(Lake(spark, root), "gold_daily_summary").count() == 7
+
+
+def test_the_second_of_two_loads_stops_before_it_changes_a_table(spark, tmp_path):
+    source, root = place(tmp_path)
+    run_historical(spark, source, root, FIRST, date(2024, 1, 2))
+    one, two = (pipeline.Load(spark, source, root, "INCREMENTAL") for _ in range(2))
+    one.claim()
+    before = files(root)
+    with pytest.raises(ConcurrentLoad, match=one.run_id):
+        two.claim()
+    assert files(root) == before
+    day = [date(2024, 1, 3)]
+    one.load_bronze(day)
+    one.load_silver(day)
+    assert Control(Lake(spark, root)).done("silver_transactions") == set(days(3))
+
+
+def test_a_load_that_was_overtaken_does_not_publish(spark, tmp_path):
+    """A load that seemed dead goes on after another has begun: it changes nothing any more."""
+    source, root = place(tmp_path)
+    run_historical(spark, source, root, FIRST, date(2024, 1, 2))
+    slow = pipeline.Load(spark, source, root, "INCREMENTAL")
+    slow.claim()
+    slow.load_bronze([date(2024, 1, 3)])
+    run_incremental(spark, source, root)
+    before = files(root)
+    with pytest.raises(ConcurrentLoad):
+        slow.load_silver([date(2024, 1, 3)])
+    with pytest.raises(ConcurrentLoad):
+        slow.load_gold()
+    assert files(root) == before
+    lake = Lake(spark, root)
+    silver = lake.days("silver_transactions", days())
+    assert silver.select("_pipeline_run_id").distinct().count() == 2
+    failed = Control(lake).log().where("status = 'FAILED'").collect()
+    assert {r["run_id"] for r in failed} == {slow.run_id}
+    assert audit.rerun_differences(spark, root).isEmpty()
+
+
+def test_log_files_stay_as_many(spark, tmp_path):
+    """What a lookup opens does not grow with the number of loads."""
+    source, root = place(tmp_path)
+    run_historical(spark, source, root, FIRST, FIRST)
+    control = Control(Lake(spark, root))
+    control.entries.every = 10
+    load = pipeline.Load(spark, source, root, "INCREMENTAL")
+    for _ in range(60):
+        control.append(load.skipped(["silver_transactions"], [LAST]))
+        assert len(control.entries.files()) <= 11
+    assert control.log().where("status = 'SKIPPED'").count() == 60
+    assert control.done("silver_transactions") == {FIRST}
