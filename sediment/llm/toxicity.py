@@ -8,14 +8,16 @@ length: over the whole text and over the most toxic stretch of a few lengths, so
 passage shows in a long text. A logistic curve, fitted to labelled rows that the models have not
 seen, turns them into a score.
 
-Words are A-Z lower-cased, without ASCII marks. The counts come from all rows that may be learnt from,
-up to ``FIT_ROWS`` labelled rows, and are tables keyed by the whole word and by the whole pair (64-bit
-hashes of words): every word and pair has an entry of its own, also one seen once. They never reach
-the driver or a task as a whole. The entries are dealt into slices of the key; blocks of documents ask
-each slice for their distinct words and pairs, and the answers meet the block's texts again.
+Words are A-Z lower-cased, without ASCII marks. The models are fitted on a sample of the labelled rows
+that may be learnt from: at most about ``FIT_ROWS`` of them, chosen by a hash, and of these, if they
+have more than ``FIT_BYTES`` of text, stretches of ``FIT_STRETCH`` words chosen by a hash over all of
+them. The counts of the sample are tables keyed by the whole word and by the whole pair (64-bit hashes
+of words): every word and pair has an entry of its own, also one seen once. An entry takes 12 bytes, so
+the sample bounds what every task gets: under ``FIT_BYTES`` / 2 entries, as every word is at least one
+byte and a space. Texts are scored where they are read; they are neither staged nor shuffled.
 
 Null and empty texts have no evidence: their score is the curve at zero. Repeated rows score alike;
-an empty table gives an empty result; without rows to learn from every score is 0.5. Labels,
+an empty table gives an empty result; without rows to learn from all scores are equal. Labels,
 language, source and id are no inputs of a score. Other columns are not read.
 """
 
@@ -26,26 +28,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.base import identifier, partitions, restored, staged
+from sediment.llm.base import identifier, map_batches, restored, staged
 from sediment.llm.training import labelled, logistic, remainder
 from sediment.llm.words import BASE, Words, mix, raw, slices, words
 
-FIT_ROWS = 1_000_000
+FIT_ROWS, FIT_BYTES, FIT_STRETCH = 10_000, 32 << 20, 256
 #: In the place of the word before: at the start of a text, and for a word alone.
 BEGIN, ALONE = np.uint64(BASE >> 1), np.uint64(0)
 DISCOUNT = 0.75
+#: A toxic text that is missed counts as so many ordinary ones that are not: the curve is moved by its logarithm.
+MISSED = 2.5
 #: Each pair counts as seen so often more, by the classes' shares in its context.
 SHARED_PAIRS = 2.0
 STRETCHES = (1, 4, 16, 64)
-#: Pairs counted, or entries dealt, together in a task before they are sent.
+#: Pairs counted together in a task before they are sent.
 HELD = 1 << 20
-#: Entries of the models in a slice (about; there are ``LEAST_SLICES`` at least), and bytes of text in a block.
-SLICE, LEAST_SLICES = 1 << 20, 64
-BLOCK_BYTES = 16 << 20
 MARKS = np.zeros(256, bool)
 MARKS[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 
@@ -73,7 +73,16 @@ def keys_of(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(before * np.uint64(BASE) + word)
 
 
-def counted_pairs(rows: DataFrame) -> DataFrame:
+def chosen(text: Words, ids: np.ndarray, share: float) -> np.ndarray:
+    """Which words lie in a stretch of their text that is chosen by a hash, about ``share`` of all."""
+    if share >= 1:
+        return np.ones(len(text.hashes), bool)
+    of = text.texts()
+    stretch = (np.arange(len(of)) - text.bounds[:-1][of]) // FIT_STRETCH
+    return mix(mix(ids[of].view(np.uint64)) + stretch.astype(np.uint64)) < np.uint64(int(share * 2**64))
+
+
+def counted_pairs(rows: DataFrame, share: float = 1.0) -> DataFrame:
     """(``before``, ``word``, ``n0``, ``n1``): how often each pair occurs in ordinary and in toxic rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,18 +97,20 @@ def counted_pairs(rows: DataFrame) -> DataFrame:
             return pa.record_batch(list(map(pa.array, columns)), ["before", "word", "n0", "n1"])
 
         for batch in batches:
-            labels = batch.column("_label").to_numpy()
+            labels, ids = batch.column("_label").to_numpy(), batch.column("_id").to_numpy()
             for begin, part in slices(batch.column("_text")):
                 text = plain_words(part)
-                held.append((words_before(text), text.hashes, labels[begin : begin + len(part)][text.texts()]))
-                size += len(text.hashes)
+                there = chosen(text, ids[begin : begin + len(part)], share)
+                label = labels[begin : begin + len(part)][text.texts()]
+                held.append((words_before(text)[there], text.hashes[there], label[there]))
+                size += int(there.sum())
                 if size >= HELD:
                     yield send()
                     held, size = [], 0
         if size:
             yield send()
 
-    sent = rows.select("_label", "_text").mapInArrow(run, "before long, word long, n0 long, n1 long")
+    sent = rows.select("_id", "_label", "_text").mapInArrow(run, "before long, word long, n0 long, n1 long")
     return sent.groupBy("before", "word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
@@ -113,13 +124,14 @@ class Models:
 
 
 def fit_models(rows: DataFrame) -> Models:
-    """The two models of labelled rows (``_label``, ``_text``).
+    """The two models of labelled rows (``_id``, ``_label``, ``_text``).
 
-    One job counts the pairs. From them come per word what it follows and per context what it
+    One job measures their text, one counts the pairs. From them come per word what it follows and per context what it
     precedes, and from these the evidence. What a context leaves to the words is the same for both
     classes, so that it cancels out where a pair has no entry: the word's own evidence is left.
     """
-    pair = staged(counted_pairs(rows))
+    size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    pair = staged(counted_pairs(rows, FIT_BYTES / size if size > FIT_BYTES else 1.0))
     both = F.col("n0") + F.col("n1")
     own = [F.col(n) * (1 - DISCOUNT / both) for n in ("n0", "n1")]
     follows = [F.sum((F.col(n) > 0).cast("long")).alias(a) for n, a in (("n0", "a0"), ("n1", "a1"))]
@@ -150,98 +162,17 @@ def fit_models(rows: DataFrame) -> Models:
     return Models(words_alone.unionByName(pairs), total["words"] + total["a"], unseen)
 
 
-def dealt(keys: np.ndarray, number: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The places of the keys of each slice."""
-    slice_ = (keys % np.uint64(number)).astype(np.int64)
-    order = np.argsort(slice_, kind="stable")
-    cuts = np.searchsorted(slice_[order], np.arange(number + 1))
-    for k in np.flatnonzero(np.diff(cuts)):
-        yield int(k), order[cuts[k] : cuts[k + 1]]
-
-
-PACKED = "_slice int, _block long, _keys binary, _evidence binary"
-
-
-def packed(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-    columns = list(zip(*rows, strict=True)) or [()] * 4
-    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], PACKED.split()[::2])
-
-
-def sliced_entries(models: Models, number: int) -> DataFrame:
-    """The entries of the models, many in a row: rows of ``PACKED`` without block."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        size = 0
-
-        def send() -> pa.RecordBatch:
-            keys, values = map(np.concatenate, zip(*held, strict=True))
-            return packed([(k, None, keys[at].tobytes(), values[at].tobytes()) for k, at in dealt(keys, number)])
-
-        for batch in batches:
-            before, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
-            held.append((keys_of(before, word), batch.column("evidence").to_numpy()))
-            size += len(word)
-            if size >= HELD:
-                yield send()
-                held, size = [], 0
-        if size:
-            yield send()
-
-    return models.entries.mapInArrow(run, PACKED)
-
+def table_of(models: Models) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and the evidence of each: as many as the bounded sample has words and pairs."""
 
-def in_blocks(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``_block``: texts of ``BLOCK_BYTES`` together, and one that passes it."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        before, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
+        return pa.record_batch([pa.array(keys_of(before, word).view(np.int64)), batch.column("evidence")], ["key", "evidence"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, done = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            _, offsets = raw(batch.column("_text"))
-            yield batch.append_column("_block", pa.array(first + (done + offsets[:-1]) // BLOCK_BYTES, pa.int64()))
-            done += int(offsets[-1])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, schema + ", _block long")
-
-
-def asked(blocks: DataFrame, number: int) -> DataFrame:
-    """The distinct words and pairs of each block by slice: rows of ``PACKED`` without evidence."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held = None, []
-
-        def send() -> pa.RecordBatch:
-            keys = np.unique(np.concatenate(held))
-            return packed([(k, block, keys[at].tobytes(), None) for k, at in dealt(keys, number)])
-
-        for batch in batches:
-            of = batch.column("_block").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
-            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-                if begin == end:
-                    continue
-                if of[begin] != block:
-                    if held:
-                        yield send()
-                    block, held = int(of[begin]), []
-                for _, part in slices(batch.column("_text").slice(begin, end - begin)):
-                    text = plain_words(part)
-                    word = np.unique(text.hashes)
-                    held.append(np.unique(keys_of(words_before(text), text.hashes)))
-                    held.append(keys_of(np.full_like(word, ALONE), word))
-        if held:
-            yield send()
-
-    return blocks.select("_block", "_text").mapInArrow(run, PACKED)
-
-
-def in_order(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys in order and the evidence of each."""
-    keys = np.frombuffer(b"".join(k for k, _ in parts), np.uint64)
+    entries = map_batches(models.entries, run, "key long, evidence float").toArrow()
+    keys, values = entries["key"].to_numpy().view(np.uint64), entries["evidence"].to_numpy()
     order = np.argsort(keys)
-    return keys[order], np.frombuffer(b"".join(e for _, e in parts), np.float32)[order]
+    return keys[order], values[order]
 
 
 def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,29 +183,6 @@ def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-def answered(entries: DataFrame, questions: DataFrame) -> DataFrame:
-    """A shuffled join by slice: of the keys asked for those with an entry, and their evidence."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slice_, parts, table = None, [], None
-        for batch in batches:
-            for k, block, keys, values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if k != slice_:
-                    slice_, parts, table = k, [], None
-                if block is None:  # these come first
-                    parts.append((keys, values))
-                    continue
-                if table is None:
-                    table, parts = in_order(parts), []
-                wanted = np.frombuffer(keys, np.uint64)
-                at, there = found(table[0], wanted)
-                if there.any():
-                    yield packed([(k, block, wanted[there].tobytes(), table[1][at[there]].tobytes())])
-
-    rows = entries.unionByName(questions).repartition("_slice")
-    return rows.sortWithinPartitions("_slice", F.col("_block").asc_nulls_first()).mapInArrow(run, PACKED)
-
-
 def features(keys: np.ndarray, values: np.ndarray, unseen: float, column: pa.Array) -> np.ndarray:
     """Per text: mean evidence per word, and the largest mean over stretches of each length.
 
@@ -302,36 +210,15 @@ def features(keys: np.ndarray, values: np.ndarray, unseen: float, column: pa.Arr
 
 
 def with_features(rows: DataFrame, models: Models) -> DataFrame:
-    """``features`` of the rows (``_id``, ``_text``) by ``_id``."""
-    number = max(LEAST_SLICES, partitions(rows.sparkSession), -(-models.size // SLICE))
-    blocks = staged(in_blocks(rows.select("_id", "_text")))
-    answers = answered(sliced_entries(models, number), asked(blocks, number))
-    unseen = models.unseen
+    """``features`` of the rows (``_id``, ``_text``) by ``_id``, where the texts are read."""
+    table, unseen = rows.sparkSession.sparkContext.broadcast(table_of(models)), models.unseen
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts, table = None, [], None
-        for batch in batches:
-            of, answer = batch.column("_block").to_numpy(), batch.column("_keys").is_valid().to_numpy(False)
-            cuts = [0, *(np.flatnonzero((of[1:] != of[:-1]) | (answer[1:] != answer[:-1])) + 1).tolist(), len(of)]
-            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-                if begin == end:
-                    continue
-                if of[begin] != block:
-                    block, parts, table = of[begin], [], None
-                rows = batch.slice(begin, end - begin)
-                if answer[begin]:  # these come first
-                    parts += zip(rows.column("_keys").to_pylist(), rows.column("_evidence").to_pylist(), strict=True)
-                    continue
-                if table is None:
-                    table, parts = in_order(parts), []
-                values = np.vstack([features(*table, unseen, part) for _, part in slices(rows.column("_text"))])
-                yield pa.record_batch(
-                    [rows.column("_id"), pa.array(list(values), pa.list_(pa.float64()))], ["_id", "features"]
-                )
-
-    both = blocks.unionByName(answers.drop("_slice"), allowMissingColumns=True).repartition("_block")
-    both = both.sortWithinPartitions("_block", F.col("_keys").isNull())
-    return both.mapInArrow(run, "_id long, features array<double>")
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        parts = [features(*table.value, unseen, part) for _, part in slices(batch.column("_text"))]
+        values = np.vstack([np.zeros((0, 1 + len(STRETCHES))), *parts])
+        return pa.record_batch([batch.column("_id"), pa.array(list(values), pa.list_(pa.float64()))], ["_id", "features"])
+
+    return map_batches(rows.select("_id", "_text"), run, "_id long, features array<double>")
 
 
 def toxicity_scores(
@@ -352,7 +239,7 @@ def toxicity_scores(
     curve = described.join(F.broadcast(sample.filter("_fold = 0")), "_id").toArrow()  # a fifth of FIT_ROWS
     fitted = np.array(curve["features"].to_pylist()).reshape(-1, 1 + len(STRETCHES))
     weights = [float(w) for w in logistic(fitted, curve["_label"].to_numpy().astype(float))]
-    sum_ = F.lit(weights[-1])
+    sum_ = F.lit(weights[-1] + float(np.log(MISSED)))
     for k, w in enumerate(weights[:-1]):
         sum_ = sum_ + F.get("features", F.lit(k)) * w
     scored = described.select(

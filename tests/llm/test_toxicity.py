@@ -52,17 +52,16 @@ def plain_evidence(rows):
     return evidence
 
 
-@pytest.mark.parametrize("block", [16 << 20, 2000])
-def test_every_word_and_pair_counts(spark, monkeypatch, block):
+@pytest.mark.parametrize("held", [1 << 20, 2000])
+def test_every_word_and_pair_counts(spark, monkeypatch, held):
     prepare(spark)
-    monkeypatch.setattr(toxicity, "BLOCK_BYTES", block)
-    monkeypatch.setattr(toxicity, "HELD", block)
+    monkeypatch.setattr(toxicity, "HELD", held)
     rng = random.Random(8)
     # Far more rare words than 2**18 cells can hold apart, each in a single row.
     rows = [(i % 2, f"common {'bad' if i % 2 else 'good'} start " + " ".join(f"r{i}x{k}" for k in range(400))) for i in range(400)]
     asked = [(i, " ".join(rng.choice([f"r{i}x{rng.randrange(400)}", f"r{i}x7 r{i}x8", "common bad", f"new{i}"]) for _ in range(60))) for i in range(400)]
     asked += [(900, ""), (901, "start")]
-    learnt = spark.createDataFrame(rows, "_label int, _text string").repartition(3)
+    learnt = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "_id long, _label int, _text string").repartition(3)
     models = toxicity.fit_models(learnt)
     assert models.size == models.entries.count()
     found = toxicity.with_features(spark.createDataFrame(asked, "_id long, _text string").repartition(3), models)
@@ -76,3 +75,17 @@ def test_every_word_and_pair_counts(spark, monkeypatch, block):
         for width in toxicity.STRETCHES:
             wanted.append(max((sum(each[k : k + width]) / width for k in range(len(each))), default=0))
         assert np.allclose(found[i], wanted, rtol=1e-4, atol=1e-5)
+
+
+def test_stretches_are_chosen_over_all_text(spark, monkeypatch):
+    """A sample with too much text gives stretches of all its rows; long ones push none out."""
+    prepare(spark)
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 200_000)
+    rows = [(i, i % 2, " ".join(f"w{i}x{k}" for k in range(20_000 if i == 7 else 600))) for i in range(100)]
+    learnt = spark.createDataFrame(rows, "_id long, _label int, _text string").repartition(3)
+    models = toxicity.fit_models(learnt)
+    words = models.entries.filter(f"before = {int(toxicity.ALONE)}").count()
+    total = sum(len(r[2].split()) for r in rows)
+    share = 200_000 / sum(len(r[2]) for r in rows)
+    assert 0.6 * share * total < words < 1.4 * share * total
+    assert words == models.entries.count() - words  # every pair once, as every word
