@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from sediment.functions.dates import days_between
 from sediment.operators import contracts
 from sediment.operators.contracts import ContractViolation, require_empty
-from sediment.operators.dedup import tag_transactions
+from sediment.operators.dedup import existing_ids, tag_transactions
 from sediment.operators.lookup import known_accounts
 from sediment.operators.rules import REASON, accepted, check_accounts, check_transactions
 from sediment.operators.upsert import upsert_accounts
@@ -223,10 +223,11 @@ class Load:
         with self.step(TRANSACTION_MODELS, days, ACCOUNT_MODELS) as started:
             bronze = self.lake.days("bronze_transactions", days)
             known = known_accounts(accepted(deltas), stored_accounts)
+            checked = check_transactions(bronze, codes)
             stored = None
             if committed:
-                stored = self.lake.days("silver_transactions", committed).select("transaction_id")
-            tagged = tag_transactions(check_transactions(bronze, codes), known, stored)
+                stored = self.lake.stored_ids(existing_ids(accepted(checked)), committed)
+            tagged = tag_transactions(checked, known, stored)
             try:
                 staged = self._stage(tagged)
                 counts = self._check_split(bronze, staged)
@@ -319,6 +320,7 @@ class Load:
             expected = {day: counts.get(day, (0, 0, 0))[position] for day in days}
             if stored != expected:
                 raise ContractViolation(f"{name}: expected {expected}, stored {stored}")
+        self.lake.sketch_days(days)
 
     # --- marts
 

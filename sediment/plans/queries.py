@@ -14,6 +14,7 @@ from sediment.operators import contracts
 from sediment.operators.compare import count_by, row_surplus
 from sediment.operators.dedup import existing_ids, first_in_batch, tag_transactions
 from sediment.operators.lookup import known_accounts
+from sediment.operators.membership import groups_that_may_hold, sketches
 from sediment.operators.rules import (
     REASON,
     TRANSACTION_RULES,
@@ -297,6 +298,23 @@ def stored_ids(spark, sf_dir):
     return existing_ids(others)
 
 
+@query
+def stored_ids_found(spark, sf_dir):
+    """Ids offered from the split day on that an earlier day has promoted, looked up through sketches.
+
+    Groups of stored ids that cannot hold any of them are left out before the exact join.
+    """
+    stages = Stages(spark, sf_dir)
+    bucket = F.pmod(F.hash("transaction_id"), F.lit(64)).alias("bucket")
+    stored = accepted(stages.tagged_before).select("date", "transaction_id", bucket)
+    offered = existing_ids(accepted(stages.checked.where(F.col("date") >= F.lit(SPLIT)))).select("transaction_id", bucket)
+    near = groups_that_may_hold(
+        sketches(stored, "date", "bucket", "transaction_id"), offered, "date", "bucket", "transaction_id"
+    )
+    read = stored.join(near, ["date", "bucket"], "left_semi")
+    return read.join(offered.select("transaction_id"), "transaction_id", "left_semi").select("date", "transaction_id")
+
+
 @query
 def reject_reason_counts(spark, sf_dir):
     stages = Stages(spark, sf_dir)

@@ -7,7 +7,8 @@ table, and a table can be rebuilt from its own current version.
 
 Silver transactions are also bucketed by transaction id. Every increment has to look its ids up
 among all ids ever promoted; with buckets only the new ids are shuffled, and the stored ids are
-read bucket by bucket.
+read bucket by bucket. Beside the data lies a sketch of the ids of every day and bucket, so that
+only those files are opened that can hold one of the new ids.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from __future__ import annotations
 import hashlib
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment import schemas
+from sediment.operators.membership import groups_that_may_hold, sketches
 from sediment.sources.files import exists, matching, qualified, remove
 
 DAILY = {
@@ -55,8 +57,19 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(path)
 
 
+SKETCHES = "silver/id_sketches"
+#: Beyond so many files of silver that can hold new ids, whole days are read instead of single files.
+MOST_FILES = 50_000
 BUCKETED = "silver_transactions"
 BUCKET_KEY = "transaction_id"
+SKETCHED = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("bits", T.ArrayType(T.LongType())),
+        T.StructField("date", T.DateType()),
+    ]
+)
 LAYOUT = T.StructType([T.StructField("id_buckets", T.IntegerType())])
 
 
@@ -104,6 +117,50 @@ class Lake:
         if lost:
             raise LakeError(f"{name}: committed days are not to be found: {', '.join(lost)}")
 
+    # --- ids of silver transactions
+
+    def _bucket(self) -> Column:
+        """The hash that buckets are made by."""
+        return F.pmod(F.hash(BUCKET_KEY), F.lit(self.id_buckets()))
+
+    def sketch_days(self, dates: list[date]) -> None:
+        """Write the sketches of the ids stored for the days; those of other days stay."""
+        ids = self.days(BUCKETED, dates).select("date", BUCKET_KEY, self._bucket().alias("bucket"))
+        found = sketches(ids, "date", "bucket", BUCKET_KEY).hint("rebalance", F.col("date"))
+        found.select("bucket", "size", "bits", "date").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("date").parquet(f"{self.root}/{SKETCHES}")
+
+    def files_that_may_hold(self, ids: DataFrame, dates: list[date]) -> DataFrame:
+        """(``date``, ``bucket``) of silver's files on the days that can hold any of ``ids``."""
+        stored = self.spark.read.schema(SKETCHED).parquet(f"{self.root}/{SKETCHES}")
+        wanted = ids.select(BUCKET_KEY, self._bucket().alias("bucket"))
+        return groups_that_may_hold(stored.where(F.col("date").isin(dates)), wanted, "date", "bucket", BUCKET_KEY)
+
+    def stored_ids(self, ids: DataFrame, dates: list[date]) -> DataFrame:
+        """Ids stored on the days, of all files that can hold any of ``ids``; other files are not opened.
+
+        The names of such files come to the driver, which lists the files of a table anyway. A day
+        without sketches, from before there were any, is read whole.
+        """
+        known = {p.rstrip("/").rsplit("=", 1)[-1] for p in matching(self.spark, f"{self.root}/{SKETCHES}/date=*")}
+        sketched = [day for day in dates if str(day) in known]
+        whole = [day for day in dates if str(day) not in known]
+        table = self.days(BUCKETED, dates)
+        if not sketched:
+            return table.select(BUCKET_KEY)
+        found = self.files_that_may_hold(ids, sketched).limit(MOST_FILES + 1).collect()
+        days = sorted({row["date"] for row in found} | set(whole))
+        table = self.days(BUCKETED, days)
+        if len(found) <= MOST_FILES:
+            path = F.col("_metadata.file_path")
+            day, bucket = F.regexp_extract(path, "date=([0-9-]+)", 1), F.regexp_extract(path, "_([0-9]+)\\.c[0-9]+", 1)
+            names = [f"{row['date']}/{row['bucket']:05d}" for row in found]
+            # Of the file's name alone, so that Spark decides it before it opens a file.
+            wanted = F.concat(day, F.lit("/"), bucket).isin(names) | day.isin([str(d) for d in whole])
+            table = table.where(wanted)
+        return table.select(BUCKET_KEY)
+
     def _layout_path(self) -> str:
         return f"{self.root}/pipeline/layout"
 
@@ -137,10 +194,9 @@ class Lake:
         if not exists(self.spark, self._layout_path()):
             layout = self.spark.range(1).select(F.lit(self._id_buckets).alias("id_buckets"))
             layout.write.mode("overwrite").parquet(self._layout_path())
-        # The hash that buckets are made by: a bucket of a day meets in one task and makes one
-        # file. Adaptive execution merges small pairs of day and bucket and splits large ones.
-        bucket = F.pmod(F.hash(BUCKET_KEY), F.lit(self.id_buckets()))
-        spread = rows.withColumn("_bucket", bucket).hint("rebalance", F.col("date"), F.col("_bucket"))
+        # A bucket of a day meets in one task and makes one file. Adaptive execution merges small
+        # pairs of day and bucket and splits large ones.
+        spread = rows.withColumn("_bucket", self._bucket()).hint("rebalance", F.col("date"), F.col("_bucket"))
         spread.drop("_bucket").write.insertInto(self._bucketed_table(), overwrite=True)
 
     def replace_days(self, name: str, rows: DataFrame) -> None:
@@ -190,6 +246,7 @@ class Lake:
             if exists(self.spark, partition):
                 remove(self.spark, partition)
                 if name == BUCKETED:
+                    remove(self.spark, f"{self.root}/{SKETCHES}/date={day}")
                     self.spark.sql(
                         f"ALTER TABLE {self._bucketed_table()} "
                         f"DROP IF EXISTS PARTITION (date = DATE '{day}')"
