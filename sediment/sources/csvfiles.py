@@ -7,7 +7,7 @@ from datetime import date
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,26 +33,98 @@ def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The files' lines as they are, with the number of quotes in each."""
-    lines = spark.read.text(paths).select(
+    """The files' lines as they are, with their place: the split they are in and a number that grows.
+
+    ``opens`` tells whether a quoted field is open at a line's end if none was at its beginning,
+    ``stays`` whether one is if one was. Quotes count where a field begins, and where they end one;
+    a quote amid an unquoted field is a character like any other, two quotes are never an end.
+    """
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("_source_file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
-        "value",
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        F.regexp_replace("value", "\\r$", "").alias("value"),
     )
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return lines.withColumn("quotes", quotes)
+    single = F.replace("value", F.lit('""'), F.lit(""))
+
+    def left_open(text: Column) -> Column:
+        return F.regexp_replace(text, '(^|,)"[^"]*"', "$1").rlike('(^|,)"')
+
+    closed = F.concat(F.lit("-"), F.regexp_replace(single, '^[^"]*"', ""))
+    stays = ~F.contains(single, F.lit('"')) | left_open(closed)
+    return lines.withColumns({"opens": left_open(single), "stays": stays})
 
 
 def with_open_quotes(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Those of the files in which a quoted field may go on in the next line.
+    """Those of the files in which a quoted field goes on in the next line.
+
+    One pass over the lines; at most one name per file comes back.
+    """
+    found = _lines(spark, paths).where("opens").select("path").distinct().collect()
+    named = {_plain(unquote(r["path"])) for r in found}
+    return [path for path in paths if _plain(qualified(spark, path)) in named]
+
+
+def _followed(rows: DataFrame, window: WindowSpec) -> DataFrame:
+    """``rows`` with what happens up to each by its window, from (``opens``, ``stays``).
+
+    A line leaves the state as it is, turns it, or sets it. So the state after a line is what the last
+    line that sets it has set (``fixed``; null if there is none: the state at the beginning), turned as
+    often as lines have turned it since (``turns``, modulo 2).
+    """
+    turn = (F.col("opens") & ~F.col("stays")).cast("long")
+    all_turns = F.coalesce(F.sum(turn).over(window), F.lit(0))
+    rows = rows.withColumn("_turns", all_turns)
+    sets = F.when(F.col("opens") == F.col("stays"), F.struct(F.col("opens").cast("long").alias("state"), F.col("_turns")))
+    rows = rows.withColumn("_set", F.last(sets, ignorenulls=True).over(window))
+    since = F.col("_turns") - F.coalesce("_set._turns", F.lit(0))
+    return rows.withColumns({"fixed": F.col("_set.state"), "turns": since % 2}).drop("_turns", "_set")
+
 
-    A line of complete records has an even number of quotes. One pass over the lines; at most one
-    name per file comes back.
+def with_states(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``before`` and ``after``: whether a quoted field is open around each line.
+
+    Each split is followed by itself, and a prefix over one row a split tells how it begins: no task
+    reads more than a split, however large the file.
+    """
+    within = Window.partitionBy("path", "block").orderBy("line")
+    lines = _followed(lines, within)
+    splits = lines.groupBy("path", "block").agg(F.max_by(F.struct("fixed", "turns"), "line").alias("end"))
+    # A split as a whole is like one line: what comes out if it begins outside, and if inside.
+    out = [F.coalesce("end.fixed", F.lit(start)).bitwiseXOR(F.col("end.turns")) == 1 for start in (0, 1)]
+    splits = splits.select("path", "block", out[0].alias("opens"), out[1].alias("stays"))
+    splits = _followed(splits, Window.partitionBy("path").orderBy("block"))
+    ended = F.coalesce("fixed", F.lit(0)).bitwiseXOR(F.col("turns"))
+    begins = F.lag(ended, 1, 0).over(Window.partitionBy("path").orderBy("block"))
+    lines = lines.join(splits.select("path", "block", begins.alias("begins")), ["path", "block"])
+    after = F.coalesce("fixed", "begins").bitwiseXOR(F.col("turns"))
+    before = F.coalesce(F.lag(after).over(within), F.col("begins"))
+    return lines.withColumns({"after": after, "before": before, "place": F.row_number().over(within)})
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """(``path``, ``_source_file``, ``block``, ``line``, ``value``): whole records, the place that of their first line.
+
+    Only the lines of records that run over several are brought together. The header and lines
+    without anything are left out.
     """
-    odd = _lines(spark, paths).where("quotes % 2 = 1").select("path").distinct().collect()
-    found = {_plain(unquote(r["path"])) for r in odd}
-    return [path for path in paths if _plain(qualified(spark, path)) in found]
+    states = with_states(lines).where(~((F.col("block") == 0) & (F.col("place") == 1)))
+    columns = ["path", "_source_file", "block", "line", "value"]
+    single = states.where("before = 0 AND after = 0 AND trim(value) <> ''").select(*columns)
+    within = Window.partitionBy("path", "block").orderBy("line")
+    first = F.when(F.col("before") == 0, F.struct("block", "line"))
+    parts = states.where("before = 1 OR after = 1").withColumn("first", F.last(first, ignorenulls=True).over(within))
+    # What a split begins with belongs to the last record that began before it.
+    last = states.groupBy("path", "block").agg(F.max(F.when((F.col("before") == 0) & (F.col("after") == 1), F.struct("block", "line"))).alias("last"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("path", "block", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    parts = parts.join(carried, ["path", "block"]).withColumn("first", F.coalesce("first", "carried"))
+    text = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    joined = parts.groupBy("path", "_source_file", "first").agg(
+        F.array_join(F.transform(text, lambda part: part["value"]), "\n").alias("value")
+    )
+    return single.unionByName(joined.select("path", "_source_file", "first.block", "first.line", "value"))
 
 
 def _plain(path: str) -> str:
@@ -66,19 +138,20 @@ def read_typed(spark: SparkSession, paths: list[str], schema: T.StructType) -> D
     All columns are read as text first, since a schema given to the reader binds by position and
     the extracts do not agree on an order; columns that the schema does not name are left out.
     Quotes are doubled inside quoted fields, a backslash is a plain character, and quoted fields
-    can hold line breaks. Files without such line breaks are split across tasks. Rows with a wrong
-    number of fields and values that do not fit their type exactly raise.
+    can hold line breaks. All files are split across tasks, also those with such line breaks (see
+    ``records``). Rows with a wrong number of fields and values that do not fit their type exactly
+    raise.
 
     Adds ``_row_ordinal`` (position in the file) and ``_source_file``.
     """
-    whole = set(with_open_quotes(spark, paths))
+    broken = set(with_open_quotes(spark, paths))
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     for path in paths:
         header = header_of(spark, path)
         absent = [name for name in schema.names if name not in header]
         if absent:
             raise ValueError(f"{path}: columns missing from header: {absent}")
-        groups.setdefault((header, path in whole), []).append(path)
+        groups.setdefault((header, path in broken), []).append(path)
     parts = [_read_alike(spark, p, schema, *kind) for kind, p in groups.items()]
     return reduce(DataFrame.unionByName, parts)
 
@@ -92,44 +165,46 @@ def _read_alike(
 ) -> DataFrame:
     """Files with the same header."""
     text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    raw = (
-        spark.read.schema(text)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .option("columnPruning", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(paths)
-    )
+    if multi_line:
+        rows = records(_lines(spark, paths))
+        columns = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in header)
+        parsed = F.from_csv("value", columns, {"mode": "FAILFAST", "escape": '"'})
+        raw = rows.select(F.struct("block", "line").alias("_row_ordinal"), "_source_file", parsed.alias("row"))
+        raw = raw.select("row.*", "_source_file", "_row_ordinal")
+        place = [F.col("_source_file"), F.col("_row_ordinal")]
+    else:
+        raw = (
+            spark.read.schema(text)
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("mode", "FAILFAST")
+            .option("columnPruning", False)
+            .option("escape", '"')
+            .csv(paths)
+        )
+        number = F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+        place = [F.col("_metadata.file_name").alias("_source_file"), number.alias("_row_ordinal")]
     return raw.select(
         *[
             strict(empty_to_null(F.col(f"`{f.name}`")), f.dataType, f.name).alias(f.name)
             for f in schema.fields
         ],
-        F.col("_metadata.file_name").alias("_source_file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias("_row_ordinal"),
+        *place,
     )
 
 
 def count_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Records per file without the CSV reader: lines that end outside quotes, the header aside.
-
-    Files with quoted line breaks are gone through in order, one task each, as the reader does too;
-    of all others the lines are counted.
-    """
-    whole = with_open_quotes(spark, paths)
-    plain = [path for path in paths if path not in set(whole)]
+    """Records per file without the CSV reader: lines that end outside quotes, the header aside."""
+    broken = with_open_quotes(spark, paths)
+    plain = [path for path in paths if path not in set(broken)]
     parts = []
     if plain:
-        parts.append(_lines(spark, plain))
-    if whole:
-        before = Window.partitionBy("_source_file").orderBy("place")
-        lines = _lines(spark, whole).withColumn("seen", F.sum("quotes").over(before))
-        parts.append(lines.where("seen % 2 = 0").drop("seen"))
+        parts.append(_lines(spark, plain).select("_source_file", "value"))
+    if broken:
+        parts.append(with_states(_lines(spark, broken)).where("after = 0").select("_source_file", "value"))
     ends = reduce(DataFrame.unionByName, parts).where("value <> ''")
     return ends.groupBy("_source_file").agg((F.count("*") - 1).alias("records"))
 

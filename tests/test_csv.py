@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import csv
+import random
 from datetime import date
 
 import pytest
@@ -113,17 +115,63 @@ def test_quotes_and_line_breaks_as_another_reader_takes_them(spark, tmp_path):
     assert [tuple(r) for r in counted] == [(path.name, len(MERCHANTS))]
 
 
-def test_only_files_with_open_quotes_are_read_whole(spark, tmp_path):
+def test_files_are_split_also_with_quoted_line_breaks(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     spark.conf.set("spark.sql.files.openCostInBytes", "64")
     try:
         plain = load(spark, tmp_path, [good(n, merchant='"a ""b"""') for n in range(3000)])
         assert plain.rdd.getNumPartitions() > 8
         broken = load(spark, tmp_path, [good(n, merchant='"a\nb"') for n in range(3000)])
-        assert broken.rdd.getNumPartitions() == 1 and broken.count() == 3000
+        path = str(tmp_path / f"transactions_{DAY}.csv")
+        assert csvfiles.with_open_quotes(spark, [path]) == [path]
+        assert csvfiles._lines(spark, [path]).rdd.getNumPartitions() > 8
+        rows = broken.collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+    ordered = sorted(rows, key=lambda r: tuple(r["_row_ordinal"]))
+    assert [r["transaction_id"] for r in ordered] == [f"T{n}" for n in range(3000)]
+    assert {r["merchant_name"] for r in rows} == {"a\nb"} and len({tuple(r["_row_ordinal"]) for r in rows}) == 3000
+
+
+FIELDS = ['"a\nb"', '"x,\n""y""\n\nz"', "plain", '5" pipe', '"q""\n""r"', '"""\n"""', "", '""', '"long ' + "line\n" * 40 + '"', '"ü\r\né"', '","', 'in "the" middle']
+
+
+@pytest.mark.parametrize("size, seed, end", [(64, 1, "\n"), (200, 2, "\n"), (97, 3, "\r\n"), (100_000, 4, "\n")])
+def test_records_cut_anywhere_are_those_of_one_task(spark, tmp_path, size, seed, end):
+    """Against Python's reader, with splits much smaller than records."""
+    rng = random.Random(seed)
+    lines = [good(n, merchant=rng.choice(FIELDS)) for n in range(120)]
+    path = tmp_path / f"transactions_{DAY}.csv"
+    with open(path, "w", newline="") as file:
+        file.write(end.join([extracts.TX_HEADER, *lines, "", ""]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = csvfiles.read_transactions(spark, [str(path)], "r1", "2024-02-01 00:00:00").collect()
+        counted = csvfiles.count_records(spark, [str(path)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rows = sorted(rows, key=lambda r: tuple(r["_row_ordinal"]))
+    with open(path, newline="") as file:
+        wanted = [r for r in csv.reader(file) if r][1:]
+    assert [r["transaction_id"] for r in rows] == [w[0] for w in wanted]
+    assert [r["merchant_name"] for r in rows] == [w[5].replace("\r\n", "\n") or None for w in wanted]
+    assert [tuple(r) for r in counted] == [(path.name, 120)]
+
+
+def test_two_broken_files_and_a_bad_row(spark, tmp_path):
+    extracts.write_transactions(tmp_path, DAY, [good(1, merchant='"a\nb"'), good(2)])
+    extracts.write_transactions(tmp_path, "2024-01-02", [good(3, merchant='"c\n\nd"'), good(4)])
+    paths = [str(tmp_path / f"transactions_2024-01-0{d}.csv") for d in (1, 2)]
+    rows = csvfiles.read_transactions(spark, paths, "r1", "2024-02-01 00:00:00").collect()
+    assert {(r["transaction_id"], r["merchant_name"], r["_source_file"][-6:]) for r in rows} == {
+        ("T1", "a\nb", "01.csv"), ("T2", "M", "01.csv"), ("T3", "c\n\nd", "02.csv"), ("T4", "M", "02.csv")
+    }
+    for bad in (f"T5,A,{DAY},1.00,PURCH01,M", f"T5,A,{DAY},abc,PURCH01,M,ONLINE", f"T5,A,{DAY},1.00,PURCH01,M,ONLINE,x"):
+        with pytest.raises(Exception):
+            load(spark, tmp_path, [good(1, merchant='"a\nb"'), bad]).collect()
 
 
 def test_row_position_follows_the_file(spark, tmp_path):
