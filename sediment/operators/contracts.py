@@ -38,6 +38,15 @@ def outcome_counts(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame)
     return counts.withColumn("gap", F.col("bronze") - F.col("silver") - F.col("quarantine"))
 
 
+def outcome_counts_of(bronze: DataFrame, tagged: DataFrame) -> DataFrame:
+    """``outcome_counts`` of rows that carry their reason: both layers are counted in one pass."""
+    silver = F.sum(F.col("_rejection_reason").isNull().cast("long")).alias("silver")
+    quarantine = F.sum(F.col("_rejection_reason").isNotNull().cast("long")).alias("quarantine")
+    raw = bronze.groupBy("date").agg(F.count("*").alias("bronze"))
+    both = raw.join(tagged.groupBy("date").agg(silver, quarantine), "date", "full").fillna(0)
+    return both.withColumn("gap", F.col("bronze") - F.col("silver") - F.col("quarantine"))
+
+
 def conservation(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Days on which bronze rows are not exactly the silver plus the quarantine rows."""
     return outcome_counts(bronze, silver, quarantine).where(F.col("gap") != 0)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.operators.lookup import resolve_accounts
-from sediment.operators.rules import REASON, accepted, rejected
+from sediment.operators.rules import REASON, accepted
 
 ROW_KEY = ["date", "_row_ordinal"]
 
@@ -84,15 +84,23 @@ def tag_transactions(
 ) -> DataFrame:
     """Give every checked row its final reason; null means promoted.
 
-    Rows that broke a row-level rule keep that reason and take no part in the join.
+    Raw rows are scanned twice, once for the verdicts and once for this join; rows that broke a
+    row-level rule keep that reason and find no verdict.
     """
     outcome = verdicts(checked, known, stored_ids)
     repeat = F.when(F.col("_first").isNull(), F.lit("DUPLICATE_TRANSACTION_ID"))
-    judged = (
-        accepted(checked)
-        .join(outcome, ROW_KEY, "left")
-        .withColumn(REASON, F.coalesce(repeat, F.col("_verdict")))
+    return (
+        checked.join(outcome, ROW_KEY, "left")
+        .withColumn(REASON, F.coalesce(REASON, repeat, F.col("_verdict")))
         .drop("_first", "_verdict", "_code_known")
     )
-    failed = rejected(checked).withColumn("_is_resolvable", F.lit(None).cast("boolean"))
-    return judged.unionByName(failed.drop("_code_known"))
+
+
+def promoted_transactions(
+    checked: DataFrame,
+    known: DataFrame,
+    stored_ids: DataFrame | None = None,
+) -> DataFrame:
+    """The rows ``tag_transactions`` promotes, and nothing else: no rejected row is shuffled."""
+    outcome = verdicts(checked, known, stored_ids).where("_verdict IS NULL")
+    return accepted(checked).join(outcome, ROW_KEY).drop("_first", "_verdict", "_code_known")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sediment.functions.aggregates import count_where, duplicate_count
 from sediment.operators import contracts
 from sediment.operators.compare import count_by, row_surplus
-from sediment.operators.dedup import existing_ids, first_in_batch, tag_transactions
+from sediment.operators.dedup import existing_ids, first_in_batch, promoted_transactions, tag_transactions
 from sediment.operators.lookup import known_accounts
 from sediment.operators.membership import groups_that_may_hold, sketches
 from sediment.operators.rules import (
@@ -100,7 +100,7 @@ class Stages:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver.promote_transactions(self.tagged, given.RUN_ID)
+        return silver.promote_transactions(promoted_transactions(self.checked, self.known), given.RUN_ID)
 
     @cached_property
     def quarantine(self) -> DataFrame:
@@ -395,7 +395,7 @@ def gold_weekly_account_summary(spark, sf_dir):
 @query
 def conservation_by_date(spark, sf_dir):
     stages = Stages(spark, sf_dir)
-    return contracts.outcome_counts(stages.bronze, stages.silver, stages.quarantine)
+    return contracts.outcome_counts_of(stages.bronze, stages.tagged)
 
 
 @query

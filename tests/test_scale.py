@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import frames
-from sediment.operators.dedup import tag_transactions, verdicts
+from sediment.operators import contracts
+from sediment.operators.dedup import promoted_transactions, tag_transactions, verdicts
 from sediment.operators.lookup import known_accounts, resolve_accounts
 from sediment.operators.rules import accepted, check_accounts, check_transactions, rejected
 from sediment.plans import gold, silver
@@ -78,13 +79,18 @@ def test_full_rows_are_joined_on_their_position(spark, lopsided, known):
     assert "_row_ordinal" in join and "date" in join and "transaction_id" not in join
 
 
-def test_rejected_rows_take_no_part_in_the_join(spark, lopsided, known):
-    checked = check_transactions(lopsided, frames.codes(spark))
-    tagged = tag_transactions(checked, known)
-    text = plan(tagged)
-    union = text.index("Union")
-    assert "Join" in text[union:] and text.count("SortMergeJoin [date") <= 1
-    assert tagged.count() == checked.count()
+def test_raw_rows_are_scanned_twice_and_rejected_rows_are_not_shuffled(spark, lopsided, known, tmp_path):
+    lopsided.write.parquet(f"{tmp_path}/raw")
+    checked = check_transactions(spark.read.schema(lopsided.schema).parquet(f"{tmp_path}/raw"), frames.codes(spark))
+    tagged, promoted = tag_transactions(checked, known), promoted_transactions(checked, known)
+    for df in (tagged, promoted):
+        assert plan(df).count("FileScan") == 2 and "Union" not in plan(df)
+    assert tagged.count() == checked.count() and promoted.count() == accepted(tagged).count()
+    both = contracts.outcome_counts_of(checked, tagged)
+    assert plan(both).count("FileScan") == 3
+    alone = contracts.outcome_counts(checked, accepted(tagged), rejected(tagged))
+    assert sorted(both.collect()) == sorted(alone.select(*both.columns).collect())
+    assert re.search(r"SortMergeJoin \[date[^\]]*\], \[[^\]]*\], Inner", plan(promoted))
 
 
 def test_hot_account_is_split_when_the_dimension_is_large(spark, lopsided, known):
