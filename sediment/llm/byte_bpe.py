@@ -24,10 +24,11 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from sediment.llm.base import map_batches
@@ -36,7 +37,9 @@ from sediment.llm.words import slices
 #: Where a text can be cut without changing a token.
 CUT = re.compile(r"(?<=\S)(?= \S)")
 #: At most so many parts of either kind are kept by a worker; beyond it the later half goes, as frequent parts come early.
-CACHED_PARTS = 250_000
+CACHED_PARTS = 600_000
+#: Bytes of text that are encoded together.
+HELD_BYTES = 4 << 20
 #: Parts longer than this are not kept in the cache.
 CACHED_LENGTH = 64
 
@@ -93,73 +96,95 @@ def encoder_of_file(path: str):
     return tokenizer
 
 
-def clean(word: str) -> bool:
-    """Whether the spaces around a word are single spaces between visible characters."""
-    return bool(word) and not word[0].isspace() and not word[-1].isspace()
-
-
 class PartEncoder:
-    """Encodes texts part by part; ids are little-endian 32-bit numbers in a byte string.
+    """Encodes texts word by word; ids are little-endian 32-bit numbers in a byte string.
 
-    Unknown words are encoded as one text, whose ids are then cut by their numbers of bytes.
+    The words of a few texts are told apart by Arrow's dictionary encoding, so that Python sees each
+    different word once, and their ids are gathered by numpy from one array. Unknown words are encoded
+    as one text, whose ids are then cut by their numbers of bytes.
     """
 
     def __init__(self, tokenizer, sizes: np.ndarray) -> None:
         self.tokenizer = tokenizer
         #: Bytes of each id's token.
         self.sizes = sizes
-        #: Ids of a part as it stands, and of a word with one space before it.
+        #: Ids of a part as it stands.
         self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        #: Of a word with one space before it the number of its entry; the entries' ids lie one after the other.
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(0, "<u4")
+        self.bounds = np.zeros(1, np.int64)
 
     def encode_column(self, column: pa.Array) -> list[bytes]:
         """The ids of each text, worked out a few texts at a time."""
-        return [ids for _, part in slices(column) for ids in self.encode(part.to_pylist())]
-
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        for known in (self.heads, self.tails):
-            if len(known) > CACHED_PARTS:
-                for part in list(islice(known, CACHED_PARTS // 2, None)):
-                    del known[part]
-        split = [text.split(" ") if text else [] for text in texts]
-        new_tails = set(chain.from_iterable(split)).difference(self.tails)
-        odd = {word for word in new_tails if not clean(word)}
-        heads, tails = [], []
-        for words, text in zip(split, texts, strict=True):
-            if not words:
-                heads.append(())
-                tails.append(())
-            elif odd and not odd.isdisjoint(words):
-                heads.append(CUT.split(text))
-                tails.append(())
-            else:
-                heads.append(words[:1])
-                tails.append(islice(words, 1, None))
-        new_heads = list(set(chain.from_iterable(heads)).difference(self.heads))
-        found = self.tokenizer.encode_batch_fast(new_heads, add_special_tokens=False)
-        self.heads.update((part, np.array(e.ids, "<u4").tobytes()) for part, e in zip(new_heads, found, strict=True))
-        new_tails = list(new_tails - odd)
-        self.tails.update(zip(new_tails, self._together(new_tails), strict=True))
-        joined = [
-            b"".join([*map(self.heads.__getitem__, head), *map(self.tails.__getitem__, tail)])
-            for head, tail in zip(heads, tails, strict=True)
-        ]
-        for known, new in ((self.heads, new_heads), (self.tails, new_tails)):
-            for part in new:
-                if len(part) > CACHED_LENGTH:
-                    del known[part]
+        return [ids for _, part in slices(column, HELD_BYTES) for ids in self.encode(part)]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        self._forget()
+        texts = pc.fill_null(texts, "")
+        split = pc.split_pattern(texts, " ")
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        number = coded.indices.to_numpy()
+        # Without a space in any, the words come apart again where they are joined by one.
+        every = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary.cast(pa.string()))
+        different = pc.binary_join(every, " ")[0].as_py().split(" ") if len(coded.dictionary) else []
+        entry = np.fromiter(map(self.known.get, different, repeat(-1)), np.int64, len(different))
+        unknown = np.flatnonzero(entry < 0)
+        odd = np.zeros(len(different), bool)
+        odd[unknown] = [not w or w[0].isspace() or w[-1].isspace() for w in map(different.__getitem__, unknown.tolist())]
+        text_of = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        plain = np.bincount(text_of, odd[number], len(texts)) == 0
+        # The first word has no space before it. A space that does not stand alone between two visible
+        # characters makes an odd word; texts with such words, and empty ones, are cut where they can be.
+        heads = [[different[number[b]]] if p else CUT.split(texts[i].as_py()) for i, (b, p) in enumerate(zip(bounds, plain))]
+        self._learn_heads(set(chain.from_iterable(heads)))
+        tail = plain[text_of]
+        tail[bounds[:-1][np.diff(bounds) > 0]] = False
+        self._learn(different, entry, np.unique(number[tail & (entry < 0)[number]]))
+        entry = entry[number[tail]]
+        lengths = np.diff(self.bounds)[entry]
+        ends = np.cumsum(lengths)
+        ids = self.ids[np.repeat(self.bounds[entry] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        data = ids.tobytes()
+        cuts = 4 * np.concatenate([[0], np.cumsum(np.bincount(text_of[tail], lengths, len(texts)))]).astype(np.int64)
+        joined = [b"".join(map(self.heads.__getitem__, head)) + data[i:j] for head, i, j in zip(heads, cuts[:-1], cuts[1:])]
+        for part in chain.from_iterable(heads):
+            if len(part) > CACHED_LENGTH:
+                self.heads.pop(part, None)
         return joined
 
-    def _together(self, words: list[str]) -> list[bytes]:
-        if not words:
-            return []
+    def _forget(self) -> None:
+        if len(self.heads) > CACHED_PARTS // 5:
+            for part in list(islice(self.heads, CACHED_PARTS // 10, None)):
+                del self.heads[part]
+        if len(self.bounds) > CACHED_PARTS:
+            half = CACHED_PARTS // 2
+            self.known = {word: k for word, k in self.known.items() if k < half}
+            self.bounds = self.bounds[: half + 1].copy()
+            self.ids = self.ids[: self.bounds[-1]].copy()
+
+    def _learn_heads(self, parts: set[str]) -> None:
+        new = list(parts.difference(self.heads))
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.heads.update((part, np.array(e.ids, "<u4").tobytes()) for part, e in zip(new, found, strict=True))
+
+    def _learn(self, words: list[str], entry: np.ndarray, new: np.ndarray) -> None:
+        """Makes entries of the ``new`` ones of ``words``; long ones are not found again."""
+        if len(new):
+            entry[new] = np.arange(len(new)) + len(self.bounds) - 1
+            added = [words[k] for k in new.tolist()]
+            ids, ends = self._together(added)
+            self.bounds = np.concatenate([self.bounds, ends + len(self.ids)])
+            self.ids = np.concatenate([self.ids, ids])
+            self.known.update((w, k) for w, k in zip(added, entry[new].tolist()) if len(w) <= CACHED_LENGTH)
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words with a space before each, and where each word's end."""
         text = " " + " ".join(words)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         ends = np.cumsum([1 + len(word.encode()) for word in words])
-        after = np.cumsum(self.sizes[ids])
-        cuts = (4 * (np.searchsorted(after, ends) + 1)).tolist()
-        data = ids.tobytes()
-        return [data[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)]
+        return ids, np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
 
 
 def token_sizes(tokenizer) -> np.ndarray:
