@@ -1,9 +1,9 @@
 """Documents whose sets of five-word shingles have a Jaccard similarity of at least a threshold.
 
-MinHash LSH forest: a signature is dealt to ``TREES`` tries of at most ``DEPTH`` values. Matched
-prefixes start at full depth and are shortened until two documents at the threshold meet in some
-tree with the target recall; documents below the same node of that depth are candidates. Every
-link is verified on the whole shingle sets.
+MinHash banding in the place of an LSH forest: a signature is dealt to ``TREES`` trees of at most
+``DEPTH`` values. The depth at which documents meet follows from threshold and recall and is the same
+for all; documents below the same node of that depth are candidates. Every link is verified on the
+whole shingle sets.
 
 No step brings a group's pairs out of a task, and none holds an unbounded group:
 
@@ -16,8 +16,9 @@ No step brings a group's pairs out of a task, and none holds an unbounded group:
 
 Words are runs of other bytes than white space, A-Z lower-cased; shingles are compared by 64-bit
 hashes. A text of fewer words than a shingle is one shingle; null and empty texts have none, link
-to nothing and are classes of their own. Rows that share an id count as copies of one document if
-their texts agree; else each links for itself under the shared id. Other columns are not read.
+to nothing and are classes of their own. Rows that share an id, or have none, are documents of their
+own and link for themselves: where there are such rows, all get numbers for the time of the work, which
+writes the texts once more. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -265,8 +266,28 @@ def near_duplicates(
     the same shingle set, ``n_links`` the number of other documents at or above the threshold (copies
     included) and ``n_text_links`` the number of different sets among them, its own left out.
     """
-    depth = matched_depth(threshold, recall)
     rows = docs.select(identifier(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    if rows.groupBy("_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        found = linked(rows, threshold, recall)
+    else:
+        numbered = staged(rows.select(F.monotonically_increasing_id().alias("_row"), "_id", "_text"))
+        found = staged(linked(numbered.select(F.col("_row").alias("_id"), "_text"), threshold, recall))
+        found = found.withColumnRenamed("_id", "_row").join(numbered.select("_row", "_id"), "_row")
+        for group in ("_class", "_set"):
+            least = found.groupBy(group).agg(F.min("_id").alias("_least"))
+            found = found.join(least, group).withColumn(group, F.col("_least")).drop("_least")
+    return found.select(
+        restored("_id").alias(id_col),
+        restored("_class").alias("class_id"),
+        restored("_set").alias("set_id"),
+        "n_links",
+        "n_text_links",
+    )
+
+
+def linked(rows: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """(``_id``, ``_class``, ``_set``, ``n_links``, ``n_text_links``) of rows (``_id``, ``_text``) with different ids."""
+    depth = matched_depth(threshold, recall)
     described = staged(describe(rows, depth))
     key = ["_d1", "_d2", "_n"]
     filled = described.filter("_n > 0")
@@ -297,7 +318,7 @@ def near_duplicates(
                 chosen = batch.slice(begin, len(part)).drop_columns(["_text"])
                 yield chosen.append_column("_set", pa.array(sets, pa.binary()))
 
-    # One row per set: of a repeated id any row with that id.
+    # One row per set.
     texts = rows.join(members.dropDuplicates(["_id"]), "_id")
     sets = texts.select("_id", "label", "_copies", "_text").mapInArrow(
         with_sets, "_id long, label long, _copies long, _set binary"
@@ -312,9 +333,9 @@ def near_duplicates(
     result = described.select("_id", *key).join(joined, key, "left")
     own = F.coalesce("_set_id", "_id")
     return result.select(
-        restored("_id").alias(id_col),
+        "_id",
         F.coalesce("label", own).alias("_class"),
         own.alias("_set"),
         (F.coalesce("_documents", F.lit(0)) + F.coalesce(F.col("_copies") - 1, F.lit(0))).alias("n_links"),
         F.coalesce("_texts", F.lit(0)).alias("n_text_links"),
-    ).select(id_col, restored("_class").alias("class_id"), restored("_set").alias("set_id"), "n_links", "n_text_links")
+    )

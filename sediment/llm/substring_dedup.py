@@ -1,4 +1,4 @@
-"""Repeated passages by prefix-partitioned suffix trees.
+"""Repeated passages by anchored window hashes, in the place of prefix-partitioned suffix trees.
 
 A suffix begins at each word. Two suffixes that agree for ``window`` words lie below one internal
 node of that depth; of all its leaves, the first in document order stays and the others' words go.
