@@ -9,8 +9,13 @@ the host that is smoothed towards its address suffix, and that towards all hosts
    how reliably a declaration names a language, and the prior of each host.
 4. Posterior. The three are multiplied; the best language is kept if it is probable enough.
 
-Every declared language has a model and is an outcome, however rare it is. There are about 200
-language codes, and a model takes 256 KB in a task; declarations are lower-cased and taken as they are.
+Every declared language has a model and is an outcome, however rare it is. A declaration is a language
+tag: its first subtag counts (``en`` of ``en-US`` and ``EN_gb``) if it has two letters or is one of ``LONG_CODES``;
+anything else declares nothing. So there are at most 676 languages and those, whatever the rows hold, and
+a model takes 256 KB in a task. Ties between languages go to the alphabetically first.
+
+The trigrams of a text are not independent; beyond ``MOST_OBSERVATIONS`` more of them add nothing to what the
+text says as a whole, so that a very long text in two languages can still be decided by its host.
 
 Null and empty texts, and texts without letters, have no language and are rejected. A null or
 unlisted declaration, host or suffix is no evidence (a null host has its suffix's prior). Repeated
@@ -39,6 +44,11 @@ MOST_OBSERVATIONS = 200.0
 SMOOTHING = 20.0
 #: Prior share of documents without language.
 NO_LANGUAGE = 0.001
+#: Codes in use of languages that have none of two letters.
+LONG_CODES = (
+    "als", "arz", "ast", "azb", "bar", "bho", "ceb", "ckb", "dsb", "fil", "haw", "hmn", "hsb", "kab", "lmo", "mai",
+    "min", "mzn", "nap", "nds", "new", "pms", "pnb", "sah", "scn", "szl", "tyv", "vec", "war", "wuu", "yue",
+)
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -140,6 +150,7 @@ def languages_of(
     id_col: str = "doc_id",
     text_col: str = "text",
     least_probability: float = 0.5,
+    long_codes: tuple[str, ...] = LONG_CODES,
 ) -> DataFrame:
     """One row per document: id, ``language``, ``probability``, ``kept`` and ``text_language``.
 
@@ -150,12 +161,12 @@ def languages_of(
     rows = docs.select(
         F.col(id_col).alias("_id"),
         F.col(text_col).alias("_text"),
-        F.lower(declared.cast("string")).alias("_declared"),
+        language_code(declared, long_codes).alias("_declared"),
         host.cast("string").alias("_host"),
         suffix.cast("string").alias("_suffix"),
     )
-    named = rows.filter("_declared is not null and _declared <> ''").select("_declared").distinct()
-    languages = sorted(r[0] for r in named.collect())  # language codes
+    named = rows.filter("_declared is not null").select("_declared").distinct()
+    languages = sorted(r[0] for r in named.collect())  # at most 676 and the long codes
     counts = counted_trigrams(rows, languages)
     size = 1 << BUCKET_BITS
     # Smoothed towards all languages together, and that towards the uniform distribution.
@@ -178,7 +189,6 @@ def languages_of(
     reliable = {r["_d"]: r for r in table.groupBy(known.alias("_d")).agg(*again).collect() if r["_d"] is not None}
     per_language = [sum(reliable[d][s] for d in reliable) for s in shares]
 
-
     def says_of(declared: str, k: int) -> float:
         agrees = k < len(languages) and languages[k] == declared
         return float(np.log((reliable[declared][shares[k]] + 1 + 9 * agrees) / (per_language[k] + 9 + len(languages))))
@@ -216,6 +226,12 @@ def languages_of(
     return result.withColumn("kept", F.coalesce(kept, F.lit(False)))
 
 
+def language_code(declared: Column, long_codes: tuple[str, ...] = LONG_CODES) -> Column:
+    """The first subtag of a language tag, lower-cased; null if it is no language code."""
+    first = F.lower(F.regexp_extract(F.trim(declared.cast("string")), "^([A-Za-z]{2,3})(?:[-_].*)?$", 1))
+    return F.when((F.length(first) == 2) | first.isin(list(long_codes)), first)
+
+
 def host_of(url: str) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1))
 

@@ -39,3 +39,16 @@ def test_many_languages(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     found = language.languages_of(df, F.col("lang"), F.col("source"), F.lit(None)).collect()
     assert {r["doc_id"]: r["language"] for r in found} == {i: codes[i % 64] for i in range(192)}
+
+
+def test_declarations_that_are_no_codes(spark):
+    """20,000 declarations of free text: none is an outcome, none reaches the driver."""
+    prepare(spark)
+    noise = [None, "", "none of it", "e n", "zzz", "x", "123", "englisch"]
+    rows = [(i, COMMON["en"] + f" {i}", f"text {i}" if i % 2 else noise[i // 2 % len(noise)], "s") for i in range(20_000)]
+    rows += [(30_000 + i, COMMON["en"] + f" {i}", ["en-US", " EN ", "en_gb"][i % 3], "s") for i in range(30)]
+    rows += [(40_000 + i, COMMON["de"] + f" {i}", "de-AT", "t") for i in range(30)]
+    rows += [(50_000 + i, RARE["el"] + f" {i}", "ceb", "u") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    found = language.languages_of(df, F.col("lang"), F.col("source"), F.lit(None)).groupBy("language").count()
+    assert dict(map(tuple, found.collect())) == {"en": 20_030, "de": 30, "ceb": 30}
