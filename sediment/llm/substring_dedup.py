@@ -1,23 +1,20 @@
 """Repeated passages by anchored window hashes, in the place of prefix-partitioned suffix trees.
 
-A suffix begins at each word. Two suffixes that agree for ``window`` words lie below one internal
-node of that depth; of all its leaves, the first in document order stays and the others' words go.
-What lies deeper changes nothing of that, so the trees end at that depth, and touching or
-overlapping windows join to the maximal repeats.
+No suffix is sorted and no tree is built. Of all equal windows the first in document order stays and
+the words of the others go; touching or overlapping windows join to the maximal repeats. The windows
+are dealt in two steps:
 
-The suffixes are split into groups that fit in memory by prefixes of two lengths:
-
-1. Short prefixes. Of the ``ANCHOR``-word phrases inside a window, the one with the smallest hash is
+1. Anchors. Of the ``ANCHOR``-word phrases inside a window, the one with the smallest hash is
    the window's anchor, so equal windows have equal anchors whatever surrounds them. Anchors are an
    eighth of all phrases; the blocks of documents send each different one once. An anchor that
-   occurs once in the corpus starts no shared passage, and its windows are leaves of the root.
-2. Long prefixes. Only windows below a shared anchor are sent on, again once per block and window,
-   with the smallest document that has it. A group of them is sorted; a run of equal windows is an
-   internal node. Each block is told which of its windows are first somewhere else.
+   occurs once in the corpus starts no shared passage, and its windows are not sent.
+2. Windows. Only windows below a shared anchor are sent on, again once per block and window,
+   with the smallest document that has it. A group of them is sorted, and equal windows are
+   neighbours. Each block is told which of its windows are first somewhere else.
 
 A passage in a third of all documents is so one message per block, never one per document; what a
 task holds is one block of about ``BLOCK_BYTES`` of text or one group of messages. Words are compared
-by 64-bit hashes, windows by 128-bit hashes of their words.
+by 64-bit hashes, windows by 128-bit hashes of their words, also when a block is answered.
 
 Null and empty texts have no words and lose none. Rows that share an id are judged as one document
 (copies of a row get the same result); the null id precedes all others. An empty table gives an
@@ -146,15 +143,15 @@ def repeated_passages(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
         number = np.cumsum(new) - 1
         total = np.bincount(number, weights=counts[order].astype(float)) if len(order) else np.zeros(0)
         again = order[total[number] > 1] if len(order) else order
-        return answers(table, values[again], source[again])
+        return answers(table, values[again], values[:0], source[again])
 
-    def answers(table: pa.Table, values: np.ndarray, source: np.ndarray) -> pa.Table:
+    def answers(table: pa.Table, first: np.ndarray, second: np.ndarray, source: np.ndarray) -> pa.Table:
         order = np.argsort(source, kind="stable")
         cuts = np.searchsorted(source[order], np.arange(table.num_rows + 1))
-        found = [values[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        blocks_told = table["_block"].combine_chunks()
-        told = pa.table([blocks_told, pa.array(found, pa.binary())], names=["_block", "_h1"])
-        return told.filter(pa.array([bool(f) for f in found], pa.bool_()))
+        picks = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        found = [pa.array([v[p].tobytes() if len(v) else b"" for p in picks], pa.binary()) for v in (first, second)]
+        told = pa.table([table["_block"].combine_chunks(), *found], names=["_block", "_h1", "_h2"])
+        return told.filter(pa.array([len(p) > 0 for p in picks], pa.bool_()))
 
     def send_windows(table: pa.Table, told: pa.Table) -> pa.Table:
         if not table.num_rows or not told.num_rows:
@@ -175,14 +172,14 @@ def repeated_passages(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
 
     def first_elsewhere(table: pa.Table) -> pa.Table:
         h1, source = sent(table["_h1"], np.uint64)
-        h2, _ = sent(table["_h2"], np.uint64)
+        h2 = sent(table["_h2"], np.uint64)[0]
         owner, _ = sent(table["_doc"], np.int64)
         order = np.lexsort((owner, h2, h1))
         new = np.ones(len(order), bool)
         if len(order):
             new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
         later = order[~new]
-        return answers(table, h1[later], source[later])
+        return answers(table, h1[later], h2[later], source[later])
 
     def remove(table: pa.Table, told: pa.Table) -> pa.Table:
         names = ["_id", "n_words", "n_removed", "spans", "kept_text"]
@@ -208,9 +205,16 @@ def repeated_passages(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
             lead = order[~same][group]
             gone[order] = same & ((owner[order] != owner[lead]) | (places[order] != places[lead]))
         if told.num_rows:
-            elsewhere = np.unique(sent(told["_h1"], np.uint64)[0])
-            at = np.minimum(np.searchsorted(elsewhere, a), len(elsewhere) - 1)
-            gone |= elsewhere[at] == a
+            first, second = (sent(told[name], np.uint64)[0] for name in ("_h1", "_h2"))
+            order = np.argsort(first)
+            first, second = np.append(first[order], TOP), np.append(second[order], TOP)
+            at = np.searchsorted(first[:-1], a)
+            # More than one step only where windows share the first half of their hash.
+            left = np.flatnonzero((at < len(order)) & (first[at] == a))
+            while len(left):
+                gone[left] |= second[at[left]] == b[left]
+                at[left] += 1
+                left = left[(at[left] < len(order)) & (first[at[left]] == a[left])]
         cover = np.zeros(len(text.hashes) + 1, np.int64)
         np.add.at(cover, starts[gone], 1)
         np.add.at(cover, starts[gone] + window, -1)
@@ -237,7 +241,7 @@ def repeated_passages(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
         ]
         return pa.Table.from_arrays(columns, schema=schema)
 
-    told = "_block long, _h1 binary"
+    told = "_block long, _h1 binary, _h2 binary"
     anchors_sent = by_block.applyInArrow(send_anchors, MESSAGE)
     anchors_told = anchors_sent.groupBy("_group").applyInArrow(shared_anchors, told)
     windows_sent = by_block.cogroup(anchors_told.groupBy("_block")).applyInArrow(send_windows, MESSAGE)
