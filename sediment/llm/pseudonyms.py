@@ -136,7 +136,9 @@ def address(text: str, key: bytes, back: bool) -> str | None:
 def day(text: str, key: bytes, back: bool) -> str | None:
     fields = [int(x) for x in re.findall(r"\d+", text)]
     year_first = len(re.match(r"\d+", text)[0]) == 4
-    month_first = "/" in text and not year_first
+    slashed = "/" in text and not year_first
+    # With slashes the month is first, unless it cannot be; then the new one cannot be a month either.
+    month_first = slashed and fields[0] <= 12
     year, month, dom = fields if year_first else (fields[2], *(fields[:2] if month_first else fields[1::-1]))
     try:
         ordinal = date(year, month, dom).toordinal()
@@ -144,16 +146,34 @@ def day(text: str, key: bytes, back: bool) -> str | None:
         return None
     if not FIRST_DAY <= ordinal <= LAST_DAY:
         return None
-    new = permuted(ordinal - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "day", lambda n: True, back)
-    to = date.fromordinal(new + FIRST_DAY)
-    y, m, d = f"{to.year:04}", f"{to.month:02}", f"{to.day:02}"
-    ordered = (y, m, d) if year_first else (m, d, y) if month_first else (d, m, y)
+    given = re.findall(r"\d+", text)
     marks = re.findall(r"\D", text)
-    return ordered[0] + marks[0] + ordered[1] + marks[1] + ordered[2]
+    padded = all(len(f) > 1 for f in given)
+
+    def written(n: int) -> list[str]:
+        to = date.fromordinal(n + FIRST_DAY)
+        ordered = (to.year, to.month, to.day) if year_first else (to.month, to.day) if month_first else (to.day, to.month)
+        ordered = ordered if year_first else (*ordered, to.year)
+        return [f"{new:0{len(old)}}" for new, old in zip(ordered, given, strict=True)]
+
+    def alike(n: int) -> bool:
+        """Fields without a leading zero keep their length, and a day that shows it is one stays so."""
+        fields = written(n)
+        if slashed and not month_first and int(fields[0]) <= 12:
+            return False
+        if padded:
+            return True
+        return all(len(f) == len(g) and (f[0] == "0") == (g[0] == "0") for f, g in zip(fields, given, strict=True))
+
+    kind = "day" if month_first or not slashed else "day first"
+    tweak = kind if padded else kind + "/" + ".".join(f"{len(f)}{f[0] == '0':d}" for f in given)
+    a, b, c = written(permuted(ordinal - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, tweak, alike, back))
+    return a + marks[0] + b + marks[1] + c
 
 
 def phone(text: str, key: bytes, back: bool) -> str | None:
-    country = re.match(r"\+\d{1,3}(?=[ .-])|", text)[0]
+    # The zero in brackets is dialled at home only; it is no part of the number.
+    country = re.match(r"\+\d{1,3}(?:[ .-]?\(0\)|(?=[ .-]))|", text)[0]
     if not 7 <= len(re.sub(r"\D", "", text[len(country) :])) <= 12:
         return None
     return country + spelled(text[len(country) :], key, "phone", back)
@@ -194,7 +214,34 @@ def bank(text: str, key: bytes, back: bool) -> str | None:
     return "".join(c if c == " " else next(rest) for c in text)
 
 
+HEXADECIMAL = re.compile("[0-9a-f]+|[0-9A-F]+")
+#: Longer secrets are permuted in pieces of so many characters.
+SECRET_PIECE = 128
+
+
+def long_secret(text: str, key: bytes, back: bool) -> str:
+    """Piece by piece; each stays of the kind it is, and so the whole does."""
+    pieces = [text[i : i + SECRET_PIECE] for i in range(0, len(text), SECRET_PIECE)]
+    if re.fullmatch("[0-9a-f]+", text):
+        return "".join(spelled(p, key, "secret", back, HEX) for p in pieces)
+    if re.fullmatch("[0-9A-F]+", text):
+        return "".join(
+            spelled(p, key, "secret", back, CLASSES[:1])
+            if p.isdigit()
+            else spelled(p, key, "secret", back, UPPER_HEX, lambda t: not t.isdigit())
+            for p in pieces
+        )
+    return "".join(
+        spelled(p, key, "secret", back)
+        if HEXADECIMAL.fullmatch(p)
+        else spelled(p, key, "secret", back, valid=lambda t: not HEXADECIMAL.fullmatch(t))
+        for p in pieces
+    )
+
+
 def secret(text: str, key: bytes, back: bool) -> str | None:
+    if len(text) > SECRET_PIECE:
+        return long_secret(text, key, back)
     if text[:4] in ("AKIA", "ASIA"):
         return text[:4] + spelled(text[4:], key, "access", back, (CLASSES[0] + CLASSES[2],))
     if re.fullmatch("[0-9a-f]+", text):
@@ -225,21 +272,21 @@ KINDS = {
     "bank": Kind(EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}" + END, bank, " "),
     "assigned": Kind(
         r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
-        r"[A-Za-z0-9]{8,128}" + END,
+        r"[A-Za-z0-9]{8,}" + END,
         assigned,
     ),
     "secret": Kind(
-        EDGE + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:AKIA|ASIA)[A-Z0-9]{16})" + END, secret
+        EDGE + r"(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?:AKIA|ASIA)[A-Z0-9]{16})" + END, secret
     ),
     "address": Kind(r"(?<![0-9A-Za-z.])\d{1,3}(?:\.\d{1,3}){3}(?![0-9A-Za-z]|\.\d)", address),
     "day": Kind(
-        EDGE + r"(?:\d{4}([-/.])\d\d\1\d\d|\d\d([/.-])\d\d\2\d{4})" + END,
+        EDGE + r"(?:\d{4}([-/.])\d\d?\1\d\d?|\d\d?([/.-])\d\d?\2\d{4})" + END,
         day,
     ),
     "social": Kind(EDGE + r"\d{3}-\d{2}-\d{4}" + END, social),
     "card": Kind(EDGE + r"\d(?:[ -]?\d){12,18}" + END, card, " -"),
     "phone": Kind(
-        r"(?<![0-9A-Za-z+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
+        r"(?<![0-9A-Za-z+])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
         r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})" + END,
         phone,
     ),
