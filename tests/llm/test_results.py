@@ -101,7 +101,7 @@ def test_near(spark, monkeypatch, cell):
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == {i: (label[i], len(links[i])) for i in sets}
 
 
-def test_prefixes_are_shortened_to_the_recall():
+def test_depth_follows_from_the_recall():
     assert [near_dedup.matched_depth(0.8, r) for r in (0.9, 0.9999, 0.99999, 0.9999999)] == [4, 3, 2, 2]
     assert near_dedup.matched_depth(0.1, 0.9999) == 1
 
