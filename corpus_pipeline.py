@@ -22,8 +22,9 @@ PSEUDONYM_KEY = b"corpus pipeline"
 
 def only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is one of those of ``chosen``; the null id is an id."""
-    ids = chosen.select(F.col("doc_id").alias("_chosen_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_chosen_id"]), "left_semi")
+    name = unused(docs, "_chosen_id")
+    ids = chosen.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids[name]), "left_semi")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +34,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return only(docs, judged.filter("kept"))
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``docs`` has no column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, that with the largest id stays."""
     prepare(spark)
     judged = exact_dedup.exact_duplicates(docs).filter("kept")
-    chosen = judged.select(identifier("doc_id").alias("_chosen_id"), F.col("text_sha256").alias("_chosen_text"))
-    keyed = docs.withColumn("_chosen_id", identifier("doc_id"))
-    keyed = keyed.withColumn("_chosen_text", F.sha2(exact_dedup.normalised("text"), 256))
-    key = ["_chosen_id", "_chosen_text"]
+    key = [unused(docs, "_chosen_id"), unused(docs, "_chosen_text")]
+    chosen = judged.select(identifier("doc_id").alias(key[0]), F.col("text_sha256").alias(key[1]))
+    text = F.sha2(exact_dedup.normalised("text"), 256)
+    keyed = docs.withColumns({key[0]: identifier("doc_id"), key[1]: text})
     return keyed.join(chosen, key, "left_semi").dropDuplicates(key).drop(*key)
 
 
