@@ -47,7 +47,8 @@ SNAPSHOTS = {
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    # A limit of zero is known to be empty to the optimizer, which then leaves it out of unions.
+    return spark.createDataFrame([], schema).limit(0)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
