@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from sediment.functions.aggregates import count_where, sum_where
 from sediment.functions.dates import file_date, week_start
 from sediment.functions.text import any_of
-from sediment.operators.compare import count_by, row_surplus, side_by_side
+from sediment.operators.compare import count_by, differing_groups, row_digest, row_surplus, side_by_side
 from sediment.operators.lookup import resolve_accounts
 from sediment.plans.gold import resolvable
 from sediment.schemas import REASONS, RUN_STATUSES
@@ -62,6 +62,11 @@ def changed_rows(before: DataFrame, after: DataFrame, audit: list[str]) -> DataF
     return row_surplus(before, after, [c for c in before.columns if c not in audit])
 
 
+def changed_groups(before: DataFrame, after: DataFrame, audit: list[str], key: str) -> DataFrame:
+    """Values of ``key`` whose rows differ between two runs, audit columns aside."""
+    return differing_groups(before, after, key, [c for c in before.columns if c not in audit])
+
+
 def missing_rows(subset: DataFrame, whole: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of ``subset`` that ``whole`` does not hold as often. Nulls compare equal.
 
@@ -73,14 +78,13 @@ def missing_rows(subset: DataFrame, whole: DataFrame, columns: list[str]) -> Dat
 def untraceable(rejects: DataFrame, raw: DataFrame, columns: list[str]) -> DataFrame:
     """Rejects without a raw row at their day and position that has the same values.
 
-    Positions are unique and spread evenly, so one narrow join does and nothing is grouped.
+    Positions are unique and spread evenly, so one join does and nothing is grouped. Of a raw row only
+    its position and a digest of 128 bits are sent.
     """
-    there = raw.select(
-        "date", "_row_ordinal", F.struct(*columns).alias("_raw"), F.lit(True).alias("_there")
-    )
+    there = raw.select("date", "_row_ordinal", F.struct(*row_digest(columns)).alias("_raw"))
     joined = rejects.join(there, ["date", "_row_ordinal"], "left")
-    same = F.struct(*columns).eqNullSafe(F.col("_raw"))
-    return joined.where(F.col("_there").isNull() | ~same).drop("_raw", "_there")
+    own = F.struct(*row_digest([F.col(c).cast(raw.schema[c].dataType) for c in columns]))
+    return joined.where(F.col("_raw").isNull() | (own != F.col("_raw"))).drop("_raw")
 
 
 # --- uniqueness, domains, references -----------------------------------------------------

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sediment.operators import contracts
 from sediment.operators.lookup import known_accounts
@@ -14,7 +16,7 @@ from sediment.plans import gold
 from sediment.schemas import ACCOUNT_SOURCE, TRANSACTION_SOURCE
 from sediment.sources import csvfiles
 from sediment.sources.control import Control
-from sediment.sources.lake import DAILY, SNAPSHOTS, Lake
+from sediment.sources.lake import DAILY, SNAPSHOTS, Lake, empty
 
 _AUDIT = {
     "bronze_transactions": ["_source_file", "_ingested_at", "_pipeline_run_id"],
@@ -24,6 +26,7 @@ _AUDIT = {
     "silver_accounts_quarantine": ["_source_file", "_pipeline_run_id", "_rejected_at"],
 }
 GOLD_AUDIT = ["_computed_at", "_pipeline_run_id"]
+DIFFERENCES = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("surplus", T.LongType())])
 
 
 def violations(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -82,12 +85,12 @@ def schema_problems(spark: SparkSession, root: str) -> dict[str, list[str]]:
     lake = Lake(spark, root)
     control = Control(lake)
     for name, (path, schema) in (DAILY | SNAPSHOTS).items():
-        location = f"{root}/{path}"
         if name in DAILY:
             written = control.done(name, with_rows=True)
+            location = lake.folder(name)
         else:
             written = control.latest_run(name)
-            location = f"{location}/run_id={written}"
+            location = f"{lake.root}/{path}/run_id={written}"
         if not written:
             continue
         wrong = contracts.schema_differences(spark.read.parquet(location), schema)
@@ -125,7 +128,11 @@ def incomplete_files(spark: SparkSession, source_dir: str, root: str) -> DataFra
 
 
 def rerun_differences(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the stored daily mart that a fresh computation does not reproduce, and vice versa."""
+    """Rows of the stored marts that a fresh computation does not reproduce, and vice versa.
+
+    Days and weeks are compared by fingerprints first, in one aggregation each that runs at once; rows
+    are compared only of those that differ, at most one value per calendar day or week.
+    """
     lake = Lake(spark, root)
     control = Control(lake)
     days: list[date] = sorted(control.done("silver_transactions"))
@@ -134,15 +141,16 @@ def rerun_differences(spark: SparkSession, root: str) -> DataFrame:
         "silver_transaction_codes", control.latest_run("silver_transaction_codes")
     )
     accounts = lake.snapshot("silver_accounts", control.latest_run("silver_accounts"))
-    fresh = {
-        "gold_daily_summary": gold.daily_summary(silver, "audit"),
-        "gold_weekly_account_summary": gold.weekly_account_summary(
-            silver, codes, accounts, "audit"
-        ),
-    }
+    daily = gold.daily_summary(silver, "audit")
+    weekly = gold.weekly_account_summary(silver, codes, accounts, "audit")
+    fresh = {"gold_daily_summary": (daily, "transaction_date"), "gold_weekly_account_summary": (weekly, "week_start_date")}
     parts = []
-    for name, df in fresh.items():
+    for name, (df, key) in fresh.items():
         stored = lake.snapshot(name, control.latest_run(name))
-        changed = contracts.changed_rows(stored, df, GOLD_AUDIT)
-        parts.append(changed.select(F.lit(name).alias("table_name"), "surplus"))
-    return parts[0].unionByName(parts[1])
+        found = [row[0] for row in contracts.changed_groups(stored, df, GOLD_AUDIT, key).collect()]
+        if found:
+            wrong = F.coalesce(F.col(key).isin(found), F.lit(None in found))
+            changed = contracts.changed_rows(stored.where(wrong), df.where(wrong), GOLD_AUDIT)
+            parts.append(changed.select(F.lit(name).alias("table_name"), "surplus"))
+    nothing = empty(spark, DIFFERENCES)
+    return reduce(DataFrame.unionByName, parts, nothing)

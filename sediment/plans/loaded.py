@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.plans.audit import flag_violations, incomplete_files, rerun_differences, violations
+from sediment.plans.layout import change_layout
 from sediment.plans.pipeline import run_historical, run_incremental
 from sediment.plans.queries import SPLIT, query
 from sediment.schemas import ACCOUNT_SOURCE, TRANSACTION_SOURCE
@@ -28,6 +29,9 @@ from sediment.sources.lake import Lake
 CLOCKS = ["_ingested_at", "_bronze_ingested_at", "_promoted_at", "_rejected_at", "_record_valid_from", "_computed_at"]
 #: Extracts and lake by application and folder of the tables.
 _LOADED: dict[tuple[str, str], tuple[str, str]] = {}
+_CHANGED: dict[tuple[str, str], str] = {}
+#: Buckets a day of the lake whose layout changes, before and after.
+BUCKETS = (3, 8)
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -91,6 +95,21 @@ def loaded(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return _LOADED[key]
 
 
+def changed(spark: SparkSession, sf_dir: str) -> str:
+    """A lake of the same extracts that gets more buckets a day between its first two loads."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CHANGED:
+        source, _ = loaded(spark, sf_dir)
+        root = f"{work_folder(spark)}/lake"
+        first, last = given.bronze_transactions(spark, sf_dir).agg(F.min("date"), F.max("date")).first()
+        run_historical(spark, source, root, first, SPLIT - timedelta(days=1), id_buckets=BUCKETS[0])
+        change_layout(spark, root, BUCKETS[1])
+        run_incremental(spark, source, root)
+        run_historical(spark, source, root, first, last)
+        _CHANGED[key] = root
+    return _CHANGED[key]
+
+
 def stored(spark: SparkSession, sf_dir: str) -> tuple[Lake, Control, list[date]]:
     lake = Lake(spark, loaded(spark, sf_dir)[1])
     control = Control(lake)
@@ -116,6 +135,16 @@ def lake_silver_transactions(spark, sf_dir):
     return with_kind(lake.days("silver_transactions", days), control, "silver_transactions")
 
 
+@query
+def lake_silver_in_new_layout(spark, sf_dir):
+    """Silver of a lake that was loaded on after its number of buckets had changed."""
+    lake = Lake(spark, changed(spark, sf_dir))
+    control = Control(lake)
+    days = sorted(control.done("silver_transactions"))
+    rows = with_kind(lake.days("silver_transactions", days), control, "silver_transactions")
+    return rows.withColumn("id_buckets", F.lit(lake.id_buckets()))
+
+
 @query
 def lake_quarantine(spark, sf_dir):
     lake, control, days = stored(spark, sf_dir)

@@ -369,8 +369,10 @@ class Load:
         }
 
     def tidy(self, keep: int) -> None:
-        """Drop versions of whole tables older than the ``keep`` latest ones."""
+        """Drop versions of whole tables older than the ``keep`` latest ones, and layouts out of use."""
         self.hold()
+        for old in self.lake.old_layouts():
+            Lake(self.spark, self.lake.root, layout=old).drop_layout()
         for name, runs in self.control.recent_runs(list(SNAPSHOTS), keep).items():
             self.lake.expire_snapshots(name, runs)
         self.lake.sweep_staging(self.control.runs())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 from decimal import Decimal
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 import frames
 from frames import day
 from sediment.operators import contracts
-from sediment.operators.compare import row_surplus, side_by_side
+from sediment.operators.compare import differing_groups, row_surplus, side_by_side
 from sediment.operators.contracts import ContractViolation
 from sediment.plans import gold
 from sediment.schemas import RUN_LOG, SILVER_CODES
@@ -203,3 +204,33 @@ def test_require_empty(spark):
     contracts.require_empty(df.limit(0), "fine")
     with pytest.raises(ContractViolation, match="broken.*'a'"):
         contracts.require_empty(df, "broken")
+
+
+def test_raw_values_are_not_sent_to_trace_rejects(spark):
+    at = "date string, _row_ordinal struct<block: bigint, line: bigint>, v string, w string"
+    raw = spark.createDataFrame([("d1", (0, 1), None, "x"), ("d1", (0, 2), "x", None)], at)
+    swapped = spark.createDataFrame([("d1", (0, 1), "x", None), ("d1", (0, 2), "x", None)], at)
+    found = contracts.untraceable(swapped, raw, ["v", "w"])
+    assert [tuple(r)[1:] for r in found.collect()] == [((0, 1), "x", None)] and found.columns == raw.columns
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    (sent,) = [line for line in plan.splitlines() if "AS _raw" in line]
+    assert re.search(r"Project \[date#\d+, _row_ordinal#\d+, (named_)?struct\(", sent)
+
+
+@pytest.mark.parametrize(
+    "other, keys",
+    [
+        ([("a", 1, None), ("a", 2, "y"), ("b", 3, "z"), (None, 4, "n")], []),
+        ([("b", 3, "z"), (None, 4, "n"), ("a", 2, "y"), ("a", 1, None)], []),
+        ([("a", 1, "y"), ("a", 2, None), ("b", 3, "z"), (None, 4, "n")], ["a"]),
+        ([("a", 1, None), ("a", 2, "y"), ("b", 3, "z"), ("b", 3, "z"), (None, 4, "n")], ["b"]),
+        ([("a", 1, None), ("a", 2, "y"), ("c", 3, "z"), (None, 4, "m")], [None, "b", "c"]),
+        ([], [None, "a", "b"]),
+    ],
+)
+def test_differing_groups(spark, other, keys):
+    schema = "k string, v int, w string"
+    rows = spark.createDataFrame([("a", 1, None), ("a", 2, "y"), ("b", 3, "z"), (None, 4, "n")], schema)
+    found = differing_groups(rows, spark.createDataFrame(other, schema), "k", ["k", "v", "w"])
+    assert sorted((r["k"] for r in found.collect()), key=str) == sorted(keys, key=str)
+    assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
