@@ -32,6 +32,8 @@ _LOADED: dict[tuple[str, str], tuple[str, str]] = {}
 _CHANGED: dict[tuple[str, str], str] = {}
 #: Buckets a day of the lake whose layout changes, before and after.
 BUCKETS = (3, 8)
+#: Tasks that write extracts; as many days in a row go to different ones.
+WRITERS = 256
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -44,13 +46,18 @@ def work_folder(spark: SparkSession) -> str:
     return qualified(spark, f"{shared.rstrip('/')}/lake-{uuid.uuid4().hex}")
 
 
+def dealt_by_day(rows: DataFrame) -> DataFrame:
+    """A day to a task, by the day's number: hashes of a few days would put several of them into one task."""
+    return rows.repartitionById(WRITERS, F.pmod(F.unix_date("date"), F.lit(WRITERS)))
+
+
 def write_daily(rows: DataFrame, folder: str, entity: str, names: list[str]) -> None:
     """One CSV file per day, its rows in the order of their position.
 
     A day's extract is one file by its format, so one task writes it, row after row from a sort that can spill.
     """
     spark, parts = rows.sparkSession, f"{folder}/_{entity}"
-    in_order = rows.repartition("date").sortWithinPartitions("date", "_row_ordinal")
+    in_order = dealt_by_day(rows).sortWithinPartitions("date", "_row_ordinal")
     plain = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     in_order.select(*names, "date").write.partitionBy("date").options(**plain).csv(parts)
     for path in matching(spark, f"{parts}/date=*/*.csv"):

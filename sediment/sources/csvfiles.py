@@ -17,6 +17,9 @@ from sediment.functions.text import empty_to_null
 from sediment.schemas import ACCOUNT_SOURCE, CODE_SOURCE, TRANSACTION_SOURCE
 from sediment.sources.files import first_line, matching, qualified
 
+#: So many lines of records that run over several are broadcast at most: some 100 MB.
+FEW_LINES = 1_000_000
+
 
 def daily_files(
     spark: SparkSession, source_dir: str, entity: str, start: date, end: date
@@ -44,8 +47,9 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
-        F.regexp_replace("value", "\\r$", "").alias("value"),
+        F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", "\\r$", "")).otherwise(F.col("value")).alias("value"),
     )
+    quoted = F.contains("value", F.lit('"'))  # most lines have none, and are not searched by patterns
     single = F.replace("value", F.lit('""'), F.lit(""))
 
     def left_open(text: Column) -> Column:
@@ -53,7 +57,7 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     closed = F.concat(F.lit("-"), F.regexp_replace(single, '^[^"]*"', ""))
     stays = ~F.contains(single, F.lit('"')) | left_open(closed)
-    return lines.withColumns({"opens": left_open(single), "stays": stays})
+    return lines.withColumns({"opens": quoted & left_open(single), "stays": ~quoted | stays})
 
 
 def with_open_quotes(spark: SparkSession, paths: list[str]) -> list[str]:
@@ -82,46 +86,79 @@ def _followed(rows: DataFrame, window: WindowSpec) -> DataFrame:
     return rows.withColumns({"fixed": F.col("_set.state"), "turns": since % 2}).drop("_turns", "_set")
 
 
-def with_states(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``before`` and ``after``: whether a quoted field is open around each line.
+def _splits(lines: DataFrame) -> DataFrame:
+    """The numbers of each split's first and last line."""
+    return lines.groupBy("path", "block").agg(F.min("line").alias("begin"), F.max("line").alias("last"))
+
 
-    Each split is followed by itself, and a prefix over one row a split tells how it begins: no task
-    reads more than a split, however large the file.
+def stretches(lines: DataFrame) -> DataFrame:
+    """Stretches of lines, each with ``before``: whether a quoted field is open before the first, and ``after``: after all.
+
+    A stretch is a line that can change the state with the lines after it that cannot, (``line`` to
+    ``until``); another one is before the first such line of each split (``number`` 0, from ``line`` + 1 on).
+    Only lines that can change the state are shuffled and sorted, without their text. Each split is
+    followed by itself, and a prefix over one row a split tells how it begins: no task reads more than
+    a split, however large the file.
     """
     within = Window.partitionBy("path", "block").orderBy("line")
-    lines = _followed(lines, within)
-    splits = lines.groupBy("path", "block").agg(F.max_by(F.struct("fixed", "turns"), "line").alias("end"))
+    changing = lines.where("opens OR NOT stays").select("path", "block", "line", "opens", "stays", F.lit(None).cast("long").alias("last"))
+    begins = _splits(lines).selectExpr("path", "block", "begin - 1 AS line", "false AS opens", "true AS stays", "last")
+    marks = _followed(begins.unionByName(changing), within)
+    splits = marks.groupBy("path", "block").agg(
+        F.max_by(F.struct("fixed", "turns"), "line").alias("end"), F.max("last").alias("last")
+    )
     # A split as a whole is like one line: what comes out if it begins outside, and if inside.
     out = [F.coalesce("end.fixed", F.lit(start)).bitwiseXOR(F.col("end.turns")) == 1 for start in (0, 1)]
-    splits = splits.select("path", "block", out[0].alias("opens"), out[1].alias("stays"))
+    splits = splits.select("path", "block", "last", out[0].alias("opens"), out[1].alias("stays"))
     splits = _followed(splits, Window.partitionBy("path").orderBy("block"))
     ended = F.coalesce("fixed", F.lit(0)).bitwiseXOR(F.col("turns"))
-    begins = F.lag(ended, 1, 0).over(Window.partitionBy("path").orderBy("block"))
-    lines = lines.join(splits.select("path", "block", begins.alias("begins")), ["path", "block"])
+    inside = F.lag(ended, 1, 0).over(Window.partitionBy("path").orderBy("block"))
+    splits = splits.select("path", "block", "last", inside.alias("begins"))
+    marks = marks.drop("last").join(splits, ["path", "block"])
     after = F.coalesce("fixed", "begins").bitwiseXOR(F.col("turns"))
     before = F.coalesce(F.lag(after).over(within), F.col("begins"))
-    return lines.withColumns({"after": after, "before": before, "place": F.row_number().over(within)})
+    until = F.coalesce(F.lead("line").over(within) - 1, F.col("last"))
+    number = F.row_number().over(within) - 1
+    return marks.select("path", "block", "line", until.alias("until"), number.alias("number"), before.alias("before"), after.alias("after"))
+
+
+def lines_of_long_records(lines: DataFrame) -> DataFrame:
+    """(``line``, ``first``, ``after``) of the lines of records that run over several: the place of the record's first line."""
+    found = stretches(lines)
+    starts = F.when((F.col("before") == 0) & (F.col("after") == 1), F.struct("block", "line"))
+    within = Window.partitionBy("path", "block").orderBy("line")
+    # What a split begins with belongs to the last record that began before it.
+    last = found.groupBy("path", "block").agg(F.max(starts).alias("last"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("path", "block", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    found = found.withColumn("first", F.last(starts, ignorenulls=True).over(within)).where("before = 1 OR after = 1")
+    found = found.join(carried, ["path", "block"]).withColumn("first", F.coalesce("first", "carried"))
+    found = found.withColumn("start", F.when(F.col("number") == 0, F.col("line") + 1).otherwise(F.col("line")))
+    # Of a stretch that is outside after its first line, that line alone is the end of a record.
+    end = F.when(F.col("after") == 1, F.col("until")).when(F.col("number") > 0, F.col("line"))
+    found = found.withColumn("end", end).where("start <= end")
+    return found.select(F.explode(F.sequence("start", "end")).alias("line"), "first", "after")
+
+
+def _hinted(some: DataFrame) -> DataFrame:
+    """``some`` lines to be broadcast if they are few by count: all lines are joined with them, and need not be shuffled then."""
+    return F.broadcast(some) if some.count() <= FEW_LINES else some
 
 
 def records(lines: DataFrame) -> DataFrame:
     """(``path``, ``_source_file``, ``block``, ``line``, ``value``): whole records, the place that of their first line.
 
     Only the lines of records that run over several are brought together. The header and lines
-    without anything are left out.
+    without anything are left out. Lines are told by their numbers, which are the same in every scan of
+    the same files within one plan.
     """
-    states = with_states(lines).where(~((F.col("block") == 0) & (F.col("place") == 1)))
     columns = ["path", "_source_file", "block", "line", "value"]
-    single = states.where("before = 0 AND after = 0 AND trim(value) <> ''").select(*columns)
-    within = Window.partitionBy("path", "block").orderBy("line")
-    first = F.when(F.col("before") == 0, F.struct("block", "line"))
-    parts = states.where("before = 1 OR after = 1").withColumn("first", F.last(first, ignorenulls=True).over(within))
-    # What a split begins with belongs to the last record that began before it.
-    last = states.groupBy("path", "block").agg(F.max(F.when((F.col("before") == 0) & (F.col("after") == 1), F.struct("block", "line"))).alias("last"))
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select("path", "block", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
-    parts = parts.join(carried, ["path", "block"]).withColumn("first", F.coalesce("first", "carried"))
+    headers = _splits(lines).where("block = 0").select(F.col("begin").alias("line"))
+    long = _hinted(lines_of_long_records(lines).select("line", "first"))
+    rows = lines.select(*columns).join(F.broadcast(headers), "line", "left_anti")  # one a file
+    single = rows.join(long, "line", "left_anti").where("trim(value) <> ''").select(*columns)
     text = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
-    joined = parts.groupBy("path", "_source_file", "first").agg(
+    joined = rows.join(long, "line").groupBy("path", "_source_file", "first").agg(
         F.array_join(F.transform(text, lambda part: part["value"]), "\n").alias("value")
     )
     return single.unionByName(joined.select("path", "_source_file", "first.block", "first.line", "value"))
@@ -204,7 +241,9 @@ def count_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     if plain:
         parts.append(_lines(spark, plain).select("_source_file", "value"))
     if broken:
-        parts.append(with_states(_lines(spark, broken)).where("after = 0").select("_source_file", "value"))
+        lines = _lines(spark, broken)
+        inside = _hinted(lines_of_long_records(lines).where("after = 1").select("line"))
+        parts.append(lines.join(inside, "line", "left_anti").select("_source_file", "value"))
     ends = reduce(DataFrame.unionByName, parts).where("value <> ''")
     return ends.groupBy("_source_file").agg((F.count("*") - 1).alias("records"))
 

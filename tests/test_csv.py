@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import random
+import re
 from datetime import date
 
 import pytest
@@ -161,6 +162,25 @@ def test_records_cut_anywhere_are_those_of_one_task(spark, tmp_path, size, seed,
     assert [tuple(r) for r in counted] == [(path.name, 120)]
 
 
+def test_text_is_not_shuffled_to_find_line_breaks(spark, tmp_path):
+    """Only numbers of lines are; of records that run over several lines the pieces meet."""
+    rows = load(spark, tmp_path, [good(n, merchant='"a\nb"' if n % 50 == 0 else "M") for n in range(500)])
+    text = rows._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sent = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", text)
+    assert sent and not [columns for columns in sent if "value#" in columns]
+    assert not [columns for columns in re.findall(r"\) Sort\nInput \[\d+\]: \[(.*?)\]", text) if "value#" in columns]
+
+
+def test_many_long_records_are_not_broadcast(spark, tmp_path, monkeypatch):
+    lines = [good(n, merchant=FIELDS[n % len(FIELDS)]) for n in range(60)]
+    few = load(spark, tmp_path, lines).collect()
+    path = str(tmp_path / f"transactions_{DAY}.csv")
+    monkeypatch.setattr(csvfiles, "FEW_LINES", 0)
+    many = load(spark, tmp_path, lines).collect()
+    assert sorted(map(str, few)) == sorted(map(str, many)) and len(many) == 60
+    assert [r["records"] for r in csvfiles.count_records(spark, [path]).collect()] == [60]
+
+
 def test_two_broken_files_and_a_bad_row(spark, tmp_path):
     extracts.write_transactions(tmp_path, DAY, [good(1, merchant='"a\nb"'), good(2)])
     extracts.write_transactions(tmp_path, "2024-01-02", [good(3, merchant='"c\n\nd"'), good(4)])

@@ -14,6 +14,7 @@ from sediment.operators.dedup import promoted_transactions, tag_transactions, ve
 from sediment.operators.lookup import known_accounts, resolve_accounts
 from sediment.operators.rules import accepted, check_accounts, check_transactions, rejected
 from sediment.plans import gold, silver
+from sediment.plans.loaded import dealt_by_day
 
 DATA = "/root/testdata/sf0.001"
 
@@ -205,3 +206,9 @@ def test_files_of_a_mart_hold_disjoint_ranges(spark, tmp_path):
     parts = [[(r[0], r[1]) for r in spark.read.parquet(str(f)).select(*keys).collect()] for f in files]
     assert len([p for p in parts if p]) > 2 and sum(map(len, parts)) == 4_000
     assert sorted(row for p in parts for row in p) == [row for p in parts for row in p]
+
+
+def test_extracts_of_different_days_are_written_by_different_tasks(spark):
+    rows = spark.range(640).select(F.expr("date_add(DATE '2024-01-01', CAST(id % 32 AS INT))").alias("date"))
+    tasks = dealt_by_day(rows).select("date", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(tasks) == 32 and len({r["task"] for r in tasks}) == 32
