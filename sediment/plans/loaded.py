@@ -124,9 +124,12 @@ def stored(spark: SparkSession, sf_dir: str) -> tuple[Lake, Control, list[date]]
 
 
 def with_kind(rows: DataFrame, control: Control, model: str) -> DataFrame:
-    """``rows`` with the kind of the load that logged the run they were written by, and without clocks."""
+    """``rows`` with the kind of the load that logged the run they were written by, and without clocks.
+
+    All rows share a few run ids, so dealt by them they would meet in as few tasks; the runs, one row a load, go to the rows.
+    """
     runs = control.succeeded(model).select(F.col("run_id").alias("_pipeline_run_id"), "pipeline_type").distinct()
-    named = rows.join(runs, "_pipeline_run_id", "left")
+    named = rows.join(F.broadcast(runs), "_pipeline_run_id", "left")
     return named.drop("_pipeline_run_id", "_row_ordinal", *CLOCKS)
 
 

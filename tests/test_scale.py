@@ -14,7 +14,7 @@ from sediment.operators.dedup import promoted_transactions, tag_transactions, ve
 from sediment.operators.lookup import known_accounts, resolve_accounts
 from sediment.operators.rules import accepted, check_accounts, check_transactions, rejected
 from sediment.plans import gold, silver
-from sediment.plans.loaded import dealt_by_day
+from sediment.plans.loaded import dealt_by_day, with_kind
 
 DATA = "/root/testdata/sf0.001"
 
@@ -212,3 +212,20 @@ def test_extracts_of_different_days_are_written_by_different_tasks(spark):
     rows = spark.range(640).select(F.expr("date_add(DATE '2024-01-01', CAST(id % 32 AS INT))").alias("date"))
     tasks = dealt_by_day(rows).select("date", F.spark_partition_id().alias("task")).distinct().collect()
     assert len(tasks) == 32 and len({r["task"] for r in tasks}) == 32
+
+
+def test_rows_of_few_runs_are_not_dealt_by_run(spark):
+    class Logged:
+        def succeeded(self, model):
+            return spark.createDataFrame([("a", "HISTORICAL"), ("b", "INCREMENTAL")], "run_id string, pipeline_type string")
+
+    rows = spark.range(1000).selectExpr("id", "IF(id = 7, 'c', IF(id < 9, 'b', 'a')) AS _pipeline_run_id")
+    rows = rows.withColumn("_row_ordinal", F.lit(None))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        named = with_kind(rows, Logged(), "any")
+        assert "BroadcastHashJoin" in plan(named) and "SortMergeJoin" not in plan(named)
+        kinds = {r["pipeline_type"]: r["count"] for r in named.groupBy("pipeline_type").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert kinds == {None: 1, "INCREMENTAL": 8, "HISTORICAL": 991}
