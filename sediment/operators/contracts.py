@@ -79,10 +79,11 @@ def untraceable(rejects: DataFrame, raw: DataFrame, columns: list[str]) -> DataF
     """Rejects without a raw row at their day and position that has the same values.
 
     Positions are unique and spread evenly, so one join does and nothing is grouped. Of a raw row only
-    its position and a digest of 128 bits are sent.
+    its position and a digest of 128 bits are sent, to the task its position is dealt to: the files of many
+    rows can be small enough for Spark to broadcast them unless told not to.
     """
     there = raw.select("date", "_row_ordinal", F.struct(*row_digest(columns)).alias("_raw"))
-    joined = rejects.join(there, ["date", "_row_ordinal"], "left")
+    joined = rejects.join(there.hint("merge"), ["date", "_row_ordinal"], "left")
     own = F.struct(*row_digest([F.col(c).cast(raw.schema[c].dataType) for c in columns]))
     return joined.where(F.col("_raw").isNull() | (own != F.col("_raw"))).drop("_raw")
 
@@ -218,8 +219,9 @@ def overstated_days(daily: DataFrame, silver: DataFrame) -> DataFrame:
 
 
 def unbacked_accounts(weekly: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Accounts in the weekly mart that the account dimension does not hold."""
-    return weekly.select("account_id").distinct().join(accounts, "account_id", "left_anti")
+    """Accounts in the weekly mart that the account dimension does not hold. It grows: never broadcast."""
+    held = accounts.select("account_id").hint("merge")
+    return weekly.select("account_id").distinct().join(held, "account_id", "left_anti")
 
 
 def mixed_runs(gold: DataFrame) -> DataFrame:

@@ -21,9 +21,10 @@ def known_accounts(accepted_deltas: DataFrame, stored: DataFrame | None = None)
 def resolve_accounts(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Flag each row by whether its account was known on the row's ``date``.
 
-    An equality join plus a comparison on the result, so no range join. No broadcast hint:
-    the dimension grows with the data, and adaptive execution broadcasts it only when its
-    measured size allows, else splits the partitions of hot accounts. It can split only where
+    An equality join plus a comparison on the result, so no range join. The dimension grows with
+    the data, and the files of a million accounts can be small enough for Spark to broadcast them
+    through the driver unmeasured, so both sides are shuffled and sorted; adaptive execution splits
+    the partitions of hot accounts. It can split only where
     both inputs come straight from a shuffle; ``known`` comes from a grouping by the same key,
     whose shuffle the join would reuse. The second key changes no result but makes the join
     shuffle the (comparatively small) dimension anew.
@@ -31,7 +32,7 @@ def resolve_accounts(rows: DataFrame, known: DataFrame) -> DataFrame:
     extra = F.length("account_id").alias("_length")
     return (
         rows.select("*", extra)
-        .join(known.select("*", extra), ["account_id", "_length"], "left")
+        .join(known.select("*", extra).hint("merge"), ["account_id", "_length"], "left")
         .withColumn(
             "_is_resolvable", F.coalesce(F.col("known_from") <= F.col("date"), F.lit(False))
         )

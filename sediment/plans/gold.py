@@ -89,10 +89,13 @@ def weekly_rows(silver: DataFrame, codes: DataFrame) -> DataFrame:
 def finish_weekly(
     weeks: DataFrame, accounts: DataFrame, run_id: str, at: Column | None = None
 ) -> DataFrame:
-    """The mart from its weeks, with the account's latest balance on every row."""
+    """The mart from its weeks, with the account's latest balance on every row.
+
+    Accounts grow with the data, and their files are small for their number: they are never broadcast.
+    """
     balances = accounts.select("account_id", F.col("current_balance").alias("closing_balance"))
     return (
-        weeks.join(balances, "account_id")
+        weeks.join(balances.hint("merge"), "account_id")
         .withColumn("_computed_at", F.current_timestamp() if at is None else at)
         .withColumn("_pipeline_run_id", F.lit(run_id))
         .select(*GOLD_WEEKLY.fieldNames())

@@ -88,21 +88,23 @@ def _followed(rows: DataFrame, window: WindowSpec) -> DataFrame:
 
 def _splits(lines: DataFrame) -> DataFrame:
     """The numbers of each split's first and last line."""
-    return lines.groupBy("path", "block").agg(F.min("line").alias("begin"), F.max("line").alias("last"))
+    return lines.groupBy("path", "_source_file", "block").agg(F.min("line").alias("begin"), F.max("line").alias("last"))
 
 
-def stretches(lines: DataFrame) -> DataFrame:
+def stretches(lines: DataFrame, cut: str = "opens OR NOT stays") -> DataFrame:
     """Stretches of lines, each with ``before``: whether a quoted field is open before the first, and ``after``: after all.
 
     A stretch is a line that can change the state with the lines after it that cannot, (``line`` to
     ``until``); another one is before the first such line of each split (``number`` 0, from ``line`` + 1 on).
+    ``cut`` may let other lines begin one too, and ``blank`` tells those of them that are empty.
     Only lines that can change the state are shuffled and sorted, without their text. Each split is
     followed by itself, and a prefix over one row a split tells how it begins: no task reads more than
     a split, however large the file.
     """
     within = Window.partitionBy("path", "block").orderBy("line")
-    changing = lines.where("opens OR NOT stays").select("path", "block", "line", "opens", "stays", F.lit(None).cast("long").alias("last"))
-    begins = _splits(lines).selectExpr("path", "block", "begin - 1 AS line", "false AS opens", "true AS stays", "last")
+    place = ["path", "_source_file", "block"]
+    changing = lines.where(cut).selectExpr(*place, "line", "opens", "stays", "value = '' AS blank", "CAST(NULL AS LONG) AS last")
+    begins = _splits(lines).selectExpr(*place, "begin - 1 AS line", "false AS opens", "true AS stays", "false AS blank", "last")
     marks = _followed(begins.unionByName(changing), within)
     splits = marks.groupBy("path", "block").agg(
         F.max_by(F.struct("fixed", "turns"), "line").alias("end"), F.max("last").alias("last")
@@ -119,7 +121,9 @@ def stretches(lines: DataFrame) -> DataFrame:
     before = F.coalesce(F.lag(after).over(within), F.col("begins"))
     until = F.coalesce(F.lead("line").over(within) - 1, F.col("last"))
     number = F.row_number().over(within) - 1
-    return marks.select("path", "block", "line", until.alias("until"), number.alias("number"), before.alias("before"), after.alias("after"))
+    return marks.select(
+        *place, "line", "blank", until.alias("until"), number.alias("number"), before.alias("before"), after.alias("after")
+    )
 
 
 def lines_of_long_records(lines: DataFrame) -> DataFrame:
@@ -234,18 +238,24 @@ def _read_alike(
 
 
 def count_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Records per file without the CSV reader: lines that end outside quotes, the header aside."""
+    """Records per file without the CSV reader: lines that end outside quotes, the header aside.
+
+    Lines without anything are no records. Of files with open quotes the stretches of lines are counted,
+    so that no line is looked up.
+    """
     broken = with_open_quotes(spark, paths)
     plain = [path for path in paths if path not in set(broken)]
     parts = []
     if plain:
-        parts.append(_lines(spark, plain).select("_source_file", "value"))
+        ends = _lines(spark, plain).where("value <> ''").groupBy("_source_file")
+        parts.append(ends.agg(F.count("*").alias("ends")))
     if broken:
-        lines = _lines(spark, broken)
-        inside = _hinted(lines_of_long_records(lines).where("after = 1").select("line"))
-        parts.append(lines.join(inside, "line", "left_anti").select("_source_file", "value"))
-    ends = reduce(DataFrame.unionByName, parts).where("value <> ''")
-    return ends.groupBy("_source_file").agg((F.count("*") - 1).alias("records"))
+        found = stretches(_lines(spark, broken), "opens OR NOT stays OR value = ''")
+        first = F.when((F.col("number") > 0) & ~F.col("blank"), 1).otherwise(0)
+        ends = found.where("after = 0").withColumn("ends", F.col("until") - F.col("line") + first)
+        parts.append(ends.groupBy("_source_file").agg(F.sum("ends").alias("ends")))
+    ends = reduce(DataFrame.unionByName, parts).where("ends > 0")
+    return ends.select("_source_file", (F.col("ends") - 1).alias("records"))
 
 
 def _stamp(rows: DataFrame, run_id: str, ingested_at: str) -> DataFrame:

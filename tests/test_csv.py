@@ -219,3 +219,22 @@ def test_listing(spark, tmp_path):
     assert csvfiles.daily_files(
         spark, str(tmp_path), "transactions", date(2025, 1, 1), date(2025, 1, 2)
     ) == {}
+
+
+def test_records_are_counted_without_looking_lines_up(spark, tmp_path):
+    """Empty lines count neither outside nor inside quotes; no line is joined with the lines inside quotes."""
+    body = [good(1, merchant='"a\n\n\nb"'), "", good(2), "", "", good(3, merchant='"\n"'), good(4), '"T5\n",' + good(5).split(",", 1)[1], ""]
+    extracts.write_transactions(tmp_path, DAY, body)
+    extracts.write_transactions(tmp_path, "2024-01-02", [good(n) for n in range(7)])
+    paths = [str(tmp_path / f"transactions_{day}.csv") for day in (DAY, "2024-01-02")]
+    for size in ("64", "1000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            counted = csvfiles.count_records(spark, paths)
+            found = {r["_source_file"][-6:]: r["records"] for r in counted.collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert found == {"01.csv": 5, "02.csv": 7}
+        assert "LeftAnti" not in counted._jdf.queryExecution().executedPlan().toString()

@@ -229,3 +229,33 @@ def test_rows_of_few_runs_are_not_dealt_by_run(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert kinds == {None: 1, "INCREMENTAL": 8, "HISTORICAL": 991}
+
+
+def broadcast_columns(df) -> list[str]:
+    """What the plan sends to all tasks, one text a broadcast."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*?)\]", df._jdf.queryExecution().explainString(mode))
+
+
+def test_what_grows_with_the_data_is_not_broadcast_by_contracts(spark, lopsided, known, tmp_path):
+    """However small its files are: those of many rows can be, and Spark broadcasts by that size."""
+    lopsided.write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.schema(lopsided.schema).parquet(f"{tmp_path}/raw")
+    columns = ["transaction_id", "account_id", "amount"]
+    assert contracts.untraceable(raw, raw, columns).isEmpty()
+    assert contracts.untraceable(raw.withColumn("amount", F.lit(11)), raw, columns).count() == 30_000
+    accounts = known.select("account_id", F.lit(1).cast("decimal(18,4)").alias("current_balance"))
+    held = raw.select("account_id", "transaction_id").join(accounts, "account_id", "left_semi")
+    missing = contracts.unbacked_accounts(raw, accounts)
+    assert missing.count() == raw.select("account_id").distinct().count() - held.select("account_id").distinct().count() > 0
+    weeks = raw.groupBy("account_id").agg(F.min("date").alias("week_start_date"))
+    for name in gold.GOLD_WEEKLY.fieldNames():
+        if name not in weeks.columns:
+            weeks = weeks.withColumn(name, F.lit(1))
+    frames_ = [
+        contracts.untraceable(raw, raw, columns),
+        missing,
+        gold.finish_weekly(weeks.drop("closing_balance"), accounts, "r"),
+        resolve_accounts(raw.select("account_id", "date"), known),
+    ]
+    assert [broadcast_columns(df) for df in frames_] == [[]] * 4
