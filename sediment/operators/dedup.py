@@ -40,9 +40,10 @@ def stored_flag(firsts: DataFrame, stored_ids: DataFrame) -> DataFrame:
     """Flag ids already promoted on another day (``_stored``).
 
     Grouping the stored ids by the join key shares the join's shuffle and keeps the join from
-    multiplying rows if an id is stored twice.
+    multiplying rows if an id is stored twice. They grow with the lake and are never broadcast; the
+    window over ids that follows needs its rows where this join has them.
     """
-    distinct_ids = existing_ids(stored_ids).withColumn("_stored", F.lit(True))
+    distinct_ids = existing_ids(stored_ids).withColumn("_stored", F.lit(True)).hint("merge")
     return firsts.join(distinct_ids, "transaction_id", "left").withColumn(
         "_stored", F.coalesce("_stored", F.lit(False))
     )

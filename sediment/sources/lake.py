@@ -188,13 +188,24 @@ class Lake:
 
     # --- ids of silver transactions
 
+    def _id_rows(self, dates: list[date]) -> DataFrame:
+        """Silver of the days, to look at its ids.
+
+        What is grouped or joined by id is read bucket by bucket, a task each, unless a shuffle has more
+        tasks than there are buckets: then files are read as they come and ids are shuffled.
+        """
+        if self.id_buckets() >= int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            return self.days(BUCKETED, dates)
+        rows = read_or_empty(self.spark, self.folder(BUCKETED), DAILY[BUCKETED][1])
+        return rows.where(F.col("date").isin(dates))
+
     def _bucket(self) -> Column:
         """The hash that buckets are made by."""
         return F.pmod(F.hash(BUCKET_KEY), F.lit(self.id_buckets()))
 
     def sketch_days(self, dates: list[date]) -> None:
         """Write the sketches of the ids stored for the days; those of other days stay."""
-        ids = self.days(BUCKETED, dates).select("date", BUCKET_KEY, self._bucket().alias("bucket"))
+        ids = self._id_rows(dates).select("date", BUCKET_KEY, self._bucket().alias("bucket"))
         found = sketches(ids, "date", "bucket", BUCKET_KEY).hint("rebalance", F.col("date"))
         found.select("bucket", "size", "bits", "date").write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
@@ -215,12 +226,11 @@ class Lake:
         known = {p.rstrip("/").rsplit("=", 1)[-1] for p in matching(self.spark, f"{self.sketch_folder()}/date=*")}
         sketched = [day for day in dates if str(day) in known]
         whole = [day for day in dates if str(day) not in known]
-        table = self.days(BUCKETED, dates)
         if not sketched:
-            return table.select(BUCKET_KEY)
+            return self._id_rows(dates).select(BUCKET_KEY)
         found = self.files_that_may_hold(ids, sketched).limit(MOST_FILES + 1).collect()
         days = sorted({row["date"] for row in found} | set(whole))
-        table = self.days(BUCKETED, days)
+        table = self._id_rows(days)
         if len(found) <= MOST_FILES:
             path = F.col("_metadata.file_path")
             day, bucket = F.regexp_extract(path, "date=([0-9-]+)", 1), F.regexp_extract(path, "_([0-9]+)\\.c[0-9]+", 1)

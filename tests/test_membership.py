@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import shutil
 from datetime import date
 from pathlib import Path
 
@@ -9,6 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import extracts
+from sediment.operators import membership
+from sediment.operators.dedup import stored_flag
 from sediment.operators.membership import groups_that_may_hold, may_hold, sketches
 from sediment.plans import pipeline
 from sediment.plans.pipeline import run_historical, run_incremental
@@ -144,3 +148,46 @@ def test_lost_days_still_stop_a_load(spark, lake):
     Path(root, "silver", "transactions", "date=2024-01-01").rename(Path(root, "silver", "gone"))
     with pytest.raises(LakeError, match="2024-01-01"):
         run_incremental(spark, source, root)
+
+
+def broadcast_columns(df):
+    """What the plan sends to all tasks, one text a broadcast."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*?)\]", df._jdf.queryExecution().explainString(mode))
+
+
+def test_ids_are_not_broadcast(spark, tmp_path):
+    """However small their files are: those of many ids can be, and Spark broadcasts by that size."""
+    grouped(spark, 3000).write.parquet(f"{tmp_path}/ids")
+    ids = spark.read.parquet(f"{tmp_path}/ids")
+    found = sketches(ids, "day", "bucket", "key")
+    asked = groups_that_may_hold(found, ids.select("bucket", "key"), "day", "bucket", "key")
+    firsts = ids.withColumnRenamed("key", "transaction_id")
+    flagged = stored_flag(firsts, firsts.where("day = 1"))
+    for df in (found, asked, flagged):
+        assert not [columns for columns in broadcast_columns(df) if re.search("key#|transaction_id#", columns)]
+    assert asked.count() == 12 and flagged.where("_stored").count() == 1000 and flagged.count() == 3000
+
+
+def test_sketches_of_many_words(spark, monkeypatch):
+    """Words are made in chunks: none is missing, the last chunk included."""
+    whole = {tuple(r[:2]): r for r in sketches(grouped(spark, 3000), "day", "bucket", "key").collect()}
+    monkeypatch.setattr(membership, "CHUNK", 7)
+    cut = {tuple(r[:2]): r for r in sketches(grouped(spark, 3000), "day", "bucket", "key").collect()}
+    assert whole == cut and all(len(r["bits"]) == r["size"] // 64 > 7 for r in cut.values())
+
+
+@pytest.mark.parametrize("id_buckets", [2, 64])
+def test_few_buckets_do_not_bound_the_tasks_that_look_ids_up(spark, tmp_path, id_buckets):
+    source, root = extracts.write_week(tmp_path / "source"), str(tmp_path / "lake")
+    run_historical(spark, str(source), root, FIRST, date(2024, 1, 3), id_buckets=id_buckets)
+    table, days = Lake(spark, root), [date(2024, 1, d) for d in (1, 2, 3)]
+    ids = table.days("silver_transactions", days).select("transaction_id")
+    for unsketched in (False, True):
+        wanted = spark.createDataFrame(ids.collect(), ids.schema)
+        found = table.stored_ids(wanted, days)
+        text = found.distinct()._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange hashpartitioning(transaction_id" in text) == (id_buckets < 4)
+        assert sorted(found.collect()) == sorted(ids.collect())
+        for day in days:
+            shutil.rmtree(Path(root, SKETCHES, f"date={day}"), ignore_errors=True)
